@@ -1,0 +1 @@
+"""No streams: every input is a bounded log, and every operator a batch one."""
