@@ -47,6 +47,7 @@ HOURS = HourRange.between("2024-01-01", "2024-01-31")
 REPORT_SITE = "AMERICA"
 REPORT_SINCE = "2024-01-05 19:00:00"
 KEYS = ["orb_site", "machine_name"]
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 ZONES = {
     "AFRICA": "Africa/Nairobi",
     "AMERICA": "America/Toronto",
@@ -104,9 +105,7 @@ def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         _zone("r_name").alias("timezone"),
     )
     machines = _table(spark, sf_dir, "nation").withColumnRenamed("n_name", "machine_name")
-    return entity_registry(sites, machines, ["n_regionkey"]).select(
-        "n_nationkey", *KEYS, "timezone"
-    )
+    return entity_registry(sites, machines, ["n_regionkey"]).select(*KEYS, "timezone")
 
 
 def _supplier_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,17 +142,19 @@ def _unloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _named(log: DataFrame, registry: DataFrame) -> DataFrame:
-    """Replace the machine number by the two keys of the registry."""
-    names = registry.select(F.col("n_nationkey").cast("bigint").alias("machine"), *KEYS)
-    return log.join(names, "machine").drop("machine")
+def _named(log: DataFrame) -> DataFrame:
+    """Put the names of machine and site, the keys of the registry, in place of the
+    machine number: nation k is NATION_k, of region k % 5."""
+    number = F.col("machine")
+    site = F.element_at(F.array(*map(F.lit, REGIONS)), (number % len(REGIONS) + 1).cast("int"))
+    names = {"orb_site": site, "machine_name": F.concat(F.lit("NATION_"), number.cast("string"))}
+    return log.withColumns(names).drop("machine")
 
 
 def _legs(
     spark: SparkSession, sf_dir: str, hours: HourRange = HOURS, keep_outside: bool = False
 ) -> list[DataFrame]:
-    registry = _registry(spark, sf_dir)
-    events = _named(_intervals(spark, sf_dir), registry)
+    events = _named(_intervals(spark, sf_dir))
     bounds = {"keys": KEYS, "hours": hours, "keep_outside": keep_outside}
     return [
         state_leg(events, CLASSES, start="ts", end="ts_end", state="event_type", **bounds),
@@ -162,15 +163,14 @@ def _legs(
             ts="ts", id="event_id", **bounds,
         ),
         child_leg(
-            _named(_unloads(spark, sf_dir), registry), _table(spark, sf_dir, "lineitem"),
+            _named(_unloads(spark, sf_dir)), _table(spark, sf_dir, "lineitem"),
             on=["l_orderkey"], ts="ts", item="l_linenumber", name="units_unloaded", **bounds,
         ),
     ]
 
 
 def _rollup(spark: SparkSession, sf_dir: str, hours: HourRange = HOURS) -> DataFrame:
-    registry = _registry(spark, sf_dir).drop("n_nationkey")
-    return hourly_rollup(registry, hours, _legs(spark, sf_dir, hours), keys=KEYS)
+    return hourly_rollup(_registry(spark, sf_dir), hours, _legs(spark, sf_dir, hours), keys=KEYS)
 
 
 def _scratch(spark: SparkSession) -> str:
@@ -269,8 +269,7 @@ def rollup_coverage(spark, sf_dir):
 
 
 def local_times(spark, sf_dir):
-    registry = _registry(spark, sf_dir)
-    events = _named(_intervals(spark, sf_dir), registry).join(registry, KEYS)
+    events = _named(_intervals(spark, sf_dir)).join(_registry(spark, sf_dir), KEYS)
     rows = with_local_time(events, {"local_ts": "ts", "local_end": "ts_end"}, "timezone")
     return _as_text(rows.select("event_id", "timezone", "ts", "local_ts", "local_end"))
 

@@ -10,7 +10,7 @@ from hourgrid.operators.metrics import (
 )
 from hourgrid.operators.registry import duplicate_keys, entity_registry
 from hourgrid.operators.report import report_view
-from hourgrid.operators.rollup import coverage, hourly_activity, hourly_rollup, with_local_time
+from hourgrid.operators.rollup import coverage, hourly_rollup, with_local_time
 from hourgrid.operators.spine import (
     BUCKET,
     HourRange,
@@ -34,7 +34,6 @@ __all__ = [
     "events_by_hour",
     "hour_spine",
     "hour_spine_over",
-    "hourly_activity",
     "hourly_rollup",
     "hourly_sums",
     "interval_rejects",

@@ -2,8 +2,8 @@
 
 Each metric comes in two forms. A *leg* holds one row per log row (or per piece of it)
 with the keys, the ``bucket`` and what the row adds to each metric; a ``*_by_hour`` table
-is that leg summed. Legs are what the rollup takes: it puts them under each other and
-sums once, where one table per metric would scan, shuffle and join once per metric.
+is that leg summed. Legs are what the rollup takes. A leg carries every metric of its log,
+so the log is read, split, shuffled and joined once, not once per metric.
 
 A sum over no rows is NULL, and a leg writes NULL where a row does not bear on a metric.
 So "nothing happened" stays NULL and "it happened and came to zero" is 0.
@@ -132,6 +132,7 @@ def child_leg(
     name: str = "children",
     hours: HourRange | None = None,
     keep_outside: bool = False,
+    unique_parents: bool = False,
 ) -> DataFrame:
     """Children counted in the hour of their parent, joined on ``on``.
 
@@ -142,14 +143,17 @@ def child_leg(
     Both sides are counted by join key before they meet. The join then has one row per
     key on the child side and one per key and hour on the parent side, so a parent
     that owns a third of the children, or a parent row copied as often, is no hot key.
+    Counting parents costs them a second shuffle; ``unique_parents`` promises that none
+    repeats its key (``duplicate_keys`` finds those that do) and saves it. Repeats then
+    still count, but unbalanced.
     """
     parents, bucket = _bucketed(parents, ts, hours, keep_outside)
     parent_columns = [*on, *[key for key in keys if key not in on]]
-    copies = (
-        parents.select(*parent_columns, bucket)
-        .groupBy(*parent_columns, BUCKET)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
+    copies = parents.select(*parent_columns, bucket)
+    if unique_parents:
+        copies = copies.withColumn("_copies", F.lit(1).cast("bigint"))
+    else:
+        copies = copies.groupBy(*copies.columns).agg(F.count(F.lit(1)).alias("_copies"))
     owned = children.filter(F.col(item).isNotNull()).groupBy(*on).agg(F.count(item).alias("_owned"))
     total = F.col("_copies") * F.coalesce(F.col("_owned"), F.lit(0))
     return copies.join(owned, list(on), "left").select(*keys, BUCKET, total.alias(name))
@@ -165,8 +169,12 @@ def child_count_by_hour(
     item: str,
     name: str = "children",
     hours: HourRange | None = None,
+    unique_parents: bool = False,
 ) -> DataFrame:
     """Number of children by (keys, bucket of the parent's ``ts``); 0 where there are
     parents but no children."""
-    leg = child_leg(parents, children, on=on, keys=keys, ts=ts, item=item, name=name, hours=hours)
+    leg = child_leg(
+        parents, children, on=on, keys=keys, ts=ts, item=item, name=name, hours=hours,
+        unique_parents=unique_parents,
+    )
     return hourly_sums(leg, keys)

@@ -13,13 +13,6 @@ from hourgrid.operators.metrics import hourly_sums
 from hourgrid.operators.spine import BUCKET, HourRange, entity_buckets, hour_columns
 
 
-def hourly_activity(legs: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """All metrics of all legs by (keys, bucket), with one shuffle. A metric is NULL
-    where its leg has no row."""
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), legs)
-    return hourly_sums(stacked, keys)
-
-
 def with_local_time(df: DataFrame, columns: Mapping[str, str], zone: str) -> DataFrame:
     """Add the wall-clock time of UTC timestamps; ``columns`` maps each new name to its
     source, and the zone is read from column ``zone`` of the same row."""
@@ -41,16 +34,21 @@ def hourly_rollup(
     the rest of the registry, every metric (NULL where nothing happened), and the local
     start and end.
 
-    The join is on the bucket instant; ``date_hour`` is only its label. What lies outside
-    the hours or the registry is not in the result; ``coverage`` counts it.
+    Each leg is summed on its own, before any join: at most one row per entity and hour is
+    left of it, and those partitions are the ones the join needs. The join is on the bucket
+    instant; ``date_hour`` is only its label. What lies outside the hours or the registry
+    is not in the result; ``coverage`` counts it.
     """
     require_utc(registry.sparkSession)
-    activity = hourly_activity(legs, keys)
-    metrics = [name for name in activity.columns if name not in (*keys, BUCKET)]
     attributes = [name for name in registry.columns if name not in keys]
-    dense = entity_buckets(registry, hours, keys).join(activity, [*keys, BUCKET], "left")
+    dense = entity_buckets(registry, hours, keys)
+    metrics = []
+    for leg in legs:
+        sums = hourly_sums(leg, keys)
+        metrics += [name for name in sums.columns if name not in (*keys, BUCKET)]
+        dense = dense.join(sums, [*keys, BUCKET], "left")
     # Only the bucket crosses the shuffle; the other time columns are made from it here.
-    dense = dense.select("*", *hour_columns(hours)).select(
+    dense = dense.select(*keys, *attributes, *metrics, *hour_columns(hours)).select(
         *keys, "date_hour", "start_time", "id_hours", "end_time", *attributes, *metrics
     )
     return with_local_time(
@@ -66,7 +64,10 @@ def coverage(registry: DataFrame, legs: Sequence[DataFrame], *, keys: Sequence[s
     Takes legs made with ``keep_outside=True``. Sums by key come first, so the registry
     meets at most one row per entity and hour.
     """
-    activity = hourly_activity(legs, keys)
+    activity = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [hourly_sums(leg, keys) for leg in legs],
+    )
     metrics = [name for name in activity.columns if name not in (*keys, BUCKET)]
     known = registry.select(*keys).distinct().withColumn("_known", F.lit(True))
     registered, in_hours = F.col("_known").isNotNull(), F.col(BUCKET).isNotNull()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,7 +51,8 @@ REPORT_COLUMNS = [
 class MachineLogs:
     """The six inputs, with the column names of ``sources.schemas`` and times as
     timestamps. Sites carry ``meta_orb_site`` and ``timezone``. Any source will do; only
-    the columns in use need to be there."""
+    the columns in use need to be there. ``unique_unloads`` promises that no unload comes
+    twice, see ``child_leg``."""
 
     sites: DataFrame
     machines: DataFrame
@@ -59,6 +60,7 @@ class MachineLogs:
     attempts: DataFrame
     unloads: DataFrame
     unload_items: DataFrame
+    unique_unloads: bool = False
 
     @classmethod
     def from_csv(
@@ -85,12 +87,12 @@ class MachineLogs:
     def at_site(self, site: str) -> MachineLogs:
         """The same logs, one site only. Filter the inputs like this for a result about
         one site: a filter on the rollup reaches every scan but that of the items."""
-        return MachineLogs(
-            **{
-                each.name: getattr(self, each.name).filter(F.col("meta_orb_site") == site)
-                for each in fields(self)
-            }
-        )
+        tables = {
+            each.name: getattr(self, each.name).filter(F.col("meta_orb_site") == site)
+            for each in fields(self)
+            if each.name != "unique_unloads"
+        }
+        return replace(self, **tables)
 
     @property
     def registry(self) -> DataFrame:
@@ -111,7 +113,7 @@ class MachineLogs:
             child_leg(
                 self.unloads, self.unload_items,
                 on=[*KEYS, "unload_id"], ts="event_time", item="item_id",
-                name="units_unloaded", **bounds,
+                name="units_unloaded", unique_parents=self.unique_unloads, **bounds,
             ),
         ]
 

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from hourgrid.operators import (
     HourRange,
     child_count_by_hour,
-    events_by_hour,
-    hourly_activity,
     event_leg,
+    events_by_hour,
+    hourly_sums,
     state_seconds_by_hour,
 )
 
@@ -79,7 +79,7 @@ def test_merged_counts_keep_null_apart_from_zero(spark):
     log = events(spark, EVENTS)
     complete = F.col("outcome") == "complete"
     leg = event_leg(log, {"n": None, "ok": complete}, keys=KEYS, ts="ts", id="id")
-    merged = by_bucket(hourly_activity([leg], KEYS), "n", "ok")
+    merged = by_bucket(hourly_sums(leg, KEYS), "n", "ok")
     total = by_bucket(events_by_hour(log, keys=KEYS, ts="ts", id="id", name="n"), "n")
     part = by_bucket(events_by_hour(log, keys=KEYS, ts="ts", id="id", where=complete, name="ok"), "ok")
     assert merged == {key: (n, part.get(key, (None,))[0]) for key, (n,) in total.items()}
@@ -139,6 +139,7 @@ def test_children_with_a_hot_and_a_repeated_parent(spark):
     parents, children = family(spark, parents, children)
     counts = by_bucket(child_counts(parents, children), "n")
     assert counts == by_bucket(plain_join_counts(parents, children), "n")
+    assert counts == by_bucket(child_counts(parents, children, unique_parents=True), "n")
     hours = HourRange.between("1970-01-01 01:00", "1970-01-01 03:00")
     inside = by_bucket(child_counts(parents, children, hours=hours), "n")
     assert inside == {key: n for key, n in counts.items() if hours.lower <= key[2] < hours.upper}

@@ -144,9 +144,8 @@ def test_report_fills_numbers_only(rollup):
 def test_one_pass_equals_one_table_per_metric(spark):
     """The merged rollup against six separate tables joined one after the other."""
     sf_dir = "/root/testdata/sf0.001"
-    registry = contract._registry(spark, sf_dir)
-    events = contract._named(contract._intervals(spark, sf_dir), registry)
-    unloads = contract._named(contract._unloads(spark, sf_dir), registry)
+    events = contract._named(contract._intervals(spark, sf_dir))
+    unloads = contract._named(contract._unloads(spark, sf_dir))
     keys = contract.KEYS
     tables = [
         state_seconds_by_hour(
