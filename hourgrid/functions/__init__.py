@@ -6,6 +6,7 @@ from hourgrid.functions.time import (
     hour_label,
     local_time,
     require_utc,
+    whole_seconds,
 )
 
 __all__ = [
@@ -16,4 +17,5 @@ __all__ = [
     "hour_label",
     "local_time",
     "require_utc",
+    "whole_seconds",
 ]

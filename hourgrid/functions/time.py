@@ -44,6 +44,11 @@ def epoch_to_ts(epoch: Column) -> Column:
     return F.when(seconds.between(FIRST_EPOCH, LAST_EPOCH), F.timestamp_seconds(seconds))
 
 
+def whole_seconds(ts: Column) -> Column:
+    """Epoch seconds of a timestamp, rounded down; a zone-less one is taken as UTC."""
+    return F.unix_seconds(ts.cast("timestamp"))
+
+
 def hour_floor(seconds: Column) -> Column:
     """Epoch second of the start of the hour, also before 1970."""
     return seconds - F.pmod(seconds, F.lit(HOUR))
@@ -51,7 +56,7 @@ def hour_floor(seconds: Column) -> Column:
 
 def hour_bucket(ts: Column) -> Column:
     """Start of the hour that holds ``ts``."""
-    return F.timestamp_seconds(hour_floor(F.unix_seconds(ts)))
+    return F.timestamp_seconds(hour_floor(whole_seconds(ts)))
 
 
 def hour_label(ts: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourgrid.functions import HOUR, hour_floor
+from hourgrid.functions import HOUR, hour_floor, whole_seconds
 from hourgrid.operators.spine import BUCKET, HourRange
 
 
@@ -36,7 +36,7 @@ def split_intervals(
     if hours is not None and not keep_outside:
         # On the stored columns, for the scan; the whole-second test below is the exact one.
         spans = spans.filter((F.col(start) < hours.upper_ts) & (F.col(end) > hours.lower_ts))
-    spans = spans.withColumns({"_s": F.unix_seconds(start), "_e": F.unix_seconds(end)})
+    spans = spans.withColumns({"_s": whole_seconds(F.col(start)), "_e": whole_seconds(F.col(end))})
     spans = spans.filter("_e > _s")
 
     s, e = F.col("_s"), F.col("_e")
@@ -78,6 +78,6 @@ def interval_rejects(log: DataFrame, *, start: str, end: str) -> DataFrame:
     reason = (
         F.when(F.col(start).isNull(), "no start")
         .when(F.col(end).isNull(), "no end")
-        .when(F.unix_seconds(end) < F.unix_seconds(start), "reversed")
+        .when(whole_seconds(F.col(end)) < whole_seconds(F.col(start)), "reversed")
     )
     return log.withColumn("reject_reason", reason).filter("reject_reason is not null")

@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.functions import HOUR, hour_floor, hour_label, require_utc
+from hourgrid.functions import HOUR, hour_floor, hour_label, require_utc, whole_seconds
 
 BUCKET = "bucket"
 HOURS_PER_DAY = 24
@@ -100,8 +100,8 @@ def hour_spine_over(log: DataFrame, ts: str) -> DataFrame:
     """
     require_utc(log.sparkSession)
     bounds = log.agg(
-        hour_floor(F.unix_seconds(F.min(ts))).alias("first"),
-        hour_floor(F.unix_seconds(F.max(ts))).alias("last"),
+        hour_floor(whole_seconds(F.min(ts))).alias("first"),
+        hour_floor(whole_seconds(F.max(ts))).alias("last"),
     )
     ids = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(last - first) div {HOUR}"))
     start = F.timestamp_seconds(F.col("first") + F.col("id") * HOUR)

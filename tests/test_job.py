@@ -180,6 +180,11 @@ def test_write_keeps_nulls(spark, rollup, tmp_path):
         assert back.exceptAll(rollup).count() == 0 and back.count() == rollup.count()
 
 
+def test_jdbc_options_reach_the_driver_manager(rollup):
+    with pytest.raises(Exception, match="No suitable driver"):
+        write_rollup(rollup, "jdbc", url="jdbc:none://nowhere/db", dbtable="t", user="u", password="p")
+
+
 def test_write_and_read_days(spark, rollup, tmp_path):
     path = str(tmp_path / "days")
     write_daily(rollup, path)
