@@ -41,7 +41,7 @@ from hourgrid.operators import (  # noqa: E402
     with_local_time,
 )
 from hourgrid.plans.machines import REPORT_COLUMNS, REPORT_ORDER, ROLLUP_SCHEMA  # noqa: E402
-from hourgrid.sources import read_daily, read_parquet, write_daily, write_rollup  # noqa: E402
+from hourgrid.sources import publish, read_daily, read_parquet, write_rollup  # noqa: E402
 
 HOURS = HourRange.between("2024-01-01", "2024-01-31")
 REPORT_SITE = "AMERICA"
@@ -290,7 +290,7 @@ def written_rollup(spark, sf_dir):
 
 def written_days(spark, sf_dir):
     path = _scratch(spark)
-    write_daily(_rollup(spark, sf_dir), path)
+    publish(_rollup(spark, sf_dir), path)
     part = HourRange.between("2024-01-10 06:00", "2024-01-20 18:00")
     return _as_text(read_daily(spark, path, ROLLUP_SCHEMA, hours=part))
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from hourgrid.functions import HOUR, hour_floor, whole_seconds
 from hourgrid.operators.spine import BUCKET, HourRange
 
+BLOCK = 1024 * HOUR
+
 
 def split_intervals(
     log: DataFrame,
@@ -44,7 +46,7 @@ def split_intervals(
     if hours is not None:
         first = F.greatest(first, F.lit(hours.lower))
         last = F.least(last, F.lit(hours.upper - HOUR))
-    buckets = F.sequence(first, last, F.lit(HOUR).cast("bigint"))
+    blocks = F.sequence(first, last, F.lit(BLOCK).cast("bigint"))
     bucket = F.col("_bucket")
     seconds = F.least(e, bucket + HOUR) - F.greatest(s, bucket)
 
@@ -53,21 +55,31 @@ def split_intervals(
         if keep_outside:
             inside = F.greatest(inside, F.lit(0))
             none = F.array().cast("array<bigint>")
-            buckets = F.when(inside > 0, buckets).otherwise(none)
             outside = F.array(F.lit(None).cast("bigint"))
-            buckets = F.concat(buckets, F.when(e - s > inside, outside).otherwise(none))
+            blocks = F.concat(
+                F.when(inside > 0, blocks).otherwise(none),
+                F.when(e - s > inside, outside).otherwise(none),
+            )
             seconds = F.when(bucket.isNull(), e - s - inside).otherwise(seconds)
         else:
             spans = spans.filter(inside > 0)
 
+    # In two steps, so that no array is longer than a block or the number of blocks; the
+    # outer form keeps the NULL block of the seconds outside.
+    block = F.col("_block")
+    buckets = F.sequence(
+        block, F.least(F.col("_last"), block + (BLOCK - HOUR)), F.lit(HOUR).cast("bigint")
+    )
+    number = "bigint" if keep_outside else "int"
     return (
-        spans.select("*", F.explode(buckets).alias("_bucket"))
-        .withColumn("seconds", seconds.cast("bigint" if keep_outside else "int"))
+        spans.select("*", last.alias("_last"), F.explode(blocks).alias("_block"))
+        .select("*", F.explode_outer(buckets).alias("_bucket"))
+        .withColumn("seconds", seconds.cast(number))
         .select(
             *columns,
             F.timestamp_seconds(bucket).alias(BUCKET),
             "seconds",
-            (F.col("seconds") / 60).cast("bigint" if keep_outside else "int").alias("minutes"),
+            (F.col("seconds") / 60).cast(number).alias("minutes"),
         )
     )
 

@@ -1,7 +1,8 @@
 from hourgrid.sources.readers import read_csv, read_parquet, with_epochs, within_days
-from hourgrid.sources.sinks import read_daily, write_daily, write_rollup
+from hourgrid.sources.sinks import publish, read_daily, write_daily, write_rollup
 
 __all__ = [
+    "publish",
     "read_csv",
     "read_daily",
     "read_parquet",

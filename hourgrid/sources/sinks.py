@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from hourgrid.functions import require_utc
 from hourgrid.operators.spine import HourRange
@@ -19,8 +20,8 @@ def write_rollup(
 
     ``format`` and ``options`` go to Spark unchanged: ``path`` for files; ``url``,
     ``dbtable``, ``user``, ``password``, ``numPartitions`` and ``truncate`` for
-    ``jdbc``. A JDBC write commits per task, so write a table with ``write_daily`` first
-    and send what ``read_daily`` gives: a lost executor then repeats only the transfer.
+    ``jdbc``. A JDBC write commits per task, so ``publish`` a table first and send what that
+    returns: a lost executor then repeats only its part of the transfer.
     """
     rollup.write.format(format).options(**options).mode(mode).save()
 
@@ -38,11 +39,21 @@ def write_daily(rollup: DataFrame, path: str, *, mode: str = "overwrite", **opti
 
 
 def read_daily(
-    spark: SparkSession, path: str, schema: str, *, hours: HourRange | None = None
+    spark: SparkSession, path: str, schema: StructType | str, *, hours: HourRange | None = None
 ) -> DataFrame:
     """Read what ``write_daily`` wrote, under ``schema`` (the rollup's own columns); with
     ``hours``, only the days and hours in that range."""
-    rows = spark.read.schema(f"{schema}, {DAY} date").parquet(path)
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    stored = StructType([*schema.fields, StructField(DAY, DateType())])
+    rows = spark.read.schema(stored).parquet(path)
     if hours is not None:
         rows = within_days(rows, DAY, hours).filter(hours.holds(F.col("start_time")))
     return rows.drop(DAY)
+
+
+def publish(rollup: DataFrame, path: str, *, mode: str = "overwrite", **options: str) -> DataFrame:
+    """Write a rollup with ``write_daily`` and return it as read back, so that reports and
+    transfers made from it do not compute it again."""
+    write_daily(rollup, path, mode=mode, **options)
+    return read_daily(rollup.sparkSession, path, rollup.schema)

@@ -164,6 +164,20 @@ def test_open_end_costs_only_the_range(spark):
         assert pieces == inside | outside
 
 
+def test_long_intervals_without_a_range(spark):
+    end = 86_400 * 365 * 40 + 5
+    log = log_of(spark, [(0, 1, end), (1, 0, 1024 * 3600), (2, 0, 1024 * 3600 + 1)])
+    pieces = split_intervals(log, start="start", end="end")
+    rows = pieces.groupBy("id").agg(
+        F.count("*"), F.countDistinct(BUCKET), F.sum("seconds"), F.max("seconds")
+    )
+    assert sorted(map(tuple, rows.collect())) == [
+        (0, 365 * 40 * 24 + 1, 365 * 40 * 24 + 1, end - 1, 3600),
+        (1, 1024, 1024, 1024 * 3600, 3600),
+        (2, 1025, 1025, 1024 * 3600 + 1, 3600),
+    ]
+
+
 def test_columns_are_kept(spark):
     log = log_of(spark, [(1, 0, 10)]).withColumn("state", F.lit("x"))
     assert split_intervals(log, start="start", end="end").columns == [

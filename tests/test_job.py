@@ -17,6 +17,7 @@ from hourgrid.plans import (
 )
 from hourgrid.plans.machines import REPORT_COLUMNS, ROLLUP_SCHEMA
 from hourgrid.sources import (
+    publish,
     read_csv,
     read_daily,
     read_parquet,
@@ -200,6 +201,14 @@ def test_write_and_read_days(spark, rollup, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in plan
 
 
+def test_published_rollup_is_read_not_computed(rollup, tmp_path):
+    table = publish(rollup, str(tmp_path / "days"))
+    assert table.columns == rollup.columns
+    assert machine_report(table).collect() == machine_report(rollup).collect()
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "InMemory" not in plan.replace("InMemoryFileIndex", "")
+
+
 def test_one_day_can_be_replaced(spark, rollup, tmp_path):
     path = str(tmp_path / "days")
     write_daily(rollup, path)
