@@ -76,12 +76,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/{name}.parquet", TABLES[name])
 
 
-def _text(name: str) -> Column:
-    return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
-
-
 def _as_text(df: DataFrame) -> DataFrame:
-    return df.select(*[_text(c) if t == "timestamp" else F.col(c) for c, t in df.dtypes])
+    form = "date_format({0}, 'yyyy-MM-dd HH:mm:ss') AS {0}"
+    return df.selectExpr(*[form.format(c) if t == "timestamp" else c for c, t in df.dtypes])
 
 
 def _complete() -> Column:
@@ -126,29 +123,28 @@ def _supplier_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as intervals of up to four hours."""
-    end = F.unix_seconds("ts") + (F.col("event_id") * 997) % 14400
-    return _table(spark, sf_dir, "events").select(
-        "event_id", (F.col("user_id") % 25).alias("machine"), "event_type",
-        "ts", F.timestamp_seconds(end).alias("ts_end"),
+    return _table(spark, sf_dir, "events").selectExpr(
+        "event_id", "user_id % 25 AS machine", "event_type", "ts",
+        "timestamp_seconds(unix_seconds(ts) + (event_id * 997) % 14400) AS ts_end",
     )
 
 
 def _unloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as parents spread over a little more than the hours of the spine."""
-    second = HOURS.lower + (F.col("o_orderkey") * 997) % 2700000
-    return _table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") % 25).alias("machine"),
-        F.timestamp_seconds(second).alias("ts"),
+    return _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS l_orderkey", "o_custkey % 25 AS machine",
+        f"timestamp_seconds({HOURS.lower} + (o_orderkey * 997) % 2700000) AS ts",
     )
 
 
 def _named(log: DataFrame) -> DataFrame:
     """Put the names of machine and site, the keys of the registry, in place of the
     machine number: nation k is NATION_k, of region k % 5."""
-    number = F.col("machine")
-    site = F.element_at(F.array(*map(F.lit, REGIONS)), (number % len(REGIONS) + 1).cast("int"))
-    names = {"orb_site": site, "machine_name": F.concat(F.lit("NATION_"), number.cast("string"))}
-    return log.withColumns(names).drop("machine")
+    regions = ", ".join(f"'{name}'" for name in REGIONS)
+    return log.selectExpr(
+        "*", f"array({regions})[int(machine % {len(REGIONS)})] AS orb_site",
+        "concat('NATION_', machine) AS machine_name",
+    ).drop("machine")
 
 
 def _legs(
@@ -213,7 +209,7 @@ def epochs(spark, sf_dir):
 
 def splits(spark, sf_dir):
     pieces = split_intervals(_intervals(spark, sf_dir), start="ts", end="ts_end")
-    return pieces.select("event_id", _text(BUCKET), "seconds", "minutes")
+    return _as_text(pieces.select("event_id", BUCKET, "seconds", "minutes"))
 
 
 def rejects(spark, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourgrid.functions import HOUR, hour_floor, whole_seconds
+from hourgrid.functions import HOUR, whole_seconds
 from hourgrid.operators.spine import BUCKET, HourRange
 
 BLOCK = 1024 * HOUR
@@ -33,54 +33,51 @@ def split_intervals(
     costs no more than the range is long. With ``keep_outside`` each interval adds one
     row with a NULL bucket for the seconds that lie outside.
     """
-    columns = log.columns
     spans = log
     if hours is not None and not keep_outside:
         # On the stored columns, for the scan; the whole-second test below is the exact one.
-        spans = spans.filter((F.col(start) < hours.upper_ts) & (F.col(end) > hours.lower_ts))
-    spans = spans.withColumns({"_s": whole_seconds(F.col(start)), "_e": whole_seconds(F.col(end))})
-    spans = spans.filter("_e > _s")
-
-    s, e = F.col("_s"), F.col("_e")
-    first, last = hour_floor(s), hour_floor(e - 1)
-    if hours is not None:
-        first = F.greatest(first, F.lit(hours.lower))
-        last = F.least(last, F.lit(hours.upper - HOUR))
-    blocks = F.sequence(first, last, F.lit(BLOCK).cast("bigint"))
-    bucket = F.col("_bucket")
-    seconds = F.least(e, bucket + HOUR) - F.greatest(s, bucket)
+        spans = spans.filter(
+            f"`{start}` < timestamp_seconds({hours.upper}) "
+            f"AND `{end}` > timestamp_seconds({hours.lower})"
+        )
+    spans = spans.selectExpr(
+        "*",
+        f"unix_seconds(timestamp(`{start}`)) AS _s",
+        f"unix_seconds(timestamp(`{end}`)) AS _e",
+    ).filter("_e > _s")
 
-    if hours is not None:
-        inside = F.least(e, F.lit(hours.upper)) - F.greatest(s, F.lit(hours.lower))
+    first, last = f"_s - pmod(_s, {HOUR})", f"_e - 1 - pmod(_e - 1, {HOUR})"
+    seconds = f"least(_e, _bucket + {HOUR}) - greatest(_s, _bucket)"
+    if hours is None:
+        blocks = f"sequence({first}, {last}, {BLOCK}L)"
+    else:
+        first = f"greatest({first}, {hours.lower})"
+        last = f"least({last}, {hours.upper - HOUR})"
+        blocks = f"sequence({first}, {last}, {BLOCK}L)"
+        inside = f"least(_e, {hours.upper}) - greatest(_s, {hours.lower})"
         if keep_outside:
-            inside = F.greatest(inside, F.lit(0))
-            none = F.array().cast("array<bigint>")
-            outside = F.array(F.lit(None).cast("bigint"))
-            blocks = F.concat(
-                F.when(inside > 0, blocks).otherwise(none),
-                F.when(e - s > inside, outside).otherwise(none),
+            spans = spans.selectExpr("*", f"greatest({inside}, 0) AS _inside")
+            blocks = (
+                f"concat(if(_inside > 0, {blocks}, array()), "
+                "if(_e - _s > _inside, array(CAST(NULL AS bigint)), array()))"
             )
-            seconds = F.when(bucket.isNull(), e - s - inside).otherwise(seconds)
+            seconds = f"if(_bucket IS NULL, _e - _s - _inside, {seconds})"
         else:
-            spans = spans.filter(inside > 0)
+            spans = spans.filter(f"{inside} > 0")
 
     # In two steps, so that no array is longer than a block or the number of blocks; the
     # outer form keeps the NULL block of the seconds outside.
-    block = F.col("_block")
-    buckets = F.sequence(
-        block, F.least(F.col("_last"), block + (BLOCK - HOUR)), F.lit(HOUR).cast("bigint")
-    )
+    buckets = f"sequence(_block, least(_last, _block + {BLOCK - HOUR}), {HOUR}L)"
     number = "bigint" if keep_outside else "int"
     return (
-        spans.select("*", last.alias("_last"), F.explode(blocks).alias("_block"))
-        .select("*", F.explode_outer(buckets).alias("_bucket"))
-        .withColumn("seconds", seconds.cast(number))
+        spans.selectExpr("*", f"{last} AS _last", f"explode({blocks}) AS _block")
+        .selectExpr("*", f"explode_outer({buckets}) AS _bucket")
         .select(
-            *columns,
-            F.timestamp_seconds(bucket).alias(BUCKET),
-            "seconds",
-            (F.col("seconds") / 60).cast(number).alias("minutes"),
+            *log.columns,
+            F.expr(f"timestamp_seconds(_bucket) AS {BUCKET}"),
+            F.expr(f"CAST({seconds} AS {number}) AS seconds"),
         )
+        .selectExpr("*", f"CAST(seconds / 60 AS {number}) AS minutes")
     )
 
 

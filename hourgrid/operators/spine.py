@@ -71,13 +71,14 @@ class HourRange:
         return (ts >= self.lower_ts) & (ts < self.upper_ts)
 
 
-def _hour_columns(start: Column, id_hours: Column) -> list[Column]:
-    """Columns of one spine row. ``end_time`` is the last second of the hour."""
+def _hour_columns(start: str, id_hours: str) -> list[Column]:
+    """Columns of one spine row, from SQL text for its start and its number. ``end_time``
+    is the last second of the hour."""
     return [
-        start.alias("start_time"),
-        id_hours.cast("bigint").alias("id_hours"),
-        hour_label(start).alias("date_hour"),
-        F.timestamp_seconds(F.unix_seconds(start) + (HOUR - 1)).alias("end_time"),
+        F.expr(f"{start} AS start_time"),
+        F.expr(f"{id_hours} AS id_hours"),
+        hour_label(F.expr(start)).alias("date_hour"),
+        F.expr(f"timestamp_seconds(unix_seconds({start}) + {HOUR - 1}) AS end_time"),
     ]
 
 
@@ -89,8 +90,8 @@ def hour_spine(spark: SparkSession, hours: HourRange) -> DataFrame:
     """
     require_utc(spark)
     tasks = -(-hours.count // SPINE_ROWS_PER_TASK)
-    start = F.timestamp_seconds(F.lit(hours.first) + F.col("id") * HOUR)
-    return spark.range(0, hours.count, 1, tasks).select(*_hour_columns(start, F.col("id")))
+    start = f"timestamp_seconds({hours.first} + id * {HOUR})"
+    return spark.range(0, hours.count, 1, tasks).select(*_hour_columns(start, "id"))
 
 
 def hour_spine_over(log: DataFrame, ts: str) -> DataFrame:
@@ -103,11 +104,8 @@ def hour_spine_over(log: DataFrame, ts: str) -> DataFrame:
         hour_floor(whole_seconds(F.min(ts))).alias("first"),
         hour_floor(whole_seconds(F.max(ts))).alias("last"),
     )
-    ids = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(last - first) div {HOUR}"))
-    start = F.timestamp_seconds(F.col("first") + F.col("id") * HOUR)
-    return bounds.select("first", F.explode(ids).alias("id")).select(
-        *_hour_columns(start, F.col("id"))
-    )
+    numbered = bounds.selectExpr("first", f"explode(sequence(0L, (last - first) div {HOUR})) AS id")
+    return numbered.select(*_hour_columns(f"timestamp_seconds(first + id * {HOUR})", "id"))
 
 
 def entity_buckets(registry: DataFrame, hours: HourRange, keys: Sequence[str]) -> DataFrame:
@@ -118,22 +116,23 @@ def entity_buckets(registry: DataFrame, hours: HourRange, keys: Sequence[str]) -
     partition; rows are first widened to days, spread by (keys, day), and only then
     widened to hours, so that no single task makes the whole grid.
     """
-    days = F.sequence(F.lit(0).cast("bigint"), F.lit((hours.count - 1) // HOURS_PER_DAY).cast("bigint"))
-    blocks = registry.select("*", F.explode(days).alias("_day")).repartition(*keys, "_day")
-    first = F.lit(hours.lower) + F.col("_day") * (HOURS_PER_DAY * HOUR)
-    last = F.least(first + (HOURS_PER_DAY - 1) * HOUR, F.lit(hours.upper - HOUR))
-    seconds = F.explode(F.sequence(first, last, F.lit(HOUR).cast("bigint"))).alias("_s")
-    return blocks.select(*registry.columns, seconds).select(
-        *registry.columns, F.timestamp_seconds("_s").alias(BUCKET)
+    columns = registry.columns
+    days = f"sequence(0L, {(hours.count - 1) // HOURS_PER_DAY}L)"
+    first = f"{hours.lower} + _day * {HOURS_PER_DAY * HOUR}"
+    last = f"least({first} + {(HOURS_PER_DAY - 1) * HOUR}, {hours.upper - HOUR})"
+    return (
+        registry.selectExpr("*", f"explode({days}) AS _day")
+        .repartition(*keys, "_day")
+        .select(*columns, F.expr(f"explode(sequence({first}, {last}, {HOUR}L)) AS _s"))
+        .select(*columns, F.expr(f"timestamp_seconds(_s) AS {BUCKET}"))
     )
 
 
 def hour_columns(hours: HourRange) -> list[Column]:
     """The spine's columns, from the ``bucket`` of a row."""
-    bucket = F.col(BUCKET)
     late = hours.first - hours.lower
-    start = F.timestamp_seconds(F.unix_seconds(bucket) + late) if late else bucket
-    return _hour_columns(start, (F.unix_seconds(bucket) - hours.lower) / HOUR)
+    start = f"timestamp_seconds(unix_seconds({BUCKET}) + {late})" if late else BUCKET
+    return _hour_columns(start, f"(unix_seconds({BUCKET}) - {hours.lower}) div {HOUR}")
 
 
 def entity_hour_grid(registry: DataFrame, hours: HourRange, keys: Sequence[str]) -> DataFrame:

@@ -178,6 +178,19 @@ def test_long_intervals_without_a_range(spark):
     ]
 
 
+def test_range_before_1970(spark):
+    hours = HourRange.between("1969-12-31 20:00", "1969-12-31 22:00")
+    rows = [(0, -20_000, 5), (1, -10_801, -10_799)]
+    for keep in (False, True):
+        pieces = seconds_of(
+            split_intervals(
+                log_of(spark, rows), start="start", end="end", hours=hours, keep_outside=keep
+            )
+        )
+        inside = {(0, -14400): 3600, (0, -10800): 3600, (0, -7200): 3600, (1, -14400): 1, (1, -10800): 1}
+        assert pieces == inside | ({(0, None): 20_005 - 10_800} if keep else {})
+
+
 def test_columns_are_kept(spark):
     log = log_of(spark, [(1, 0, 10)]).withColumn("state", F.lit("x"))
     assert split_intervals(log, start="start", end="end").columns == [

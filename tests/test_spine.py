@@ -64,6 +64,15 @@ def test_spine_rows(spark):
     assert rows[2].date_hour == "2023-01-01 00"
 
 
+def test_spine_and_grid_before_1970(spark):
+    hours = HourRange.between("1969-12-31 22:30", "1970-01-01 00:30")
+    registry = spark.createDataFrame([("A", "M0", "UTC")], REGISTRY)
+    grid = entity_hour_grid(registry, hours, ["site", "machine"]).drop(*registry.columns)
+    labels = [(row.id_hours, row.date_hour) for row in hour_spine(spark, hours).orderBy("id_hours").collect()]
+    assert labels == [(0, "1969-12-31 22"), (1, "1969-12-31 23"), (2, "1970-01-01 00")]
+    assert sorted(grid.collect()) == sorted(hour_spine(spark, hours).collect())
+
+
 def test_spine_ids_do_not_depend_on_partitions(spark, monkeypatch):
     from hourgrid.operators import spine
 
