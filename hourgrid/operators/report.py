@@ -10,13 +10,13 @@ from pyspark.sql import Column, DataFrame
 def report_view(
     rollup: DataFrame,
     *,
-    where: Column | None = None,
+    where: Column | str | None = None,
     order_by: Sequence[str],
     columns: Sequence[str],
     limit: int | None = 500,
 ) -> DataFrame:
-    """Rows that meet ``where``, NULL numbers shown as 0, the first ``limit`` by
-    ``order_by``.
+    """Rows that meet ``where`` (a column or SQL text), NULL numbers shown as 0, the first
+    ``limit`` by ``order_by``.
 
     The fill touches numbers only and is for display: write the rollup itself to keep
     NULL apart from 0. Sort and limit run as one top-k, so no full sort takes place.

@@ -128,7 +128,7 @@ def machine_report(
     rollup: DataFrame,
     *,
     since: str | datetime | None = None,
-    where: Column | None = None,
+    where: Column | str | None = None,
     limit: int | None = 500,
 ) -> DataFrame:
     """The first rows of a rollup by site, machine and hour, for reading.

@@ -135,6 +135,10 @@ def test_report(rollup):
     assert rows[0].start_time == datetime(2022, 11, 21, 19)
     assert [row.machine_name for row in rows] == ["M1"] * 60 + ["M2"] * 10
     assert all(row.units_unloaded is not None for row in rows)
+    by_label = machine_report(
+        rollup, where="date_hour >= '2022-11-21 19' and orb_site = 'Toronto'", limit=70
+    )
+    assert by_label.collect() == rows
 
 
 def test_report_over_part_of_the_range(logs, rollup):
