@@ -62,6 +62,15 @@ def test_every_leg_is_summed_before_its_shuffle(big_tables):
     assert sum("Project" in line for line in below) == 1  # the grid
 
 
+def test_parents_and_children_are_counted_before_they_meet(big_tables):
+    plan = plan_of(contract.child_counts(big_tables, SF_DIR))
+    lines = [line.strip(" :+-*()0123456789") for line in plan.splitlines()]
+    below = [lines[i + 1] for i, line in enumerate(lines) if line.startswith("Exchange")]
+    assert ["partial_" in line for line in below].count(True) == 3  # parents, children, result
+    (again,) = [line for line in below if "partial_" not in line]  # counted parents, to the join
+    assert again.startswith("HashAggregate") and "functions=[count(1)]" in again
+
+
 def test_range_and_states_reach_the_scan(big_tables):
     plan = plan_of(contract.rollup(big_tables, SF_DIR))
     states, attempts = sorted(scans(plan, "events"), key=lambda line: "In(event_type" not in line)
