@@ -43,6 +43,17 @@ from hourgrid.operators import (  # noqa: E402
 from hourgrid.plans.machines import REPORT_COLUMNS, REPORT_ORDER, ROLLUP_SCHEMA  # noqa: E402
 from hourgrid.sources import publish, read_parquet, write_rollup  # noqa: E402
 
+try:  # the operators for training data and their pipeline can be taken out
+    from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL, run as pipeline  # noqa: E402
+    from hourgrid.llm.queries import ORACLES as MORE_SQL, QUERIES as MORE_QUERIES  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "hourgrid.llm", "hourgrid.llm.queries"):
+        raise
+    PIPELINE_SQL, MORE_SQL, MORE_QUERIES = None, {}, {}
+else:
+    MORE_QUERIES = MORE_QUERIES | {"pipeline": pipeline}
+    MORE_SQL = MORE_SQL | ({"pipeline": PIPELINE_SQL} if PIPELINE_SQL else {})
+
 HOURS = HourRange.between("2024-01-01", "2024-01-31")
 REPORT_SITE = "AMERICA"
 REPORT_SINCE = "2024-01-05 19:00:00"
@@ -295,6 +306,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return hourly_queries() | MORE_QUERIES
+
+
+def hourly_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "hour_spine": hour_spine,
         "entity_registry": registry,
@@ -431,6 +446,10 @@ FROM amounts WHERE metric IS NOT NULL GROUP BY metric"""
 
 
 def oracle_sql() -> dict[str, str]:
+    return hourly_sql() | MORE_SQL
+
+
+def hourly_sql() -> dict[str, str]:
     bucket = _HOUR_TEXT.format("h")
     start_bucket = _HOUR_TEXT.format("(s - s % 3600)")
     return {

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as contract
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-NAMES = sorted(contract.queries())
+NAMES = sorted(contract.hourly_queries())
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,7 @@ def in_order(rows):
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert contract.hourly_queries().keys() == contract.hourly_sql().keys()
 
 
 @pytest.mark.parametrize("name", NAMES)
