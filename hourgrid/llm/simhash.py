@@ -3,9 +3,11 @@
 Pairs are found with vantage points. A tree of vantage fingerprints and radii, built from a
 bounded sample, deals all fingerprints into leaves: inside the radius or outside. By the
 triangle inequality a fingerprint can be within d bits of one inside only if it is itself
-within radius + d of the vantage, and of one outside only beyond radius - d; it visits
-every leaf that these bounds leave open and is compared with those at home there, by the
-same rule inside the task. Whatever the sample, no pair is lost.
+within radius + d of the vantage, and of one outside only beyond radius - d. So those at
+home inside, but beyond radius - d, also visit the leaves outside, as guests; a guest goes on
+to every leaf that these bounds leave open. Those at home in a leaf are compared with each
+other and with its guests, by the same rule inside the task. Whatever the sample, no pair is
+lost.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ from .common import components, stored
 SAMPLE = 65_536
 #: Fingerprints at home in a leaf, about; with a full sample there are 4,096 leaves at most.
 LEAF = 16_384
-#: Fingerprints of a leaf that one task takes of either side.
-BLOCK = 32_768
+#: Fingerprints of a leaf that one task takes of either side (1 MB).
+BLOCK = 131_072
 #: Comparisons made at once.
 AT_ONCE = 1 << 20
 #: Hashes whose bits are counted at once.
@@ -120,10 +122,11 @@ def visits(nodes: list, prints: np.ndarray, most: int) -> Iterator[tuple[int, np
             continue
         vantage, radius, inside, outside = nodes[at]
         far = distances(np.uint64(vantage), prints[rows])
-        near = far <= radius + most
-        stack.append((inside, rows[near], home[near] & (far[near] <= radius)))
-        near = far > radius - most
-        stack.append((outside, rows[near], home[near] & (far[near] > radius)))
+        within = far <= radius
+        take = np.where(home, within, far <= radius + most)
+        stack.append((inside, rows[take], home[take]))
+        take = far > radius - most
+        stack.append((outside, rows[take], (home & ~within)[take]))
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,12 +147,15 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def close_pairs(home: np.ndarray, guests: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (guest, home) at ``most`` bits or fewer, by vantage points, then one by one."""
+def close_pairs(
+    home: np.ndarray, guests: np.ndarray, most: int, among: bool
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs at ``most`` bits or fewer of a guest and one at home, and, with ``among``, of two
+    at home: by vantage points, then one by one."""
     stack = [(home, guests)]
     while stack:
         home, guests = stack.pop()
-        if not len(home) or not len(guests):
+        if not len(home) or not (among or len(guests)):
             continue
         if len(home) > 512:
             vantage = home[len(home) // 2]
@@ -158,12 +164,16 @@ def close_pairs(home: np.ndarray, guests: np.ndarray, most: int) -> Iterator[tup
             inside = far <= radius
             if not inside.all():
                 seen = distances(vantage, guests)
+                over = [guests[seen > radius - most]]
+                if among:
+                    over.append(home[inside & (far > radius - most)])
                 stack.append((home[inside], guests[seen <= radius + most]))
-                stack.append((home[~inside], guests[seen > radius - most]))
+                stack.append((home[~inside], np.concatenate(over)))
                 continue
+        against = np.concatenate([home, guests]) if among else guests
         step = max(1, AT_ONCE // len(home))
-        for at in range(0, len(guests), step):
-            some = guests[at:at + step]
+        for at in range(0, len(against), step):
+            some = against[at:at + step]
             guest, host = np.nonzero(np.bitwise_count(some[:, None] ^ home[None, :]) <= most)
             apart = some[guest] != home[host]
             if apart.any():
@@ -187,7 +197,9 @@ def near_fingerprints(prints: DataFrame, most: int) -> DataFrame:
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            found = [(leaf, len(rows), int(home.sum())) for leaf, rows, home in visits(tree, values, most)]
+            found = [
+                (leaf, int((~home).sum()), int(home.sum())) for leaf, rows, home in visits(tree, values, most)
+            ]
             if found:
                 leaf, guests, homes = zip(*found)
                 yield pa.RecordBatch.from_pydict({"leaf": leaf, "guests": guests, "homes": homes})
@@ -196,7 +208,10 @@ def near_fingerprints(prints: DataFrame, most: int) -> DataFrame:
         prints.mapInArrow(sizes, "leaf bigint, guests bigint, homes bigint")
         .groupBy("leaf").agg(F.sum("guests").alias("guests"), F.sum("homes").alias("homes")).collect()
     )  # one row per leaf of the tree
-    blocks = {r.leaf: (-(-r.guests // BLOCK), max(1, -(-r.homes // BLOCK))) for r in totals}
+    blocks = {}  # of guests and of homes; homes of more than one block are guests of each other
+    for r in totals:
+        homes = max(1, -(-r.homes // BLOCK))
+        blocks[r.leaf] = max(1, -(-(r.guests + r.homes * (homes > 1)) // BLOCK)), homes
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,22 +222,24 @@ def near_fingerprints(prints: DataFrame, most: int) -> DataFrame:
                 guest, host = _block(own, of_guests), _block(own, of_homes)
                 for g in range(of_guests):
                     for h in range(of_homes):
-                        one, other = guest == g, home & (host == h)
+                        one = (guest == g) if of_homes > 1 else ~home & (guest == g)
+                        other = home & (host == h)
                         take = one | other
                         if take.any():
-                            kind = one[take].astype(np.int8) + 2 * other[take].astype(np.int8)
+                            kind = one[take] + (6 if of_homes == 1 and g == 0 else 2) * other[take]
                             yield pa.RecordBatch.from_pydict({
                                 "leaf": pa.array(np.full(take.sum(), (leaf * of_guests + g) * of_homes + h)),
                                 "part": pa.array(np.full(take.sum(), leaf)),
                                 "fp": pa.array(own[take].view(np.int64)),
-                                "kind": pa.array(kind.astype(np.int64)),
+                                "kind": pa.array(kind.astype(np.int64)),  # 1 guest, 2 home, 4 compare homes
                             })
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         values = rows["fp"].to_numpy().astype(np.int64).view(np.uint64)
         kind = rows["kind"].to_numpy()
         u, v, held = [], [], 0
-        for a, b in close_pairs(np.sort(values[kind >= 2]), np.sort(values[kind % 2 == 1]), most):
+        home, guests = np.sort(values[kind & 2 > 0]), np.sort(values[kind & 1 > 0])
+        for a, b in close_pairs(home, guests, most, bool((kind & 4).any())):
             u.append(a.view(np.int64))
             v.append(b.view(np.int64))
             held += len(a)
