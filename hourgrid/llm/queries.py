@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .boilerplate import dedup_lines
+from .embedding_pairs import link_vectors
 from .language import identify_language
 from .mixing import mix_sources
+from .neighbours import nearest_neighbours
 from .packing import pack_documents
 from .secrets import scan_secrets
 from .simhash import simhash_groups
@@ -29,6 +31,15 @@ def op2_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(rows, rows.filter("vec_id % 50 = 0"))
+
+
+def op5_link_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(_table(spark, sf_dir, "documents"))
 
@@ -50,7 +61,8 @@ def op9_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_mix_sources, op2_scan_secrets, op6_simhash_groups, op7_dedup_lines,
+        op1_mix_sources, op2_scan_secrets, op3_nearest_neighbours, op5_link_vectors,
+        op6_simhash_groups, op7_dedup_lines,
         op8_identify_language, op9_pack_documents,
     )
 }
