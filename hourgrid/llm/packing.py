@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -18,8 +19,10 @@ from .common import stored
 #: Pieces that are packed together, about. The last, emptier sequences of a shard are a
 #: handful among thousands.
 SHARD = 20_000
-#: Words whose tokens a task remembers.
-REMEMBERED = 300_000
+#: Words whose tokens a Python worker remembers, from one task to the next: about 300 MB.
+REMEMBERED = 1_500_000
+#: Texts tokenised at once.
+TEXTS = 256
 
 
 @cache
@@ -43,18 +46,22 @@ class WordTokens:
         self.tokenizer = tokenizer_at(path)
         self.known: dict[bytes, bytes] = {}
 
-    def ids(self, text: bytes) -> bytes:
-        words = text.split()
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        split = [text.split() for text in texts]
         known = self.known
-        new = list({w for w in words if w not in known})
+        words = set().union(*split)
+        new = list(words.difference(known))
         if len(known) + len(new) > REMEMBERED and known:
             known.clear()
-            new = list(set(words))
-        for encoding, word in zip(
-            self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False), new
-        ):
-            known[word] = np.array(encoding.ids, dtype="<u4").tobytes()
-        return b"".join([known[w] for w in words])
+            new = list(words)
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        known.update(zip(new, [array("I", encoding.ids).tobytes() for encoding in found]))
+        return [b"".join([known[w] for w in words]) for words in split]
+
+
+@cache
+def word_tokens(path: str) -> WordTokens:
+    return WordTokens(path)
 
 
 def pieces_of(ids: bytes, capacity: int) -> list[tuple[int, int, int, int]]:
@@ -74,13 +81,17 @@ def token_pieces(docs: DataFrame, *, vocabulary: str, capacity: int, id: str, te
     end = np.array([0], dtype="<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(vocabulary)
+        tokens = word_tokens(vocabulary)
         for batch in batches:
             of, found = [], []
-            for row, body in enumerate(batch.column("text").cast(pa.binary())):
-                pieces = pieces_of(tokens.ids(body.as_py() or b"") + end, capacity)
-                of.extend([row] * len(pieces))
-                found.extend(pieces)
+            texts = batch.column("text").cast(pa.binary())
+            for at in range(0, batch.num_rows, TEXTS):
+                for row, ids in enumerate(
+                    tokens.ids([t or b"" for t in texts.slice(at, TEXTS).to_pylist()]), start=at
+                ):
+                    pieces = pieces_of(ids + end, capacity)
+                    of.extend([row] * len(pieces))
+                    found.extend(pieces)
             piece, start, length, crc = zip(*found) if found else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
