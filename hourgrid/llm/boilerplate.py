@@ -12,6 +12,8 @@ SKETCH_BITS = 12
 #: Estimates within this share of the threshold, and one more, are counted exactly: over
 #: five standard errors.
 MARGIN = 0.1
+#: Parts into which the places of one line are dealt when they meet its first one.
+SALTS = 16
 
 
 def _lines(docs: DataFrame, id: str, text: str, site: str) -> DataFrame:
@@ -78,9 +80,11 @@ def dedup_lines(
     its row stays. An empty table gives no rows.
     """
     shared = boilerplate_lines(docs, id=id, text=text, site=site, min_sites=min_sites)
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
     removed = (
         _lines(docs, id, text, site)
-        .join(shared.select("line", "first"), "line")
+        .withColumn("salt", F.pmod(F.xxhash64("id", "body", "turn"), F.lit(SALTS)).cast("int"))
+        .join(shared.select("line", "first", F.explode(salts).alias("salt")), ["line", "salt"])
         .filter(_order() > F.col("first"))
         .groupBy(F.col("id").alias("__id"), F.col("body").alias("__body"))
         .agg(F.collect_set("turn").alias("__turns"))
