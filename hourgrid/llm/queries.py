@@ -12,6 +12,7 @@ from .language import identify_language
 from .mixing import mix_sources
 from .neighbours import nearest_neighbours
 from .packing import pack_documents
+from .pseudo_likelihood import score_texts
 from .secrets import scan_secrets
 from .simhash import simhash_groups
 
@@ -36,6 +37,10 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(rows, rows.filter("vec_id % 50 = 0"))
 
 
+def op4_score_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op5_link_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -61,7 +66,7 @@ def op9_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_mix_sources, op2_scan_secrets, op3_nearest_neighbours, op5_link_vectors,
+        op1_mix_sources, op2_scan_secrets, op3_nearest_neighbours, op4_score_texts, op5_link_vectors,
         op6_simhash_groups, op7_dedup_lines,
         op8_identify_language, op9_pack_documents,
     )
