@@ -13,6 +13,7 @@ from .mixing import mix_sources
 from .neighbours import nearest_neighbours
 from .packing import pack_documents
 from .pseudo_likelihood import score_texts
+from .repeats import remove_repeats
 from .secrets import scan_secrets
 from .simhash import simhash_groups
 
@@ -63,12 +64,16 @@ def op9_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), vocabulary=WORDS)
 
 
+def op10_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_scan_secrets, op3_nearest_neighbours, op4_score_texts, op5_link_vectors,
         op6_simhash_groups, op7_dedup_lines,
-        op8_identify_language, op9_pack_documents,
+        op8_identify_language, op9_pack_documents, op10_remove_repeats,
     )
 }
 
