@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,9 @@ ROUNDS, MASKED = 2, 0.2
 RATE = 0.05
 #: Words in a step of learning, and scored at once.
 STEP, AT_ONCE = 2_048, 16_384
-#: Words whose tokens a worker remembers.
-REMEMBERED = 500_000
+#: Distinct words that a task counts before it hands on their counts; texts taken at once.
+DISTINCT = 500_000
+TEXTS = 256
 SEED = 3
 
 TOKENS = CLASSES * PLACES
@@ -64,32 +66,37 @@ def unpacked(numbers: np.ndarray) -> Weights:
 
 
 class Words:
-    """Tokens of words. Words are runs of anything but ASCII white space, A-Z lower-cased."""
+    """Tokens of words, by crc32. Words are runs of anything but ASCII white space, A-Z
+    lower-cased."""
 
     def __init__(self, frequent: list[bytes]):
-        self.frequent = {word: number for number, word in enumerate(frequent)}
-        self.known: dict[bytes, int] = {}
+        codes, number = np.unique(
+            np.array([zlib.crc32(word) for word in frequent], dtype=np.uint32), return_index=True
+        )
+        self.codes, self.number = codes, number.astype(np.int32)
 
     def tokens(self, texts: list[bytes]) -> list[np.ndarray]:
         split = [text.lower().split() for text in texts]
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED and self.known:
-            self.known.clear()
-            new = set().union(*split)
-        for word in new:
-            number = self.frequent.get(word)
-            if number is None:
-                number = FREQUENT + zlib.crc32(word) % (TOKENS - FREQUENT)
-            self.known[word] = number
-        known = self.known
-        return [np.array([known[w] for w in words], dtype=np.int64) for words in split]
-
-
-def windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(neighbours, token) of every word of the texts in turn."""
-    gap = np.full(WINDOW, PAD)
+        ends = np.cumsum([len(words) for words in split])
+        codes = np.fromiter(map(zlib.crc32, chain.from_iterable(split)), dtype=np.uint32, count=int(ends[-1]))
+        tokens = FREQUENT + (codes % np.uint32(TOKENS - FREQUENT)).astype(np.int32)
+        if len(self.codes):
+            at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+            known = self.codes[at] == codes
+            tokens[known] = self.number[at[known]]
+        return np.split(tokens, ends[:-1])
+
+
+def windows(
+    texts: list[np.ndarray], chosen: Callable[[int], np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(neighbours, token) of every word of the texts in turn, or of those ``chosen``, which
+    gets their number."""
+    gap = np.full(WINDOW, PAD, dtype=np.int32)
     row = np.concatenate([x for text in texts for x in (gap, text)] + [gap])
     centre = np.nonzero(row != PAD)[0]
+    if chosen is not None:
+        centre = centre[chosen(len(centre))]
     sides = [s for s in range(-WINDOW, WINDOW + 1) if s]
     return np.stack([row[centre + s] for s in sides], axis=1), row[centre]
 
@@ -174,7 +181,7 @@ def frequent_words(docs: DataFrame, text: str) -> list[bytes]:
         for batch in batches:
             for body in batch.column(0).cast(pa.binary()):
                 counts.update((body.as_py() or b"").lower().split())
-                if len(counts) > REMEMBERED:
+                if len(counts) > DISTINCT:
                     yield pa.RecordBatch.from_pydict(
                         {"word": pa.array(list(counts), pa.binary()), "n": pa.array(list(counts.values()), pa.int64())}
                     )
@@ -210,10 +217,9 @@ def train(docs: DataFrame, text: str, frequent: list[bytes], rounds: int = ROUND
 
             for batch in batches:
                 texts = batch.column(0).cast(pa.binary())
-                for at in range(0, batch.num_rows, 64):
-                    near, token = windows(words.tokens([t or b"" for t in texts.slice(at, 64).to_pylist()]))
-                    masked = random.random(len(token)) < MASKED
-                    held.append((near[masked], token[masked]))
+                for at in range(0, batch.num_rows, TEXTS):
+                    tokens = words.tokens([t or b"" for t in texts.slice(at, TEXTS).to_pylist()])
+                    held.append(windows(tokens, lambda n: random.random(n) < MASKED))
                     if sum(len(t) for _, t in held) >= 4 * STEP:
                         learn(STEP)
             if held:
@@ -257,8 +263,8 @@ def score_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", roun
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
             sizes, scores = [], []
-            for at in range(0, batch.num_rows, 64):
-                tokens = words.tokens([t or b"" for t in texts.slice(at, 64).to_pylist()])
+            for at in range(0, batch.num_rows, TEXTS):
+                tokens = words.tokens([t or b"" for t in texts.slice(at, TEXTS).to_pylist()])
                 near, token = windows(tokens)
                 ends = np.cumsum([0, *map(len, tokens)])
                 sums = np.concatenate([[0.0], np.cumsum(log_probabilities(weights, near, token))])
