@@ -26,7 +26,7 @@ WIDTH = 8
 #: Vectors of a slab that one task takes of either side (at 64 dimensions 32 MB).
 PART = 65_536
 #: Rows and columns compared at once.
-ROWS, COLUMNS = 1_024, 4_096
+ROWS, COLUMNS = 256, 2_048
 #: Pairs verified at once.
 VERIFY = 50_000
 #: Slack, far above the error of single (candidates) and double (blocks) precision.
@@ -85,7 +85,8 @@ class Blocks:
                 continue
             for i in range(0, len(hosts), ROWS):
                 for j in range(i if same else 0, len(others), COLUMNS):
-                    host, other = np.nonzero(hosts[i:i + ROWS] @ others[j:j + COLUMNS].T <= bound)
+                    near = hosts[i:i + ROWS] @ others[j:j + COLUMNS].T <= bound
+                    host, other = np.divmod(np.flatnonzero(near), near.shape[1])
                     host, other = host + i, other + j
                     if same:
                         later = other > host
