@@ -30,7 +30,7 @@ LEAF = 16_384
 #: Fingerprints of a leaf that one task takes of either side (1 MB).
 BLOCK = 131_072
 #: Comparisons made at once.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 18
 #: Hashes whose bits are counted at once.
 HASHES = 1 << 16
 
@@ -174,7 +174,8 @@ def close_pairs(
         step = max(1, AT_ONCE // len(home))
         for at in range(0, len(against), step):
             some = against[at:at + step]
-            guest, host = np.nonzero(np.bitwise_count(some[:, None] ^ home[None, :]) <= most)
+            near = np.bitwise_count(some[:, None] ^ home[None, :]) <= most
+            guest, host = np.divmod(np.flatnonzero(near), len(home))
             apart = some[guest] != home[host]
             if apart.any():
                 yield some[guest[apart]], home[host[apart]]
@@ -243,7 +244,7 @@ def near_fingerprints(prints: DataFrame, most: int) -> DataFrame:
             u.append(a.view(np.int64))
             v.append(b.view(np.int64))
             held += len(a)
-            if held > AT_ONCE:
+            if held > 4 * AT_ONCE:
                 a, b = forest(np.concatenate(u), np.concatenate(v))
                 u, v, held = [a], [b], 0
         if u:
