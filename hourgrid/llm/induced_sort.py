@@ -143,9 +143,21 @@ def induced(batches: Sorted, step: int, kind: np.dtype) -> Sorted:
         pairs = np.empty(len(has), dtype=pair)
         pairs["record"], pairs["common"] = rows[has], new[has]
         queue.push(byte, pairs)
-    for key in queue.keys():
-        for part in queue.pop(key):
-            yield part["record"], part["common"]
+    for pairs in _in_batches(part for key in queue.keys() for part in queue.pop(key)):
+        yield pairs["record"], pairs["common"]
+
+
+def _in_batches(parts: Iterable[np.ndarray]) -> Iterator[np.ndarray]:
+    """The same records in arrays of about ``BATCH``."""
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part)
+        if size >= BATCH:
+            yield np.concatenate(held)
+            held, size = [], 0
+    if held:
+        yield np.concatenate(held)
 
 
 def not_first(batches: Iterable[tuple[np.ndarray, np.ndarray]], size: int, found: list) -> Sorted:

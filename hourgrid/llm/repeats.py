@@ -3,10 +3,13 @@
 Suffixes are not all sorted. As in induced sorting by samples, a sample of places is named
 first: the anchors, which are the places of the least hash in some window of as many short
 strings as the length sought holds. Equal strings of that length have an anchor at the same
-distance. Anchors are named by their context, all that such strings around them can cover.
+distance. Anchors whose short string is in one document only are left out by counts of
+short names. The others are named by their context, all that strings around them can cover.
 Where a context stands in an earlier document as it is, all of it goes; where no other
 context has the anchor's string, nothing does; only the rest is sorted, in shards by the
 anchor's string, see `induced_sort`.
+
+Documents are kept in chunks by a hash, and every step that needs texts meets them there.
 """
 
 from __future__ import annotations
@@ -109,72 +112,137 @@ def _regions(of: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.nd
     return of[first], start[first], np.maximum.reduceat(stop, first) if len(first) else stop[:0]
 
 
-def _named(rows: DataFrame, size: int) -> DataFrame:
-    """Anchors of all documents with the names of string and context, and regions (``stop`` not
-    null) that stand in an earlier document of the same batch."""
+def _grams(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, hashes and document numbers of all anchors."""
+    places, hashes, of = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    one = 0
+    while one < len(texts.ends):  # documents of about AT_ONCE bytes at a time
+        to = max(one + 1, int(np.searchsorted(texts.ends, texts.starts[one] + AT_ONCE, "right")))
+        base, ends = int(texts.starts[one]), texts.ends[one:to]
+        at, own = anchors(texts.data[base:int(ends[-1])], ends - base, size)
+        places.append(at + base)
+        hashes.append(own)
+        of.append(one + np.searchsorted(ends - base, at, "right"))
+        one = to
+    return np.concatenate(places), np.concatenate(hashes), np.concatenate(of)
+
+
+def _keys(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """A short name of a string: its shard, then 32 bits. Strings may share one by chance."""
+    shard = (hashes >> np.uint64(32)) % np.uint64(shards)
+    return (shard << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF))
+
+
+def _by_shard(keys: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Of sorted keys, the slice of each shard."""
+    shard = keys >> np.uint64(32)
+    first = np.nonzero(np.append(True, shard[1:] != shard[:-1]))[0] if len(keys) else []
+    for a, b in zip(first, [*first[1:], len(keys)]):
+        yield int(shard[a]), slice(int(a), int(b))
+
+
+def _shared(texts: DataFrame, size: int, shards: int) -> DataFrame:
+    """For each chunk of documents and shard, which of the chunk's anchor strings, by short
+    name in order, may stand in more than one document of the corpus: packed bits. Names go to
+    their shards in blocks of four bytes each."""
+
+    def send(chunk: pa.Table) -> pa.Table:
+        own = Texts(chunk["text"].combine_chunks())
+        order = chunk["order"].to_numpy()
+        _, hashes, of = _grams(own, size)
+        keys, which = np.unique(_keys(hashes, shards), return_inverse=True)
+        least, most = np.full(len(keys), _LAST), np.full(len(keys), -_LAST)
+        np.minimum.at(least, which, order[of])
+        np.maximum.at(most, which, order[of])
+        several = least < most
+        parts = list(_by_shard(keys))
+        number = chunk["chunk"][0].as_py()
+        return pa.table({
+            "shard": pa.array([s for s, _ in parts], pa.int64()),
+            "chunk": pa.array([number] * len(parts), pa.int64()),
+            "names": pa.array([keys[p].astype("<u4").tobytes() for _, p in parts], pa.binary()),
+            "several": pa.array([np.packbits(several[p]).tobytes() for _, p in parts], pa.binary()),
+        })
+
+    def count(rows: pa.Table) -> pa.Table:
+        blocks = [np.frombuffer(b, "<u4") for b in rows["names"].to_pylist()]
+        sizes = [len(b) for b in blocks]
+        marks = [np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(rows["several"].to_pylist(), sizes)]
+        _, which, times = np.unique(np.concatenate(blocks), return_inverse=True, return_counts=True)
+        shared = times > 1
+        shared[which[np.concatenate(marks) > 0]] = True
+        answers = np.split(shared[which], np.cumsum(sizes)[:-1])
+        return pa.table({
+            "chunk": rows["chunk"], "shard": rows["shard"],
+            "shared": pa.array([np.packbits(a).tobytes() for a in answers], pa.binary()),
+        })
+
+    sent = texts.groupBy("chunk").applyInArrow(send, "shard bigint, chunk bigint, names binary, several binary")
+    return sent.groupBy("shard").applyInArrow(count, "chunk bigint, shard bigint, shared binary")
+
+
+def _named(texts: DataFrame, size: int, shards: int) -> DataFrame:
+    """Anchors whose string is shared, with the names of string and context, and regions
+    (``stop`` not null) that stand in an earlier document of the same chunk."""
     reach = size - GRAM
+    schema = pa.schema([
+        ("gram", pa.int64()), ("name", pa.int64()), ("order", pa.int64()), ("doc", pa.int64()),
+        ("at", pa.int32()), ("stop", pa.int32()),
+    ])
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            order = batch.column("order").to_numpy(zero_copy_only=False)
-            doc = batch.column("doc").to_numpy(zero_copy_only=False)
-            texts = Texts(batch.column("text"))
-            grams, names, of, at = [], [], [], []
-            one = 0
-            while one < len(doc):  # documents of about AT_ONCE bytes at a time
-                to = max(one + 1, int(np.searchsorted(texts.ends, texts.starts[one] + AT_ONCE, "right")))
-                base, end = int(texts.starts[one]), int(texts.ends[to - 1])
-                places, hashes = anchors(texts.data[base:end], texts.ends[one:to] - base, size)
-                own = one + np.searchsorted(texts.ends[one:to] - base, places, "right")
-                places = places + base
-                for a in range(0, len(places), CONTEXTS):
-                    some = slice(a, a + CONTEXTS)
-                    left, before, right, after = texts.contexts(own[some], places[some], reach, size)
-                    width = -(-(reach + size + 2) // 8) * 8
-                    row = np.zeros((len(before), width), dtype=np.uint8)
-                    row[:, :reach], row[:, reach:reach + size] = left, right
-                    row[:, -2], row[:, -1] = before, after
-                    names.append(_mixed(list(row.view("<u8").T)))
-                grams.append(hashes)
-                of.append(own)
-                at.append(places)
-                one = to
-            if not grams:
-                continue
-            gram, of, at = np.concatenate(grams), np.concatenate(of), np.concatenate(at)
-            if not len(gram):
-                continue
-            name = np.concatenate(names)
-            # one that stands in the batch earlier is decided
-            by = np.lexsort([order[of], name, gram])
-            first = np.ones(len(by), dtype=bool)
-            first[1:] = (gram[by][1:] != gram[by][:-1]) | (name[by][1:] != name[by][:-1])
-            least = order[of[by]][np.maximum.accumulate(np.where(first, np.arange(len(by)), 0))]
-            sure = np.zeros(len(by), dtype=bool)
-            sure[by] = order[of[by]] > least
-            local = at - texts.starts[of]
-            s = np.nonzero(sure)[0]
-            r_of, r_start, r_stop = _regions(
-                of[s], np.maximum(local[s] - reach, 0),
-                np.minimum(local[s] + size, texts.ends[of[s]] - texts.starts[of[s]]),
-            )
-            rest = np.nonzero(~sure)[0]
-            both = np.concatenate([of[rest], r_of])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([gram[rest].view(np.int64), doc[r_of]])),
-                    pa.array(np.concatenate([name[rest].view(np.int64), doc[r_of]])),
-                    pa.array(order[both]), pa.array(doc[both]),
-                    pa.array(np.concatenate([local[rest], r_start]).astype(np.int32)),
-                    pa.array(
-                        np.concatenate([np.zeros(len(rest), np.int32), r_stop.astype(np.int32)]),
-                        mask=np.arange(len(both)) < len(rest),
-                    ),
-                ],
-                ["gram", "name", "order", "doc", "at", "stop"],
-            )
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left) or not len(right):
+            return schema.empty_table()
+        texts = Texts(left["text"].combine_chunks())
+        order, doc = left["order"].to_numpy(), left["doc"].to_numpy()
+        at, gram, of = _grams(texts, size)
+        keys, which = np.unique(_keys(gram, shards), return_inverse=True)
+        answer = dict(zip(right["shard"].to_pylist(), right["shared"].to_pylist()))
+        shared = np.concatenate([
+            np.unpackbits(np.frombuffer(answer[s], np.uint8), count=p.stop - p.start) for s, p in _by_shard(keys)
+        ])
+        some = np.nonzero(shared[which])[0]
+        at, gram, of = at[some], gram[some], of[some]
+        width = -(-(reach + size + 2) // 8) * 8
+        names = [np.zeros(0, np.uint64)]
+        for a in range(0, len(at), CONTEXTS):
+            before_bytes, before, after_bytes, after = texts.contexts(of[a:a + CONTEXTS], at[a:a + CONTEXTS], reach, size)
+            row = np.zeros((len(before), width), dtype=np.uint8)
+            row[:, :reach], row[:, reach:reach + size] = before_bytes, after_bytes
+            row[:, -2], row[:, -1] = before, after
+            names.append(_mixed(list(row.view("<u8").T)))
+        name = np.concatenate(names)
+        # one that stands earlier in the chunk is decided
+        by = np.lexsort([order[of], name, gram])
+        new = np.ones(len(by), dtype=bool)
+        new[1:] = (gram[by][1:] != gram[by][:-1]) | (name[by][1:] != name[by][:-1])
+        least = order[of[by]][np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
+        sure = np.zeros(len(by), dtype=bool)
+        sure[by] = order[of[by]] > least
+        local = at - texts.starts[of]
+        length = texts.ends - texts.starts
+        s, rest = np.nonzero(sure)[0], np.nonzero(~sure)[0]
+        r_of, r_start, r_stop = _regions(
+            of[s], np.maximum(local[s] - reach, 0), np.minimum(local[s] + size, length[of[s]])
+        )
+        both = np.concatenate([of[rest], r_of])
+        return pa.table(
+            [
+                pa.array(np.concatenate([gram[rest].view(np.int64), doc[r_of]])),
+                pa.array(np.concatenate([name[rest].view(np.int64), doc[r_of]])),
+                pa.array(order[both]), pa.array(doc[both]),
+                pa.array(np.concatenate([local[rest], r_start]).astype(np.int32)),
+                pa.array(
+                    np.concatenate([np.zeros(len(rest)), r_stop]).astype(np.int32),
+                    mask=np.arange(len(both)) < len(rest),
+                ),
+            ],
+            schema=schema,
+        )
 
-    return rows.mapInArrow(work, "gram bigint, name bigint, order bigint, doc bigint, at int, stop int")
+    return texts.groupBy("chunk").cogroup(_shared(texts, size, shards).groupBy("chunk")).applyInArrow(
+        work, "gram bigint, name bigint, order bigint, doc bigint, at int, stop int"
+    )
 
 
 def _judged(named: DataFrame) -> DataFrame:
@@ -192,7 +260,11 @@ def _judged(named: DataFrame) -> DataFrame:
     matter = F.col("stop").isNotNull() | (
         (F.col("least") < F.col("most")) & (F.col("sure") | F.col("several"))
     )
-    return rows.filter(matter).select("gram", "order", "doc", "at", "stop", "sure")
+    open_ = ~F.col("sure") & F.col("stop").isNull()  # only these are named again
+    return rows.filter(matter).select(
+        F.when(open_, F.col("gram")).alias("gram"), F.when(open_, F.col("order")).alias("order"),
+        "doc", "at", "stop", "sure",
+    )
 
 
 def remove_repeats(
@@ -220,7 +292,7 @@ def remove_repeats(
     )
     chunk = F.pmod("doc", F.lit(chunks)).alias("chunk")
     texts = rows.select(chunk, "id", "doc", "order", "text")
-    judged = _judged(_named(rows.select("order", "doc", "text"), size)).select(chunk, "*")
+    judged = _judged(_named(texts, size, chunks)).select(chunk, "*")
 
     def contexts(left: pa.Table, right: pa.Table) -> pa.Table:
         """Regions of the chunk's documents, and the contexts that are to be sorted."""
@@ -252,7 +324,7 @@ def remove_repeats(
             schema=schema,
         )]
         rest = np.nonzero(~region & ~sure)[0]
-        gram, order = right["gram"].to_numpy(), right["order"].to_numpy()
+        gram, order = (right[c].fill_null(0).to_numpy() for c in ("gram", "order"))
         for a in range(0, len(rest), CONTEXTS):
             some = rest[a:a + CONTEXTS]
             before_bytes, before, after_bytes, after = own.contexts(
