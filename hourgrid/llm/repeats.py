@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .induced_sort import context_kind, earlier_windows
 
 #: Bytes of an anchor's string.
-GRAM = 16
+GRAM = 20
 #: Bytes of text in a chunk of documents, about.
 CHUNK = 1 << 24
 #: Bytes whose anchors are found at once, and contexts taken at once.
@@ -61,7 +61,8 @@ def anchors(data: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray,
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     words = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
     number = len(data) - GRAM + 1
-    hashes = _mixed([words[:number], words[GRAM - 8:GRAM - 8 + number]]) | np.uint64(1)
+    starts = [*range(0, GRAM - 8, 8), GRAM - 8]
+    hashes = _mixed([words[s:s + number] for s in starts]) | np.uint64(1)
     width = size - GRAM + 1
     least = _sliding(hashes, width, np.minimum)  # by the start of a window
     for end, start in zip(ends, np.concatenate([[0], ends[:-1]])):
@@ -285,12 +286,14 @@ def remove_repeats(
     reach = size - GRAM
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     chunks = max(1, -(-total // CHUNK))
+    # what tells documents apart: the id, or a hash with the text where ids repeat or lack
+    alone = docs.groupBy(F.col(id).cast("long").alias("id")).count().filter("count > 1 or id is null").isEmpty()
     rows = docs.select(
-        F.col(id).alias("id"), F.xxhash64(id, text).alias("doc"),
+        F.col(id).alias("id"), (F.col(id).cast("long") if alone else F.xxhash64(id, text)).alias("doc"),
         F.coalesce(F.col(id).cast("long"), F.lit(_LAST)).alias("order"),
         F.col(text).cast("string").alias("text"),
     )
-    chunk = F.pmod("doc", F.lit(chunks)).alias("chunk")
+    chunk = F.pmod(F.xxhash64("doc"), F.lit(chunks)).alias("chunk")
     texts = rows.select(chunk, "id", "doc", "order", "text")
     judged = _judged(_named(texts, size, chunks)).select(chunk, "*")
 
