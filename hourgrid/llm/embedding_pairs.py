@@ -172,7 +172,9 @@ def link_vectors(
                             others = visits & (mixed[at] // 64 % of_guests == g)
                             take = hosts | others
                             if take.any():
+                                # 1 guest, 2 host, 4 compare hosts, 8 a guest that is at home here
                                 kind = others[take] + (6 if of_homes == 1 and g == 0 else 2) * hosts[take]
+                                kind = kind + 8 * (others & own)[take]
                                 some = batch.take(pa.array(at[take]))
                                 place = (int(slab) * of_homes + h) * of_guests + g
                                 yield pa.RecordBatch.from_arrays(
@@ -197,8 +199,8 @@ def link_vectors(
         among = bool((kind & 4).any())
         for a, b in blocks.candidates(turned[order[:hosts]], turned[order[hosts:]], block, among):
             a, b = order[a], order[b]
-            # where homes are guests of each other too, a pair meets twice: once counts
-            good = (node[a] < node[b]) | (kind[a] & kind[b] & 1 == 0)
+            # where those at home are guests of each other, a pair meets twice: once counts
+            good = (kind[b] & 8 == 0) | (node[a] < node[b])
             good &= cosines(own[a], own[b]) >= least
             a, b = a[good], b[good]
             good = (blocks.first_close(turned[a], turned[b]) == block) & (node[a] != node[b])
