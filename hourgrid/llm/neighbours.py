@@ -2,8 +2,9 @@
 
 The index is dealt into shards by a hash of the id. A task holds one shard, builds the hash
 tables of its rows and answers a block of queries: in each table a query visits its own
-bucket and those next to it in the order of their estimated success, and what the tables
-give together is ranked by exact cosine. The best of all shards are merged.
+bucket and those next to it in the order of their estimated success (all others, where these
+hold too few rows), and what the tables give together is ranked by exact cosine. The best
+of all shards are merged.
 """
 
 from __future__ import annotations
@@ -72,6 +73,7 @@ def search(
         keys, bucket = np.unique(tables.keys(tables.slots(units, table)[0]), return_inverse=True)
         indexed.append((keys, bucket))
     of, found, scores = [], [], []
+    rows_for_k = k + len(ids) - len(np.unique(ids))  # rows that hold k ids for sure
     for at in range(0, len(heads), 256):
         some = heads[at:at + 256]
         probed = [tables.visited(some, table) for table in range(len(indexed))]
@@ -82,13 +84,17 @@ def search(
                 hit = np.zeros(len(keys), dtype=bool)
                 hit[place[keys[place] == visits[q]]] = True
                 candidate |= hit[bucket]
-            candidate &= ids != asked_ids[at + q]
+            own = ids == asked_ids[at + q]
+            if (candidate & ~own).sum() < rows_for_k:  # too few there: visit all the other buckets too
+                candidate[:] = True
+            candidate &= ~own
             rest = np.nonzero(candidate)[0]
-            if len(rest) > k:
+            if len(rest) > rows_for_k:
                 near = units[rest] @ some[q]
-                rest = rest[near >= np.partition(near, -k)[-k] - 1e-12]
+                rest = rest[near >= np.partition(near, -rows_for_k)[-rows_for_k] - 1e-12]
             score = cosines(rows[rest], np.broadcast_to(asked[at + q], (len(rest), rows.shape[1])))
-            best = np.lexsort((ids[rest], -score))[:k]
+            best = np.lexsort((ids[rest], -score))
+            best = best[np.sort(np.unique(ids[rest][best], return_index=True)[1])][:k]
             of.append(np.full(len(best), at + q))
             found.append(ids[rest][best])
             scores.append(score[best])
