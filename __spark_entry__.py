@@ -30,7 +30,9 @@ from hourgrid.operators import (  # noqa: E402
     entity_hour_grid,
     entity_registry,
     event_leg,
+    event_rejects,
     events_by_hour,
+    hour_spine,
     hour_spine_over,
     hourly_rollup,
     interval_rejects,
@@ -58,7 +60,7 @@ HOURS = HourRange.between("2024-01-01", "2024-01-31")
 REPORT_SITE = "AMERICA"
 REPORT_SINCE = "2024-01-05 19:00:00"
 KEYS = ["orb_site", "machine_name"]
-REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+MACHINE = ["machine"]
 ZONES = {
     "AFRICA": "Africa/Nairobi",
     "AMERICA": "America/Toronto",
@@ -72,6 +74,9 @@ CLASSES = {
     "blocked_seconds": ["click"],
 }
 COMPLETE = "purchase"
+# Ranges written one after the other into one folder.
+FIRST_HALF = HourRange.between("2024-01-01", "2024-01-15 23:00")
+SECOND_HALF = HourRange.between("2024-01-16", "2024-01-31")
 
 TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -106,14 +111,18 @@ def _zone(region: str) -> Column:
 # Inputs in the roles of the operators
 
 
-def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Machine = nation, site = region."""
+def _registry(spark: SparkSession, sf_dir: str, site: str | None = None) -> DataFrame:
+    """Machine = nation, site = region; logs know machines by number, the registry their names."""
     sites = _table(spark, sf_dir, "region").select(
         F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("orb_site"),
         _zone("r_name").alias("timezone"),
     )
-    machines = _table(spark, sf_dir, "nation").withColumnRenamed("n_name", "machine_name")
-    return entity_registry(sites, machines, ["n_regionkey"]).select(*KEYS, "timezone")
+    machines = _table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("bigint").alias("machine"), F.col("n_name").alias("machine_name"), "n_regionkey"
+    )
+    if site is not None:
+        sites = sites.filter(F.col("orb_site") == site)
+    return entity_registry(sites, machines, ["n_regionkey"]).select(*MACHINE, *KEYS, "timezone")
 
 
 def _supplier_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,56 +157,92 @@ def _unloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _named(log: DataFrame) -> DataFrame:
-    """Put the names of machine and site, the keys of the registry, in place of the
-    machine number: nation k is NATION_k, of region k % 5."""
-    regions = ", ".join(f"'{name}'" for name in REGIONS)
-    return log.selectExpr(
-        "*", f"array({regions})[int(machine % {len(REGIONS)})] AS orb_site",
-        "concat('NATION_', machine) AS machine_name",
-    ).drop("machine")
+def _some_without_time(log: DataFrame, id: str) -> DataFrame:
+    """Every tenth row without a time."""
+    return log.withColumn("ts", F.when(F.col(id) % 10 != 0, F.col("ts")))
 
 
 def _legs(
-    spark: SparkSession, sf_dir: str, hours: HourRange = HOURS, keep_outside: bool = False
+    spark: SparkSession, sf_dir: str, hours: HourRange = HOURS, keep_outside: bool = False,
+    site: str | None = None,
 ) -> list[DataFrame]:
-    events = _named(_intervals(spark, sf_dir))
-    bounds = {"keys": KEYS, "hours": hours, "keep_outside": keep_outside}
+    """With ``site``, logs of its machines only. With ``keep_outside``, every tenth event and order without a time, and every seventh
+    order under a key that no line has."""
+    intervals, unloads = _intervals(spark, sf_dir), _unloads(spark, sf_dir)
+    points = intervals
+    if keep_outside:
+        points = _some_without_time(intervals, "event_id")
+        unloads = _strayed(_some_without_time(unloads, "l_orderkey"))
+    if site is not None:
+        own = _registry(spark, sf_dir, site).select(*MACHINE)
+        intervals, points, unloads = (
+            log.join(own, MACHINE, "left_semi") for log in (intervals, points, unloads)
+        )
+    bounds = {"keys": MACHINE, "hours": hours, "keep_outside": keep_outside}
     return [
-        state_leg(events, CLASSES, start="ts", end="ts_end", state="event_type", **bounds),
+        state_leg(intervals, CLASSES, start="ts", end="ts_end", state="event_type", **bounds),
         event_leg(
-            events, {"total_attempts": None, "complete_attempts": _complete()},
+            points, {"total_attempts": None, "complete_attempts": _complete()},
             ts="ts", id="event_id", **bounds,
         ),
         child_leg(
-            _named(_unloads(spark, sf_dir)), _table(spark, sf_dir, "lineitem"),
+            unloads, _table(spark, sf_dir, "lineitem"),
             on=["l_orderkey"], ts="ts", item="l_linenumber", name="units_unloaded", **bounds,
         ),
     ]
 
 
-def _rollup(spark: SparkSession, sf_dir: str, hours: HourRange = HOURS) -> DataFrame:
-    return hourly_rollup(_registry(spark, sf_dir), hours, _legs(spark, sf_dir, hours), keys=KEYS)
+def _strayed(orders: DataFrame) -> DataFrame:
+    """Every seventh order under a negative key, which no line has."""
+    return orders.withColumn(
+        "l_orderkey", F.when(F.col("l_orderkey") % 7 == 0, -1 - F.col("l_orderkey")).otherwise(F.col("l_orderkey"))
+    )
+
+
+def _rollup(
+    spark: SparkSession, sf_dir: str, hours: HourRange = HOURS, site: str | None = None
+) -> DataFrame:
+    return _dense(spark, sf_dir, hours, site).select(*[c.split()[0] for c in ROLLUP_SCHEMA.split(", ")])
+
+
+def _dense(
+    spark: SparkSession, sf_dir: str, hours: HourRange = HOURS, site: str | None = None
+) -> DataFrame:
+    legs = _legs(spark, sf_dir, hours, site=site)
+    return hourly_rollup(_registry(spark, sf_dir, site), hours, legs, keys=MACHINE)
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A new folder in the shared place the cluster names; in a local session that names
-    none, a temporary one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/hourgrid-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="hourgrid-")
+    """A new folder for a result, in the one folder of this application, which goes when the
+    session ends. It stands in ``spark.hourgrid.results.dir`` or, where that is not set, in
+    the shared place the cluster names; in a local session that names none, in a temporary
+    folder."""
+    shared = spark.conf.get("spark.hourgrid.results.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.hourgrid.results.dir to a folder all executors share")
+        shared = tempfile.gettempdir()
+    own = f"{shared.rstrip('/')}/hourgrid-{spark.sparkContext.applicationId}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return f"{own}/{uuid.uuid4().hex}"
 
 
 # Queries
 
 
-def hour_spine(spark, sf_dir):
+def hour_spine_of_events(spark, sf_dir):
     return _as_text(hour_spine_over(_table(spark, sf_dir, "events"), "ts"))
 
 
+def spine_of_range(spark, sf_dir):
+    """Events per hour of a given range, its first and last hour included."""
+    spine = hour_spine(spark, HOURS)
+    events = events_by_hour(_intervals(spark, sf_dir), keys=[], ts="ts", id="event_id")
+    joined = spine.join(events.withColumnRenamed(BUCKET, "start_time"), "start_time", "left")
+    return _as_text(joined)
+
+
 def registry(spark, sf_dir):
     return _supplier_registry(spark, sf_dir)
 
@@ -232,6 +277,11 @@ def rejects(spark, sf_dir):
     return interval_rejects(log, start="ts", end="ts_end").select("event_id", "reject_reason")
 
 
+def point_rejects(spark, sf_dir):
+    log = _some_without_time(_intervals(spark, sf_dir), "event_id")
+    return event_rejects(log, ts="ts").select("event_id", "event_type", "reject_reason")
+
+
 def state_seconds(spark, sf_dir):
     return _as_text(
         state_seconds_by_hour(
@@ -266,6 +316,30 @@ def child_counts(spark, sf_dir):
     )
 
 
+def child_counts_null_keys(spark, sf_dir):
+    """A third of the parents without a key."""
+    parents = _table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey")).alias("l_orderkey"),
+        (F.col("o_custkey") % 25).alias("machine"), "o_orderdate",
+    )
+    return _as_text(
+        child_count_by_hour(
+            parents, _table(spark, sf_dir, "lineitem"),
+            on=["l_orderkey"], keys=["machine"], ts="o_orderdate", item="l_linenumber",
+        )
+    )
+
+
+def orphans(spark, sf_dir):
+    """Lines whose order is not there, by the coverage of their leg alone."""
+    leg = child_leg(
+        _strayed(_unloads(spark, sf_dir)), _table(spark, sf_dir, "lineitem"),
+        on=["l_orderkey"], keys=MACHINE, ts="ts", item="l_linenumber", name="units_unloaded",
+        hours=HOURS, keep_outside=True,
+    )
+    return coverage(_registry(spark, sf_dir), [leg], keys=MACHINE)
+
+
 def rollup(spark, sf_dir):
     return _as_text(_rollup(spark, sf_dir))
 
@@ -273,19 +347,20 @@ def rollup(spark, sf_dir):
 def rollup_coverage(spark, sf_dir):
     """All legs against a registry that lacks a machine, so that every part occurs."""
     registry = _registry(spark, sf_dir).filter(F.col("machine_name") != "NATION_7")
-    return coverage(registry, _legs(spark, sf_dir, keep_outside=True), keys=KEYS)
+    return coverage(registry, _legs(spark, sf_dir, keep_outside=True), keys=MACHINE)
 
 
 def local_times(spark, sf_dir):
-    events = _named(_intervals(spark, sf_dir)).join(_registry(spark, sf_dir), KEYS)
+    events = _intervals(spark, sf_dir).join(_registry(spark, sf_dir), MACHINE)
     rows = with_local_time(events, {"local_ts": "ts", "local_end": "ts_end"}, "timezone")
     return _as_text(rows.select("event_id", "timezone", "ts", "local_ts", "local_end"))
 
 
 def report(spark, sf_dir):
     rows = report_view(
-        _rollup(spark, sf_dir, HOURS.since(REPORT_SINCE)),
+        _rollup(spark, sf_dir, HOURS.since(REPORT_SINCE), REPORT_SITE),
         where=F.col("orb_site") == REPORT_SITE, order_by=REPORT_ORDER, columns=REPORT_COLUMNS,
+        limit=500,
     )
     return _as_text(rows)
 
@@ -297,7 +372,11 @@ def written_rollup(spark, sf_dir):
 
 
 def written_days(spark, sf_dir):
-    return _as_text(publish(_rollup(spark, sf_dir), _scratch(spark)))
+    """Two ranges published into one folder; the second is what comes back."""
+    path = _scratch(spark)
+    for hours in (FIRST_HALF, SECOND_HALF):
+        table = publish(_rollup(spark, sf_dir, hours), path, hours=hours, partitionOverwriteMode="dynamic")
+    return _as_text(table)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -311,17 +390,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def hourly_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "hour_spine": hour_spine,
+        "hour_spine": hour_spine_of_events,
+        "hour_spine_range": spine_of_range,
         "entity_registry": registry,
         "duplicate_keys": repeated_keys,
         "entity_hour_grid": grid,
         "epoch_to_ts": epochs,
         "split_intervals": splits,
         "interval_rejects": rejects,
+        "event_rejects": point_rejects,
         "state_seconds_by_hour": state_seconds,
         "events_by_hour": event_counts,
         "events_by_hour_where": event_counts_where,
         "child_count_by_hour": child_counts,
+        "child_count_null_keys": child_counts_null_keys,
+        "child_orphans": orphans,
         "hourly_rollup": rollup,
         "coverage": rollup_coverage,
         "with_local_time": local_times,
@@ -425,23 +508,28 @@ FROM log WHERE s IS NULL OR e IS NULL OR e < s"""
 
 def _coverage_sql() -> str:
     inside = f"h BETWEEN {HOURS.lower} AND {HOURS.upper} - 1"
+    timed = "{1} WHEN {0} % 10 = 0 THEN 'no_time' END"
     return f"""
 WITH {_PIECES},
 amounts AS (
-  SELECT machine, h, seconds AS amount,
+  SELECT machine, h, seconds AS amount, NULL AS lost,
          CASE {" ".join(
              "WHEN event_type IN ({}) THEN '{}'".format(
                  ", ".join(f"'{state}'" for state in states), metric)
              for metric, states in CLASSES.items())} END AS metric
   FROM pieces
-  UNION ALL SELECT machine, s, 1, 'total_attempts' FROM intervals
-  UNION ALL SELECT machine, s, 1, 'complete_attempts' FROM intervals WHERE event_type = 'purchase'
-  UNION ALL SELECT o_custkey % 25, {HOURS.lower} + (o_orderkey * 997) % 2700000, 1, 'units_unloaded'
+  UNION ALL SELECT machine, s, 1, {timed.format("event_id", "CASE")}, 'total_attempts' FROM intervals
+  UNION ALL SELECT machine, s, 1, {timed.format("event_id", "CASE")}, 'complete_attempts'
+  FROM intervals WHERE event_type = 'purchase'
+  UNION ALL SELECT o_custkey % 25, {HOURS.lower} + (o_orderkey * 997) % 2700000, 1,
+                   {timed.format("o_orderkey", "CASE WHEN o_orderkey % 7 = 0 THEN 'no_parent'")}, 'units_unloaded'
   FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
 SELECT metric, CAST(sum(amount) AS BIGINT) AS total,
-       CAST(coalesce(sum(amount) FILTER (machine <> 7 AND {inside}), 0) AS BIGINT) AS in_rollup,
-       CAST(coalesce(sum(amount) FILTER (machine = 7), 0) AS BIGINT) AS unregistered,
-       CAST(coalesce(sum(amount) FILTER (machine <> 7 AND NOT ({inside})), 0) AS BIGINT) AS outside_hours
+       CAST(coalesce(sum(amount) FILTER (lost IS NULL AND machine <> 7 AND {inside}), 0) AS BIGINT) AS in_rollup,
+       CAST(coalesce(sum(amount) FILTER (lost IS NULL AND machine = 7), 0) AS BIGINT) AS unregistered,
+       CAST(coalesce(sum(amount) FILTER (lost IS NULL AND machine <> 7 AND NOT ({inside})), 0) AS BIGINT) AS outside_hours,
+       CAST(coalesce(sum(amount) FILTER (lost = 'no_time'), 0) AS BIGINT) AS no_time,
+       CAST(coalesce(sum(amount) FILTER (lost = 'no_parent'), 0) AS BIGINT) AS no_parent
 FROM amounts WHERE metric IS NOT NULL GROUP BY metric"""
 
 
@@ -462,6 +550,14 @@ SELECT {_TEXT.format("start_ts")} AS start_time,
        strftime(start_ts, '%Y-%m-%d %H') AS date_hour,
        {_TEXT.format("start_ts + INTERVAL 3599 SECOND")} AS end_time
 FROM spine""",
+        "hour_spine_range": f"""
+WITH spine AS (SELECT unnest(generate_series({HOURS.lower}, {HOURS.upper} - 1, 3600)) AS h),
+counts AS (
+  SELECT epoch_us(date_trunc('hour', ts)) // 1000000 AS h, count(event_id) AS events FROM events GROUP BY 1)
+SELECT {_HOUR_TEXT.format("h")} AS start_time, (h - {HOURS.lower}) // 3600 AS id_hours,
+       strftime(make_timestamp(h * 1000000), '%Y-%m-%d %H') AS date_hour,
+       {_HOUR_TEXT.format("(h + 3599)")} AS end_time, events
+FROM spine LEFT JOIN counts USING (h)""",
         "entity_registry": f"WITH {_SUPPLIERS} SELECT * FROM suppliers",
         "duplicate_keys": """
 SELECT l_orderkey, count(*) AS copies FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1""",
@@ -480,6 +576,8 @@ SELECT event_id, {bucket} AS bucket, CAST(seconds AS INTEGER) AS seconds,
        CAST(seconds // 60 AS INTEGER) AS minutes
 FROM pieces""",
         "interval_rejects": _rejects_sql(),
+        "event_rejects": """
+SELECT event_id, event_type, 'no time' AS reject_reason FROM events WHERE event_id % 10 = 0""",
         "state_seconds_by_hour": f"""
 WITH {_PIECES}
 SELECT machine, {bucket} AS bucket, {_SECONDS}
@@ -497,6 +595,19 @@ SELECT o_custkey % 25 AS machine,
        {_TEXT.format("date_trunc('hour', o_orderdate)")} AS bucket,
        count(l_linenumber) AS children
 FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""",
+        "child_count_null_keys": f"""
+SELECT o_custkey % 25 AS machine,
+       {_TEXT.format("date_trunc('hour', o_orderdate)")} AS bucket,
+       count(l_linenumber) AS children
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND o_orderkey % 3 <> 0 GROUP BY ALL""",
+        "child_orphans": f"""
+WITH lines AS (
+  SELECT o_orderkey % 7 = 0 AS orphan, {HOURS.lower} + (o_orderkey * 997) % 2700000 < {HOURS.upper} AS inside
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT 'units_unloaded' AS metric, count(*) AS total, count(*) FILTER (NOT orphan AND inside) AS in_rollup,
+       CAST(0 AS BIGINT) AS unregistered, count(*) FILTER (NOT orphan AND NOT inside) AS outside_hours,
+       CAST(0 AS BIGINT) AS no_time, count(*) FILTER (orphan) AS no_parent
+FROM lines""",
         "hourly_rollup": f"{_ROLLUP} SELECT * FROM result",
         "coverage": _coverage_sql(),
         "with_local_time": f"""
@@ -510,5 +621,7 @@ FROM intervals JOIN machines USING (machine)""",
 WHERE orb_site = '{REPORT_SITE}' AND start_time >= '{REPORT_SINCE}'
 ORDER BY orb_site, machine_name, start_time LIMIT 500""",
         "write_rollup": f"{_ROLLUP} SELECT * FROM result",
-        "write_daily": f"{_ROLLUP} SELECT * FROM result",
+        "write_daily": f"""
+{_ROLLUP} SELECT * REPLACE (id_hours - {FIRST_HALF.count} AS id_hours) FROM result
+WHERE id_hours >= {FIRST_HALF.count}""",
     }

@@ -1,4 +1,4 @@
-from hourgrid.operators.intervals import interval_rejects, split_intervals
+from hourgrid.operators.intervals import event_rejects, interval_rejects, split_intervals
 from hourgrid.operators.metrics import (
     child_count_by_hour,
     child_leg,
@@ -31,6 +31,7 @@ __all__ = [
     "entity_registry",
     "epoch_of",
     "event_leg",
+    "event_rejects",
     "events_by_hour",
     "hour_spine",
     "hour_spine_over",

@@ -81,6 +81,12 @@ def split_intervals(
     )
 
 
+def event_rejects(log: DataFrame, *, ts: str) -> DataFrame:
+    """Rows whose ``ts`` is NULL, or was no time, with the ``reject_reason`` ``no time``. They
+    enter no hour."""
+    return log.filter(F.col(ts).isNull()).withColumn("reject_reason", F.lit("no time"))
+
+
 def interval_rejects(log: DataFrame, *, start: str, end: str) -> DataFrame:
     """Rows ``split_intervals`` cannot use, with a ``reject_reason``: ``no start``,
     ``no end`` (NULL or not a time) or ``reversed``."""

@@ -20,6 +20,10 @@ from hourgrid.functions import hour_bucket
 from hourgrid.operators.intervals import split_intervals
 from hourgrid.operators.spine import BUCKET, HourRange
 
+# Column of legs that keep what the rollup leaves out: why a row has no place in any hour.
+LOST = "_lost"
+NO_TIME, NO_PARENT = "no_time", "no_parent"
+
 
 def hourly_sums(leg: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Sum every metric of a leg by (keys, bucket).
@@ -27,20 +31,21 @@ def hourly_sums(leg: DataFrame, keys: Sequence[str]) -> DataFrame:
     Spark sums inside each map task before the shuffle, so a key that holds most of the
     log reaches its reducer as one row per task.
     """
-    group = [*keys, BUCKET]
+    group = [*keys, BUCKET, *[LOST for name in leg.columns if name == LOST]]
     metrics = [name for name in leg.columns if name not in group]
     return leg.groupBy(*group).agg(*[F.sum(name).alias(name) for name in metrics])
 
 
 def _bucketed(
     log: DataFrame, ts: str, hours: HourRange | None, keep_outside: bool
-) -> tuple[DataFrame, Column]:
+) -> tuple[DataFrame, list[Column]]:
     bucket = hour_bucket(F.col(ts))
     if hours is None:
-        return log, bucket.alias(BUCKET)
+        return log, [bucket.alias(BUCKET)]
     if keep_outside:
-        return log, F.when(hours.holds(F.col(ts)), bucket).alias(BUCKET)
-    return log.filter(hours.holds(F.col(ts))), bucket.alias(BUCKET)
+        lost = F.when(F.col(ts).isNull(), NO_TIME)
+        return log, [F.when(hours.holds(F.col(ts)), bucket).alias(BUCKET), lost.alias(LOST)]
+    return log.filter(hours.holds(F.col(ts))), [bucket.alias(BUCKET)]
 
 
 def state_leg(
@@ -102,7 +107,7 @@ def event_leg(
         (counted if where is None else F.when(where, counted)).alias(metric)
         for metric, where in counts.items()
     ]
-    return log.select(*keys, bucket, *metrics)
+    return log.select(*keys, *bucket, *metrics)
 
 
 def events_by_hour(
@@ -145,18 +150,38 @@ def child_leg(
     that owns a third of the children, or a parent row copied as often, is no hot key.
     Counting parents costs them a second shuffle; ``unique_parents`` promises that none
     repeats its key (``duplicate_keys`` finds those that do) and saves it. Repeats then
-    still count, but unbalanced.
+    still count, but unbalanced. Parents with a NULL in ``on`` have no children; they are
+    spread over the join, not sent to one task.
+
+    With ``keep_outside``, children without a parent are there too, as such.
     """
-    parents, bucket = _bucketed(parents, ts, hours, keep_outside)
+    every, (parents, bucket) = parents, _bucketed(parents, ts, hours, keep_outside)
     parent_columns = [*on, *[key for key in keys if key not in on]]
-    copies = parents.select(*parent_columns, bucket)
+    copies = parents.select(*parent_columns, *bucket)
     if unique_parents:
         copies = copies.withColumn("_copies", F.lit(1).cast("bigint"))
     else:
         copies = copies.groupBy(*copies.columns).agg(F.count(F.lit(1)).alias("_copies"))
     owned = children.filter(F.col(item).isNotNull()).groupBy(*on).agg(F.count(item).alias("_owned"))
     total = F.col("_copies") * F.coalesce(F.col("_owned"), F.lit(0))
-    return copies.join(owned, list(on), "left").select(*keys, BUCKET, total.alias(name))
+    no_key = " or ".join(f"`{key}` is null" for key in on)
+    spread = F.pmod(F.xxhash64(*[c for c in copies.columns if c != "_copies"]), F.lit(1024)) + 1
+    spread = F.when(F.expr(no_key), spread).otherwise(F.lit(0).cast("bigint"))
+    joined = copies.withColumn("_spread", spread).join(
+        owned.withColumn("_spread", F.lit(0).cast("bigint")), [*on, "_spread"], "left"
+    )
+    kept = [LOST] if LOST in joined.columns else []
+    leg = joined.select(*keys, BUCKET, *kept, total.alias(name))
+    if not kept:
+        return leg
+    orphans = owned.join(every.select(*on).distinct(), list(on), "left_anti")
+    none = {key: F.lit(None).cast(leg.schema[key].dataType).alias(key) for key in [*keys, BUCKET]}
+    return leg.unionByName(
+        orphans.select(
+            *[F.col(key) if key in on else none[key] for key in keys], none[BUCKET],
+            F.lit(NO_PARENT).alias(LOST), F.col("_owned").alias(name),
+        )
+    )
 
 
 def child_count_by_hour(

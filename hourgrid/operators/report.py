@@ -13,13 +13,13 @@ def report_view(
     where: Column | str | None = None,
     order_by: Sequence[str],
     columns: Sequence[str],
-    limit: int | None = 500,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Rows that meet ``where`` (a column or SQL text), NULL numbers shown as 0, the first
-    ``limit`` by ``order_by``.
+    """Rows that meet ``where`` (a column or SQL text), NULL numbers shown as 0, in the
+    order of ``order_by``; with ``limit``, the first so many.
 
     The fill touches numbers only and is for display: write the rollup itself to keep
-    NULL apart from 0. Sort and limit run as one top-k, so no full sort takes place.
+    NULL apart from 0. With a limit, sort and limit run as one top-k, without a full sort.
     """
     rows = rollup if where is None else rollup.filter(where)
     rows = rows.na.fill(0).orderBy(*order_by)

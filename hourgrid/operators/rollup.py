@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid.functions import local_time, require_utc
-from hourgrid.operators.metrics import hourly_sums
+from hourgrid.operators.metrics import LOST, NO_PARENT, NO_TIME, hourly_sums
 from hourgrid.operators.spine import BUCKET, HourRange, entity_buckets, hour_columns
 
 
@@ -58,8 +58,11 @@ def hourly_rollup(
 
 def coverage(registry: DataFrame, legs: Sequence[DataFrame], *, keys: Sequence[str]) -> DataFrame:
     """Where each metric went: one row per metric with its ``total``, the part
-    ``in_rollup``, and the parts lost as ``unregistered`` (no such entity) and
-    ``outside_hours`` (a registered one, at another time).
+    ``in_rollup``, and the parts lost as ``no_time`` (events, or children of parents, whose
+    time is missing or malformed), ``no_parent`` (children), ``unregistered`` (no such
+    entity) and ``outside_hours`` (a registered one, at another time). The parts add up to
+    the total. Seconds of intervals without a time are not known; ``interval_rejects`` has
+    those.
 
     Takes legs made with ``keep_outside=True``. Sums by key come first, so the registry
     meets at most one row per entity and hour.
@@ -68,14 +71,19 @@ def coverage(registry: DataFrame, legs: Sequence[DataFrame], *, keys: Sequence[s
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
         [hourly_sums(leg, keys) for leg in legs],
     )
-    metrics = [name for name in activity.columns if name not in (*keys, BUCKET)]
+    if LOST not in activity.columns:
+        activity = activity.withColumn(LOST, F.lit(None).cast("string"))
+    metrics = [name for name in activity.columns if name not in (*keys, BUCKET, LOST)]
     known = registry.select(*keys).distinct().withColumn("_known", F.lit(True))
     registered, in_hours = F.col("_known").isNotNull(), F.col(BUCKET).isNotNull()
+    placed = F.col(LOST).isNull()
     parts = {
         "total": F.lit(True),
-        "in_rollup": registered & in_hours,
-        "unregistered": ~registered,
-        "outside_hours": registered & ~in_hours,
+        "in_rollup": placed & registered & in_hours,
+        "unregistered": placed & ~registered,
+        "outside_hours": placed & registered & ~in_hours,
+        "no_time": F.col(LOST) == NO_TIME,
+        "no_parent": F.col(LOST) == NO_PARENT,
     }
     lines = F.array(
         *[

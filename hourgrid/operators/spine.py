@@ -15,6 +15,7 @@ from hourgrid.functions import HOUR, hour_floor, hour_label, require_utc, whole_
 BUCKET = "bucket"
 HOURS_PER_DAY = 24
 SPINE_ROWS_PER_TASK = 1_000_000
+SPINE_BLOCK = 8192
 
 
 def epoch_of(instant: str | datetime) -> int:
@@ -97,14 +98,22 @@ def hour_spine(spark: SparkSession, hours: HourRange) -> DataFrame:
 def hour_spine_over(log: DataFrame, ts: str) -> DataFrame:
     """The spine from the hour of the earliest ``ts`` in ``log`` to that of the latest.
 
-    One aggregate over the one column and no action; an empty log gives no rows.
+    One aggregate over the one column and no action; an empty log gives no rows. The range
+    is widened to blocks of hours, these are spread over the tasks and widened there, so one
+    stray instant in a far year makes no task that holds the whole spine.
     """
     require_utc(log.sparkSession)
     bounds = log.agg(
         hour_floor(whole_seconds(F.min(ts))).alias("first"),
         hour_floor(whole_seconds(F.max(ts))).alias("last"),
     )
-    numbered = bounds.selectExpr("first", f"explode(sequence(0L, (last - first) div {HOUR})) AS id")
+    tasks = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = (
+        bounds.selectExpr("first", f"(last - first) div {HOUR} AS _last")
+        .selectExpr("*", f"explode(sequence(0L, _last, {SPINE_BLOCK}L)) AS _block")
+        .repartition(tasks, "_block")
+        .selectExpr("first", f"explode(sequence(_block, least(_last, _block + {SPINE_BLOCK - 1}), 1L)) AS id")
+    )
     return numbered.select(*_hour_columns(f"timestamp_seconds(first + id * {HOUR})", "id"))
 
 
@@ -113,15 +122,17 @@ def entity_buckets(registry: DataFrame, hours: HourRange, keys: Sequence[str]) -
 
     Hours are generated from each registry row instead of joined to it, so nothing is
     broadcast and the registry may be of any size. A registry often arrives in one
-    partition; rows are first widened to days, spread by (keys, day), and only then
-    widened to hours, so that no single task makes the whole grid.
+    partition, or by site; rows are spread by their keys, widened to days, spread by
+    (keys, day), and only then widened to hours, so that no task makes the whole grid, nor
+    the days of a whole site.
     """
     columns = registry.columns
     days = f"sequence(0L, {(hours.count - 1) // HOURS_PER_DAY}L)"
     first = f"{hours.lower} + _day * {HOURS_PER_DAY * HOUR}"
     last = f"least({first} + {(HOURS_PER_DAY - 1) * HOUR}, {hours.upper - HOUR})"
     return (
-        registry.selectExpr("*", f"explode({days}) AS _day")
+        registry.repartition(*keys)
+        .selectExpr("*", f"explode({days}) AS _day")
         .repartition(*keys, "_day")
         .select(*columns, F.expr(f"explode(sequence({first}, {last}, {HOUR}L)) AS _s"))
         .select(*columns, F.expr(f"timestamp_seconds(_s) AS {BUCKET}"))

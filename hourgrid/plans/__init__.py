@@ -1,6 +1,7 @@
 from hourgrid.plans.machines import (
     MachineLogs,
     machine_coverage,
+    machine_event_rejects,
     machine_rejects,
     machine_report,
     machine_rollup,
@@ -9,6 +10,7 @@ from hourgrid.plans.machines import (
 __all__ = [
     "MachineLogs",
     "machine_coverage",
+    "machine_event_rejects",
     "machine_rejects",
     "machine_report",
     "machine_rollup",

@@ -15,12 +15,14 @@ from hourgrid.operators import (
     entity_registry,
     epoch_of,
     event_leg,
+    event_rejects,
     hourly_rollup,
     interval_rejects,
     report_view,
     state_leg,
 )
-from hourgrid.sources import read_csv, schemas, with_epochs
+from hourgrid.sources import read_csv, schemas, with_epochs, within_days
+from hourgrid.sources.readers import TEXT
 
 # The keys of the input logs, the states behind each metric, the outcome
 # that counts as complete, and the columns of the result and of the report.
@@ -84,6 +86,33 @@ class MachineLogs:
             unload_items=read_csv(spark, unload_items, schemas.UNLOAD_ITEMS),
         )
 
+    @classmethod
+    def from_parquet(
+        cls,
+        spark: SparkSession,
+        *,
+        sites: str,
+        machines: str,
+        states: str,
+        attempts: str,
+        unloads: str,
+        unload_items: str,
+        hours: HourRange | None = None,
+        day: str = "day",
+    ) -> MachineLogs:
+        """Read Parquet with the column names of ``sources.schemas`` and times as timestamps.
+        With ``hours``, logs stored by ``day``, the UTC date a row starts on, are pruned to
+        the days that can matter; the items of unloads have no day of their own."""
+        def log(path: str, spans: bool = False) -> DataFrame:
+            rows = spark.read.parquet(path)
+            return rows if hours is None else within_days(rows, day, hours, spans=spans)
+
+        return cls(
+            sites=spark.read.parquet(sites), machines=spark.read.parquet(machines),
+            states=log(states, spans=True), attempts=log(attempts), unloads=log(unloads),
+            unload_items=spark.read.parquet(unload_items),
+        )
+
     def at_site(self, site: str) -> MachineLogs:
         """The same logs, one site only. Filter the inputs like this for a result about
         one site: a filter on the rollup reaches every scan but that of the items."""
@@ -118,8 +147,11 @@ class MachineLogs:
         ]
 
 
-def machine_rollup(logs: MachineLogs, hours: HourRange) -> DataFrame:
-    """One row per machine and hour, in the columns of ``ROLLUP_SCHEMA``."""
+def machine_rollup(logs: MachineLogs, hours: HourRange, *, site: str | None = None) -> DataFrame:
+    """One row per machine and hour, in the columns of ``ROLLUP_SCHEMA``; with ``site``, of that
+    site, which then filters all six inputs."""
+    if site is not None:
+        logs = logs.at_site(site)
     rollup = hourly_rollup(logs.registry, hours, logs.legs(hours), keys=KEYS)
     return rollup.withColumnsRenamed(OUTPUT_KEYS)
 
@@ -129,9 +161,9 @@ def machine_report(
     *,
     since: str | datetime | None = None,
     where: Column | str | None = None,
-    limit: int | None = 500,
+    limit: int | None = None,
 ) -> DataFrame:
-    """The first rows of a rollup by site, machine and hour, for reading.
+    """The rows of a rollup by site, machine and hour, for reading; with ``limit``, the first.
 
     Give it a written rollup where there is one. On a rollup still to be computed, cut
     ``hours`` with ``HourRange.since`` as well: ``since`` filters rows of the result,
@@ -152,3 +184,21 @@ def machine_coverage(logs: MachineLogs, hours: HourRange) -> DataFrame:
 def machine_rejects(logs: MachineLogs) -> DataFrame:
     """State intervals that enter no metric because a time is missing or reversed."""
     return interval_rejects(logs.states, start="start_time", end="end_time")
+
+
+def machine_event_rejects(logs: MachineLogs) -> DataFrame:
+    """Attempts and unloads that enter no hour because their time is missing or malformed:
+    ``log, id``, the keys, the time as it was read (NULL where the text is not known), and
+    the reason."""
+    parts = []
+    for name, rows, id, ts in (
+        ("attempts", logs.attempts, "id", "start_time"), ("unloads", logs.unloads, "unload_id", "event_time"),
+    ):
+        text = F.col(f"{ts}{TEXT}") if f"{ts}{TEXT}" in rows.columns else F.lit(None).cast("string")
+        parts.append(
+            event_rejects(rows, ts=ts).select(
+                F.lit(name).alias("log"), F.col(id).cast("string").alias("id"), *KEYS,
+                text.alias("time_text"), "reject_reason",
+            )
+        )
+    return parts[0].unionByName(parts[1])

@@ -12,6 +12,9 @@ from hourgrid.functions import epoch_to_ts
 from hourgrid.operators.spine import HourRange
 
 
+TEXT = "_text"
+
+
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: StructType, *, sep: str = ","
 ) -> DataFrame:
@@ -34,8 +37,10 @@ def read_parquet(spark: SparkSession, path: str | list[str], schema: StructType
 
 
 def with_epochs(log: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Turn epoch-second columns into timestamps in place; bad values become NULL."""
-    return log.withColumns({name: epoch_to_ts(F.col(name)) for name in columns})
+    """Turn epoch-second columns into timestamps in place; bad values become NULL. What was
+    there stays as ``<name>_text``, so that rejects can show it."""
+    texts = {f"{name}{TEXT}": F.col(name).cast("string") for name in columns}
+    return log.withColumns(texts | {name: epoch_to_ts(F.col(name)) for name in columns})
 
 
 def within_days(log: DataFrame, day: str, hours: HourRange, *, spans: bool = False) -> DataFrame:

@@ -1,20 +1,16 @@
 """Declared schemas of the six input files. Nothing is inferred.
 
-Identifiers are text and join as text (``01`` is not ``1``). Times are epoch seconds,
-declared as numbers so that the scan parses them once; what is no number reads as NULL.
+Identifiers are text and join as text (``01`` is not ``1``). Times are epoch seconds, read
+as text, so that a reject can show what is no number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
-
-EPOCHS = frozenset(["start_time", "end_time", "event_time", "meta_event_time"])
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def _schema(*names: str) -> StructType:
-    return StructType(
-        [StructField(name, DoubleType() if name in EPOCHS else StringType()) for name in names]
-    )
+    return StructType([StructField(name, StringType()) for name in names])
 
 
 # The header of each input file.

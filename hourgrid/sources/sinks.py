@@ -20,7 +20,8 @@ def write_rollup(
 
     ``format`` and ``options`` go to Spark unchanged: ``path`` for files; ``url``,
     ``dbtable``, ``user``, ``password``, ``numPartitions`` and ``truncate`` for
-    ``jdbc``. A JDBC write commits per task, so ``publish`` a table first and send what that
+    ``jdbc``. Without ``truncate="true"`` a JDBC overwrite drops the table, with its types and
+    grants. A JDBC write commits per task, so ``publish`` a table first and send what that
     returns: a lost executor then repeats only its part of the transfer.
     """
     rollup.write.format(format).options(**options).mode(mode).save()
@@ -52,8 +53,22 @@ def read_daily(
     return rows.drop(DAY)
 
 
-def publish(rollup: DataFrame, path: str, *, mode: str = "overwrite", **options: str) -> DataFrame:
+def publish(
+    rollup: DataFrame, path: str, *, hours: HourRange | None = None, mode: str = "overwrite", **options: str
+) -> DataFrame:
     """Write a rollup with ``write_daily`` and return it as read back, so that reports and
-    transfers made from it do not compute it again."""
+    transfers made from it do not compute it again.
+
+    Only ``hours``, the range of the rollup, is read back; without it the folder must be
+    overwritten as a whole. Nothing can be appended, as days that are there already could
+    not be told from those written.
+    """
+    if mode == "append":
+        raise ValueError("publish replaces days; append with write_daily")
+    replaced = {key.lower(): value for key, value in options.items()}.get(
+        "partitionoverwritemode", rollup.sparkSession.conf.get("spark.sql.sources.partitionOverwriteMode")
+    )
+    if hours is None and (mode != "overwrite" or replaced.lower() == "dynamic"):
+        raise ValueError("name the hours of the rollup, as the folder may hold others")
     write_daily(rollup, path, mode=mode, **options)
-    return read_daily(rollup.sparkSession, path, rollup.schema)
+    return read_daily(rollup.sparkSession, path, rollup.schema, hours=hours)

@@ -11,6 +11,7 @@ from hourgrid.operators import HourRange
 from hourgrid.plans import (
     MachineLogs,
     machine_coverage,
+    machine_event_rejects,
     machine_rejects,
     machine_report,
     machine_rollup,
@@ -158,7 +159,7 @@ def test_coverage(logs, rollup):
     for metric, row in rows.items():
         inside = rollup.agg(F.sum(metric)).first()[0]
         assert row.in_rollup == inside
-        assert row.total == row.in_rollup + row.unregistered + row.outside_hours
+        assert row.total == row.in_rollup + row.unregistered + row.outside_hours + row.no_time + row.no_parent
     assert rows["total_attempts"].total == 120
 
 
@@ -238,3 +239,87 @@ def test_logs_by_day_are_pruned(spark, tmp_path):
     overlapping = stored.filter((F.col("ts") < hours.upper_ts) & (F.col("ts_end") > hours.lower_ts))
     assert spans.intersect(overlapping).count() == overlapping.count()
     assert spans.agg(F.max("day").cast("string")).first()[0] == "2022-11-24"
+
+
+def test_publish_returns_what_it_wrote(rollup, logs, tmp_path):
+    path = str(tmp_path / "days")
+    day = HourRange.between("2022-11-22", "2022-11-22 23:00")
+    write_daily(rollup.filter("to_date(start_time) <> '2022-11-22'"), path)
+    table = publish(machine_rollup(logs, day), path, hours=day, partitionOverwriteMode="dynamic")
+    assert table.count() == len(MACHINES) * 24
+    with pytest.raises(ValueError):
+        publish(rollup, path, hours=HOURS, mode="append")
+    with pytest.raises(ValueError):
+        publish(rollup, path, partitionOverwriteMode="dynamic")
+
+
+def test_malformed_times_are_rejected_and_counted(spark, logs, tmp_path):
+    attempts = write_csv(tmp_path / "a.csv", schemas.ATTEMPTS, [
+        ("a1", "oops", 1, "complete", "null", "London", "M1", T0), ("a2", T0, T0, "complete", "null", "London", "M1", T0),
+    ])
+    unloads = write_csv(tmp_path / "u.csv", schemas.UNLOADS, [("1", "o", "", "London", "M1", T0), ("2", "o", T0, "London", "M1", T0)])
+    items = write_csv(tmp_path / "i.csv", schemas.UNLOAD_ITEMS, [
+        (unload, f"i{k}", "London", "M1", T0) for k, unload in enumerate("112299")
+    ])
+    some = MachineLogs(
+        logs.sites, logs.machines, logs.states,
+        with_epochs(read_csv(spark, attempts, schemas.ATTEMPTS), ["start_time", "end_time"]),
+        with_epochs(read_csv(spark, unloads, schemas.UNLOADS), ["event_time"]), read_csv(spark, items, schemas.UNLOAD_ITEMS),
+    )
+    rows = machine_event_rejects(some).select("log", "id", "time_text", "reject_reason").collect()
+    assert sorted(map(tuple, rows)) == [("attempts", "a1", "oops", "no time"), ("unloads", "1", None, "no time")]
+    parts = {r.metric: tuple(r)[1:] for r in machine_coverage(some, HOURS).collect()}
+    assert parts["total_attempts"] == (2, 1, 0, 0, 1, 0)
+    assert parts["units_unloaded"] == (6, 2, 0, 0, 2, 2)
+
+
+def test_one_site_and_stored_days(spark, logs, rollup, tmp_path):
+    part = machine_rollup(logs, HOURS, site="Toronto")
+    assert part.exceptAll(rollup.filter("orb_site = 'Toronto'")).count() == 0 and part.count() == 2 * HOURS.count
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 6 and all("EqualTo(meta_orb_site,Toronto)" in s or "EqualTo(orb_site,Toronto)" in s for s in scans)
+    paths = {}
+    for name in ("sites", "machines", "states", "attempts", "unloads", "unload_items"):
+        rows, paths[name] = getattr(logs, name), str(tmp_path / name)
+        ts = {"states": "start_time", "attempts": "start_time", "unloads": "event_time"}.get(name)
+        if ts:
+            rows.withColumn("day", F.to_date(ts)).write.partitionBy("day").parquet(paths[name])
+        else:
+            rows.write.parquet(paths[name])
+    day = HourRange.between("2022-11-22", "2022-11-22 23:00")
+    table = machine_rollup(MachineLogs.from_parquet(spark, **paths, hours=day), day)
+    assert "PartitionFilters: [isnotnull(day" in table._jdf.queryExecution().executedPlan().toString()
+    assert table.drop("id_hours").exceptAll(rollup.drop("id_hours")).count() == 0
+    assert table.count() == len(MACHINES) * 24
+
+
+def test_totals_of_a_known_shape(spark):
+    """Machines that sort 100 s, are blocked 50 s, try twice and unload 3 units in each of 20
+    hours: totals and non-NULL cells are known beforehand."""
+    names = [(f"S{m % 5}", f"M{m}") for m in range(25)]
+    cells = [(s, m, T0 + 3600 * h) for s, m in names for h in range(20)]
+    frame = spark.createDataFrame
+    at = lambda t: datetime.fromtimestamp(t, timezone.utc).replace(tzinfo=None)
+    logs = MachineLogs(
+        frame([(f"S{s}", "UTC") for s in range(5)], "meta_orb_site string, timezone string"),
+        frame(names, "meta_orb_site string, meta_machine_name string"),
+        frame([(s, m, at(t + 10), at(t + 110), "sorting") for s, m, t in cells]
+              + [(s, m, at(t + 3575), at(t + 3625), "blocked") for s, m, t in cells],
+              "meta_orb_site string, meta_machine_name string, start_time timestamp, end_time timestamp, state string"),
+        frame([(s, m, f"{m}{t}{k}", at(t), ["complete", "partial"][k]) for s, m, t in cells for k in (0, 1)],
+              "meta_orb_site string, meta_machine_name string, id string, start_time timestamp, outcome string"),
+        frame([(s, m, f"{t}", at(t)) for s, m, t in cells],
+              "meta_orb_site string, meta_machine_name string, unload_id string, event_time timestamp"),
+        frame([(s, m, f"{t}", f"{k}") for s, m, t in cells for k in range(3)],
+              "meta_orb_site string, meta_machine_name string, unload_id string, item_id string"),
+    )
+    hours = HourRange.between("2022-11-21", "2022-11-22 23:00")
+    metrics = ["operating_seconds", "downtime_seconds", "blocked_seconds", "total_attempts", "complete_attempts", "units_unloaded"]
+    row = machine_rollup(logs, hours).agg(
+        F.count(F.lit(1)).alias("rows"), *[F.struct(F.sum(m), F.count(m)).alias(m) for m in metrics]
+    ).first()
+    assert row.rows == 25 * 48
+    assert [tuple(row[m]) for m in metrics] == [
+        (50_000, 500), (None, 0), (25_000, 525), (1_000, 500), (500, 500), (1_500, 500),
+    ]

@@ -83,17 +83,17 @@ def test_cells(rollup):
 def test_coverage_accounts_for_everything(registry, log):
     rows = {row.metric: tuple(row)[1:] for row in coverage(registry, legs(log, True), keys=KEYS).collect()}
     assert rows == {
-        # total, in the rollup, unregistered, outside the hours
-        "run": (6000 + 30 + 30 + 30 + 30, 4200 + 30, 60, 1800 + 30),
-        "down": (7200, 3600, 0, 3600),
-        "n": (7, 3, 2, 2),
-        "n_on": (5, 1, 2, 2),
+        # total, in the rollup, unregistered, outside the hours, without time, without parent
+        "run": (6000 + 30 + 30 + 30 + 30, 4200 + 30, 60, 1800 + 30, 0, 0),
+        "down": (7200, 3600, 0, 3600, 0, 0),
+        "n": (7, 3, 2, 2, 0, 0),
+        "n_on": (5, 1, 2, 2, 0, 0),
     }
 
 
 def test_coverage_of_nothing(registry, log):
     rows = coverage(registry, legs(log.filter("false"), True), keys=KEYS).collect()
-    assert sorted(map(tuple, rows)) == [(name, 0, 0, 0, 0) for name in ("down", "n", "n_on", "run")]
+    assert sorted(map(tuple, rows)) == [(name, 0, 0, 0, 0, 0, 0) for name in ("down", "n", "n_on", "run")]
 
 
 def test_local_time_over_a_clock_change(rollup):
@@ -144,9 +144,9 @@ def test_report_fills_numbers_only(rollup):
 def test_one_pass_equals_one_table_per_metric(spark):
     """The merged rollup against six separate tables joined one after the other."""
     sf_dir = "/root/testdata/sf0.001"
-    events = contract._named(contract._intervals(spark, sf_dir))
-    unloads = contract._named(contract._unloads(spark, sf_dir))
-    keys = contract.KEYS
+    events = contract._intervals(spark, sf_dir)
+    unloads = contract._unloads(spark, sf_dir)
+    keys = contract.MACHINE
     tables = [
         state_seconds_by_hour(
             events, {metric: names}, keys=keys, start="ts", end="ts_end", state="event_type"
@@ -164,7 +164,7 @@ def test_one_pass_equals_one_table_per_metric(spark):
             ts="ts", item="l_linenumber", name="units_unloaded",
         ),
     ]
-    merged = contract._rollup(spark, sf_dir)
+    merged = contract._dense(spark, sf_dir)
     metrics = [table.columns[-1] for table in tables]
     chained = merged.drop(*metrics)
     for table in tables:

@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from hourgrid.functions import require_utc
 from hourgrid.operators import (
@@ -165,3 +166,11 @@ def test_year_long_range_matches_calendar():
     hours = HourRange.between("2024-01-01", "2024-12-31 23:00")
     assert hours.count == 366 * 24
     assert hours.upper - hours.lower == timedelta(days=366).total_seconds()
+
+
+def test_a_spine_of_all_years_is_spread(spark):
+    log = spark.sql("SELECT explode(array(timestamp '0001-01-01 05:30:00', timestamp '9999-12-31 22:10:00')) AS ts")
+    spine = hour_spine_over(log, "ts").select("id_hours")
+    parts = spine.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
+    assert len(parts) > 1 and sum(p.n for p in parts) == (datetime(9999, 12, 31, 22) - datetime(1, 1, 1, 5)) // timedelta(hours=1) + 1
+    assert max(p.n for p in parts) < 0.5 * sum(p.n for p in parts)
