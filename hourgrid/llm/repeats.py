@@ -28,7 +28,7 @@ from .induced_sort import context_kind, earlier_windows
 #: Bytes of an anchor's string.
 GRAM = 20
 #: Bytes of text in a chunk of documents, about.
-CHUNK = 1 << 24
+CHUNK = 1 << 23
 #: Bytes whose anchors are found at once, and contexts taken at once.
 AT_ONCE = 1 << 19
 CONTEXTS = 1 << 16
