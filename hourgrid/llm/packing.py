@@ -19,6 +19,8 @@ from .common import stored
 #: Pieces that are packed together, about. The last, emptier sequences of a shard are a
 #: handful among thousands.
 SHARD = 20_000
+#: Share of a shard's pieces, the shortest, that close its sequences.
+CLOSING = 0.25
 #: Words whose tokens a Python worker remembers, from one task to the next: about 300 MB.
 REMEMBERED = 1_500_000
 #: Texts tokenised at once.
@@ -104,24 +106,32 @@ def token_pieces(docs: DataFrame, *, vocabulary: str, capacity: int, id: str, te
     return rows.mapInArrow(work, schema)
 
 
-def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+def sum_of_squares(
+    lengths: np.ndarray, capacity: int, closing: float = 0.0
+) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of each length, placed in the order given.
 
     With n(g) open bins of gap g, a length goes where the sum of n(g) squared becomes
     smallest: into a bin of gap g, or a new one; gap 0 is closed and counts nothing. Among
     equals the smallest gap is taken, and of its bins the one that got it last.
+
+    Gaps of many sizes are kept for lengths to come. For the last share ``closing`` of them
+    hardly any come, so these go to the smallest gap that holds them.
     """
     bins = np.empty(len(lengths), dtype=np.int64)
     offsets = np.empty(len(lengths), dtype=np.int64)
     open_bins: list[list[int]] = [[] for _ in range(capacity + 1)]
     n = np.zeros(capacity + 1, dtype=np.int64)
     gaps = np.arange(capacity + 1)
-    made = 0
+    made, never = 0, np.iinfo(np.int64).max
+    first_closing = len(lengths) - int(closing * len(lengths))
     for i, length in enumerate(lengths.tolist()):
         # change of the sum: -2 n(g) + 1 at the gap that goes, 2 n(g') + 1 at the one that comes
         left = 2 * n[: capacity + 1 - length] + 1
         left[0] = 0
-        change = np.where(n[length:] > 0, left - 2 * n[length:] + 1, np.iinfo(np.int64).max)
+        change = np.where(n[length:] > 0, left - 2 * n[length:] + 1, never)
+        if i >= first_closing:
+            change[change < never] = -1
         best = int(change.argmin())
         new = 0 if length == capacity else int(2 * n[capacity - length] + 1)
         if n[length + best] > 0 and change[best] <= new:
@@ -149,7 +159,8 @@ def pack_documents(
     ``start`` and ``length`` in the document, ``ids_crc32``, ``sequence_id``, ``offset``.
 
     Pieces are dealt into shards of about ``SHARD`` in turn, whatever their ids, and packed
-    there from the longest to the shortest by the sum of squares (`sum_of_squares`).
+    there from the longest to the shortest by the sum of squares (`sum_of_squares`), the
+    shortest quarter by best fit.
 
     A null text is an empty one: id 0 alone. Null ids and repeated rows are documents of
     their own. An empty table gives no rows.
@@ -160,7 +171,7 @@ def pack_documents(
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "turn"], ascending=[False, True])
-        bins, offsets = sum_of_squares(rows["length"].to_numpy(), capacity)
+        bins, offsets = sum_of_squares(rows["length"].to_numpy(), capacity, CLOSING)
         return rows.drop(columns="turn").assign(sequence_id=(rows["shard"].to_numpy() << 32) + bins, offset=offsets)
 
     # the stored rows keep their partitions and order, so numbers by place stay the same
