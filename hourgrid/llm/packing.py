@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -23,6 +24,10 @@ SHARD = 20_000
 CLOSING = 0.25
 #: Words whose tokens a Python worker remembers, from one task to the next: about 300 MB.
 REMEMBERED = 1_500_000
+#: Accents that follow their letter (U+0300 to U+036F) and the beginning of a special token.
+ODD = re.compile(rb"[\xcc\xcd]|<\|")
+#: A word that ends in one of these after an ASCII letter has the ids of the two in a row.
+MARKS = b".,;:!?"
 #: Texts tokenised at once.
 TEXTS = 256
 
@@ -41,24 +46,39 @@ class WordTokens:
     The vocabulary's rules never join what ASCII white space parts: the normaliser turns
     white space to spaces, the splitting pattern leaves them out, and special tokens hold
     none. So a text's ids are those of its words in a row, and those of a word, once found,
-    are remembered.
+    are remembered. As the normaliser lowers case, A-Z are lowered first, which saves words;
+    not where that could compose a letter with an accent that follows it, or make a special
+    token.
     """
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer_at(path)
         self.known: dict[bytes, bytes] = {}
+        self.marks = dict(zip(MARKS, self._encode([bytes([mark]) for mark in MARKS])))
+
+    def _encode(self, words: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [array("I", encoding.ids).tobytes() for encoding in found]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        split = [text.split() for text in texts]
-        known = self.known
-        words = set().union(*split)
-        new = list(words.difference(known))
-        if len(known) + len(new) > REMEMBERED and known:
-            known.clear()
-            new = list(words)
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        known.update(zip(new, [array("I", encoding.ids).tobytes() for encoding in found]))
-        return [b"".join([known[w] for w in words]) for words in split]
+        split = [(text if ODD.search(text) else text.lower()).split() for text in texts]
+        words = list(set().union(*split))
+        here = dict(zip(words, map(self.known.get, words)))  # small, so fast to look up in
+        plain, marked = [], []
+        for word, ids in here.items():
+            if ids is None:
+                (marked if word[-1] in MARKS and word[-2:-1].isalpha() else plain).append(word)
+        stems = {word[:-1] for word in marked}.difference(plain)
+        plain.extend(stem for stem in stems if stem not in self.known)
+        fresh = dict(zip(plain, self._encode(plain)))
+        for word in marked:
+            stem = word[:-1]
+            fresh[word] = (fresh.get(stem) or self.known[stem]) + self.marks[word[-1]]
+        here.update(fresh)
+        if len(self.known) + len(fresh) > REMEMBERED:
+            self.known.clear()
+        self.known.update(fresh)
+        return [b"".join(map(here.__getitem__, words)) for words in split]
 
 
 @cache

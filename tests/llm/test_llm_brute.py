@@ -159,6 +159,7 @@ def test_tokens_are_those_of_whole_texts():
     texts = [
         "The cat's tail, don't!  x́y\tÅ\nİstanbul ǅ 12ab <|endoftext|> a<|endoftext|>b <|ENDOFTEXT|>",
         "ΑΣ ΟΔΟΣ. tail   x\x1cy \x85z naïve é ́ 日本語テキスト 🙂🙂 'S 's 'll", "",
+        "J\u030c H\u0331a T\u0308 Y\u030aB W\u030a", "PLAIN Words İ Σ ΣΣ K Å ẞ, Ǆ",
     ]
     tokens = packing.WordTokens(WORDS)
     whole = [packing.tokenizer_at(WORDS).encode(t, add_special_tokens=False).ids for t in texts]
