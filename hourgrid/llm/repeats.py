@@ -7,7 +7,9 @@ distance. Anchors whose short string is in one document only are left out by cou
 short names. The others are named by their context, all that strings around them can cover.
 Where a context stands in an earlier document as it is, all of it goes; where no other
 context has the anchor's string, nothing does; only the rest is sorted, in shards by the
-anchor's string, see `induced_sort`.
+anchor's string, see `induced_sort`. A string at so many places that one task should not sort
+them all is left to the names alone: the strings of the length sought around its anchors are
+named, those of a chunk once, and go where their names do.
 
 Documents are kept in chunks by a hash, and every step that needs texts meets them there.
 """
@@ -32,6 +34,8 @@ CHUNK = 1 << 23
 #: Bytes whose anchors are found at once, and contexts taken at once.
 AT_ONCE = 1 << 19
 CONTEXTS = 1 << 16
+#: Places of an anchor's string that one task sorts at most (260 MB of contexts, on disk).
+OFTEN = 2_000_000
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _LAST = 2 ** 63 - 1  # place in order of a null id
 
@@ -113,6 +117,36 @@ def _regions(of: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.nd
     return of[first], start[first], np.maximum.reduceat(stop, first) if len(first) else stop[:0]
 
 
+def _strings(
+    texts: Texts, of: np.ndarray, at: np.ndarray, reach: int, size: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document, place and two names of each string of ``size`` bytes that begins at a place or
+    up to ``reach`` bytes before it."""
+    words = np.ndarray(max(len(texts.data) - 7, 0), "<u8", texts.data, strides=(1,))
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
+    step = CONTEXTS // (reach + 1)
+    for a in range(0, len(at), step):
+        some, here = of[a:a + step], at[a:a + step]
+        low = np.maximum(here - reach, texts.starts[some])
+        times = np.maximum(np.minimum(here, texts.ends[some] - size) - low + 1, 0)
+        before = np.cumsum(times) - times
+        place, one = np.unique(np.repeat(low - before, times) + np.arange(times.sum()), return_index=True)
+        parts = [words[place + s] for s in [*range(0, size - 8, 8), size - 8]]
+        found.append((np.repeat(some, times)[one], place, _mixed(parts), _mixed(parts[::-1])))
+    return tuple(np.concatenate(column) for column in zip(*found))
+
+
+def _earlier(gram: np.ndarray, name: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Which have both names of one of a smaller order."""
+    by = np.lexsort([order, name, gram])
+    new = np.ones(len(by), dtype=bool)
+    new[1:] = (gram[by][1:] != gram[by][:-1]) | (name[by][1:] != name[by][:-1])
+    least = order[by][np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
+    sure = np.zeros(len(by), dtype=bool)
+    sure[by] = order[by] > least
+    return sure
+
+
 def _grams(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places, hashes and document numbers of all anchors."""
     places, hashes, of = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -142,16 +176,17 @@ def _by_shard(keys: np.ndarray) -> Iterator[tuple[int, slice]]:
         yield int(shard[a]), slice(int(a), int(b))
 
 
-def _shared(texts: DataFrame, size: int, shards: int) -> DataFrame:
+def _shared(texts: DataFrame, size: int, shards: int, often: int) -> DataFrame:
     """For each chunk of documents and shard, which of the chunk's anchor strings, by short
-    name in order, may stand in more than one document of the corpus: packed bits. Names go to
-    their shards in blocks of four bytes each."""
+    name in order, may stand in more than one document of the corpus, and which at more than
+    ``often`` places: packed bits. Names go to their shards in blocks of four bytes each, and
+    so do the numbers of their places."""
 
     def send(chunk: pa.Table) -> pa.Table:
         own = Texts(chunk["text"].combine_chunks())
         order = chunk["order"].to_numpy()
         _, hashes, of = _grams(own, size)
-        keys, which = np.unique(_keys(hashes, shards), return_inverse=True)
+        keys, which, places = np.unique(_keys(hashes, shards), return_inverse=True, return_counts=True)
         least, most = np.full(len(keys), _LAST), np.full(len(keys), -_LAST)
         np.minimum.at(least, which, order[of])
         np.maximum.at(most, which, order[of])
@@ -163,6 +198,7 @@ def _shared(texts: DataFrame, size: int, shards: int) -> DataFrame:
             "chunk": pa.array([number] * len(parts), pa.int64()),
             "names": pa.array([keys[p].astype("<u4").tobytes() for _, p in parts], pa.binary()),
             "several": pa.array([np.packbits(several[p]).tobytes() for _, p in parts], pa.binary()),
+            "places": pa.array([places[p].astype("<u4").tobytes() for _, p in parts], pa.binary()),
         })
 
     def count(rows: pa.Table) -> pa.Table:
@@ -172,19 +208,28 @@ def _shared(texts: DataFrame, size: int, shards: int) -> DataFrame:
         _, which, times = np.unique(np.concatenate(blocks), return_inverse=True, return_counts=True)
         shared = times > 1
         shared[which[np.concatenate(marks) > 0]] = True
-        answers = np.split(shared[which], np.cumsum(sizes)[:-1])
-        return pa.table({
-            "chunk": rows["chunk"], "shard": rows["shard"],
-            "shared": pa.array([np.packbits(a).tobytes() for a in answers], pa.binary()),
-        })
+        places = np.concatenate([np.frombuffer(b, "<u4") for b in rows["places"].to_pylist()])
+        hot = np.bincount(which, weights=places) > often
 
-    sent = texts.groupBy("chunk").applyInArrow(send, "shard bigint, chunk bigint, names binary, several binary")
-    return sent.groupBy("shard").applyInArrow(count, "chunk bigint, shard bigint, shared binary")
+        def answers(by_name: np.ndarray) -> pa.Array:
+            blocks = np.split(by_name[which], np.cumsum(sizes)[:-1])
+            return pa.array([np.packbits(b).tobytes() for b in blocks], pa.binary())
 
+        return pa.table(
+            {"chunk": rows["chunk"], "shard": rows["shard"], "shared": answers(shared), "hot": answers(hot)}
+        )
 
-def _named(texts: DataFrame, size: int, shards: int) -> DataFrame:
-    """Anchors whose string is shared, with the names of string and context, and regions
-    (``stop`` not null) that stand in an earlier document of the same chunk."""
+    sent = texts.groupBy("chunk").applyInArrow(
+        send, "shard bigint, chunk bigint, names binary, several binary, places binary"
+    )
+    return sent.groupBy("shard").applyInArrow(count, "chunk bigint, shard bigint, shared binary, hot binary")
+
+
+def _named(texts: DataFrame, size: int, shards: int, often: int) -> DataFrame:
+    """Anchors whose string is shared, with the names of string and context. For those whose
+    string is at more than ``often`` places, the strings of ``size`` bytes around them instead,
+    with two names and ``stop``. And regions that stand in an earlier document of the same
+    chunk, with ``stop`` and a null ``order``."""
     reach = size - GRAM
     schema = pa.schema([
         ("gram", pa.int64()), ("name", pa.int64()), ("order", pa.int64()), ("doc", pa.int64()),
@@ -198,11 +243,15 @@ def _named(texts: DataFrame, size: int, shards: int) -> DataFrame:
         order, doc = left["order"].to_numpy(), left["doc"].to_numpy()
         at, gram, of = _grams(texts, size)
         keys, which = np.unique(_keys(gram, shards), return_inverse=True)
-        answer = dict(zip(right["shard"].to_pylist(), right["shared"].to_pylist()))
-        shared = np.concatenate([
-            np.unpackbits(np.frombuffer(answer[s], np.uint8), count=p.stop - p.start) for s, p in _by_shard(keys)
-        ])
-        some = np.nonzero(shared[which])[0]
+
+        def answers(column: str) -> np.ndarray:
+            answer = dict(zip(right["shard"].to_pylist(), right[column].to_pylist()))
+            return np.concatenate([
+                np.unpackbits(np.frombuffer(answer[s], np.uint8), count=p.stop - p.start) for s, p in _by_shard(keys)
+            ])
+
+        some = np.nonzero(answers("shared")[which])[0]
+        hot = answers("hot")[which[some]] > 0
         at, gram, of = at[some], gram[some], of[some]
         width = -(-(reach + size + 2) // 8) * 8
         names = [np.zeros(0, np.uint64)]
@@ -214,41 +263,40 @@ def _named(texts: DataFrame, size: int, shards: int) -> DataFrame:
             names.append(_mixed(list(row.view("<u8").T)))
         name = np.concatenate(names)
         # one that stands earlier in the chunk is decided
-        by = np.lexsort([order[of], name, gram])
-        new = np.ones(len(by), dtype=bool)
-        new[1:] = (gram[by][1:] != gram[by][:-1]) | (name[by][1:] != name[by][:-1])
-        least = order[of[by]][np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
-        sure = np.zeros(len(by), dtype=bool)
-        sure[by] = order[of[by]] > least
-        local = at - texts.starts[of]
+        sure = _earlier(gram, name, order[of])
+        rest, often_there = np.nonzero(~sure & ~hot)[0], np.nonzero(~sure & hot)[0]
+        w_of, w_at, one, two = _strings(texts, of[often_there], at[often_there], reach, size)
+        w_sure = _earlier(one, two, order[w_of])
+        w = np.nonzero(~w_sure)[0]
         length = texts.ends - texts.starts
-        s, rest = np.nonzero(sure)[0], np.nonzero(~sure)[0]
+        local, w_local = at - texts.starts[of], w_at - texts.starts[w_of]
         r_of, r_start, r_stop = _regions(
-            of[s], np.maximum(local[s] - reach, 0), np.minimum(local[s] + size, length[of[s]])
+            np.concatenate([of[sure], w_of[w_sure]]),
+            np.concatenate([np.maximum(local[sure] - reach, 0), w_local[w_sure]]),
+            np.concatenate([np.minimum(local[sure] + size, length[of[sure]]), w_local[w_sure] + size]),
         )
-        both = np.concatenate([of[rest], r_of])
+        all_of = np.concatenate([of[rest], w_of[w], r_of])
+        row = np.arange(len(all_of))
+        stop = np.concatenate([np.zeros(len(rest), np.int64), w_local[w] + size, r_stop])
         return pa.table(
             [
-                pa.array(np.concatenate([gram[rest].view(np.int64), doc[r_of]])),
-                pa.array(np.concatenate([name[rest].view(np.int64), doc[r_of]])),
-                pa.array(order[both]), pa.array(doc[both]),
-                pa.array(np.concatenate([local[rest], r_start]).astype(np.int32)),
-                pa.array(
-                    np.concatenate([np.zeros(len(rest)), r_stop]).astype(np.int32),
-                    mask=np.arange(len(both)) < len(rest),
-                ),
+                pa.array(np.concatenate([gram[rest].view(np.int64), one[w].view(np.int64), doc[r_of]])),
+                pa.array(np.concatenate([name[rest].view(np.int64), two[w].view(np.int64), doc[r_of]])),
+                pa.array(order[all_of], mask=row >= len(rest) + len(w)), pa.array(doc[all_of]),
+                pa.array(np.concatenate([local[rest], w_local[w], r_start]).astype(np.int32)),
+                pa.array(stop.astype(np.int32), mask=row < len(rest)),
             ],
             schema=schema,
         )
 
-    return texts.groupBy("chunk").cogroup(_shared(texts, size, shards).groupBy("chunk")).applyInArrow(
+    return texts.groupBy("chunk").cogroup(_shared(texts, size, shards, often).groupBy("chunk")).applyInArrow(
         work, "gram bigint, name bigint, order bigint, doc bigint, at int, stop int"
     )
 
 
 def _judged(named: DataFrame) -> DataFrame:
-    """Anchors that matter: ``sure`` ones, whose context stands in an earlier document, and the
-    first of each context whose string has others."""
+    """What matters: regions, strings that stand in an earlier document, ``sure`` anchors, whose
+    context stands in one, and the first of each context whose string has others."""
     by_name, by_gram = Window.partitionBy("gram", "name"), Window.partitionBy("gram")
     rows = (
         named.repartition("gram")
@@ -256,9 +304,9 @@ def _judged(named: DataFrame) -> DataFrame:
         .withColumn("least", F.min("order").over(by_gram))
         .withColumn("most", F.max("order").over(by_gram))
         .withColumn("several", F.min("name").over(by_gram) != F.max("name").over(by_gram))
-        .withColumn("sure", F.col("first") < F.col("order"))
+        .withColumn("sure", F.coalesce(F.col("first") < F.col("order"), F.lit(False)))
     )
-    matter = F.col("stop").isNotNull() | (
+    matter = F.when(F.col("stop").isNotNull(), F.col("sure") | F.col("order").isNull()).otherwise(
         (F.col("least") < F.col("most")) & (F.col("sure") | F.col("several"))
     )
     open_ = ~F.col("sure") & F.col("stop").isNull()  # only these are named again
@@ -269,7 +317,7 @@ def _judged(named: DataFrame) -> DataFrame:
 
 
 def remove_repeats(
-    docs: DataFrame, *, id: str = "doc_id", text: str = "text", size: int = 50
+    docs: DataFrame, *, id: str = "doc_id", text: str = "text", size: int = 50, often: int = OFTEN
 ) -> DataFrame:
     """What is left of every text without the strings of ``size`` bytes that also start in a
     document of a smaller id.
@@ -277,7 +325,7 @@ def remove_repeats(
     Texts are UTF-8 bytes; each byte that such a string covers goes, judged on the input.
     Matches never cross documents. Returns one row per row of ``docs``: the id, ``n_bytes``,
     ``n_removed``, ``n_spans`` (runs of removed bytes), ``kept_sha256``, and ``spans``, the runs
-    as (start, stop).
+    as (start, stop). Anchors' strings at more than ``often`` places are not sorted but named.
 
     A null text is an empty one. A null id is larger than any other; rows of equal ids, null
     ones too, are not earlier than one another. Texts shorter than ``size`` stay whole. An
@@ -295,7 +343,7 @@ def remove_repeats(
     )
     chunk = F.pmod(F.xxhash64("doc"), F.lit(chunks)).alias("chunk")
     texts = rows.select(chunk, "id", "doc", "order", "text")
-    judged = _judged(_named(texts, size, chunks)).select(chunk, "*")
+    judged = _judged(_named(texts, size, chunks, often)).select(chunk, "*")
 
     def contexts(left: pa.Table, right: pa.Table) -> pa.Table:
         """Regions of the chunk's documents, and the contexts that are to be sorted."""

@@ -1,5 +1,6 @@
 """Each operator against a plain computation of the same, and the SQL of those that have any."""
 
+import hashlib
 import os
 import random
 import sys
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from hourgrid.llm import embedding_pairs, induced_sort, language, packing, pseudo_likelihood, simhash  # noqa: E402
+from hourgrid.llm import embedding_pairs, induced_sort, language, packing, pseudo_likelihood, repeats, simhash  # noqa: E402
 from hourgrid.llm.common import components  # noqa: E402
 from hourgrid.llm.neighbours import nearest_neighbours  # noqa: E402
 from hourgrid.llm.queries import ORACLES, QUERIES, WORDS  # noqa: E402
@@ -276,3 +277,35 @@ def test_repeats_against_a_dictionary(spark):
             if first[body[p:p + 50]] < r.doc_id:
                 gone[p:p + 50] = b"\1" * 50
         assert r.n_removed == sum(gone) and r.n_bytes == len(body)
+
+
+@pytest.mark.parametrize("chunk, often", [(1 << 23, 2_000_000), (1 << 14, 2_000_000), (1 << 14, 3), (1 << 16, 0)])
+def test_repeats_whatever_is_common(spark, monkeypatch, chunk, often):
+    """The same bytes go whether strings are sorted or named, in one chunk or in many."""
+    monkeypatch.setattr(repeats, "CHUNK", chunk)
+    dice = random.Random(9)
+    words = ["".join(dice.choice("abcdeé") for _ in range(dice.randint(2, 9))) for _ in range(400)]
+    shared = [" ".join(dice.choices(words, k=k)) for k in (7, 9, 10, 14, 30)] + ["x" * 49, "y" * 50, "z" * 90]
+    texts = {}
+    for i in dice.sample(range(1000), 300):
+        parts = [" ".join(dice.choices(words, k=dice.randint(0, 60)))]
+        for _ in range(dice.choice([0, 0, 1, 3])):
+            parts += [dice.choice(shared), " ".join(dice.choices(words, k=dice.randint(0, 12)))]
+        texts[i] = " ".join(parts) if dice.random() < 0.9 or not texts else dice.choice(list(texts.values()))
+    first, body = {}, {i: text.encode() for i, text in texts.items()}
+    for i in sorted(body):
+        for p in range(len(body[i]) - 49):
+            first.setdefault(body[i][p:p + 50], i)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(5)
+    rows = repeats.remove_repeats(docs, often=often).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        own = body[r.doc_id]
+        gone = bytearray(len(own))
+        for p in range(len(own) - 49):
+            if first[own[p:p + 50]] < r.doc_id:
+                gone[p:p + 50] = b"\1" * 50
+        kept = bytes(b for b, g in zip(own, gone) if not g)
+        runs = sum(1 for p, g in enumerate(gone) if g and (p == 0 or not gone[p - 1]))
+        assert (r.n_bytes, r.n_removed, r.n_spans) == (len(own), sum(gone), runs)
+        assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
