@@ -2,15 +2,16 @@
 
 A small network predicts a word from the words in a window on both sides. It is trained in
 numpy over all documents: in each round every task goes on from the same weights with its own
-documents, and the weights of all are averaged by the number of words they learned from. The
-score of a text is the sum of the log-probabilities of its words, each given its neighbours.
+documents and learns every word of them once, and the weights of all are averaged by the
+number of words they learned from. The score of a text is the sum of the log-probabilities of
+its words, each given its neighbours.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -24,8 +25,8 @@ CLASSES, PLACES = 32, 32
 FREQUENT = 768
 #: Words seen on either side; numbers of a word's vector.
 WINDOW, WIDTH = 2, 16
-#: Passes over the corpus; share of the words masked, and learned, in each.
-ROUNDS, MASKED = 2, 0.2
+#: Passes over the corpus; each learns every word.
+ROUNDS = 2
 RATE = 0.05
 #: Words in a step of learning, and scored at once.
 STEP, AT_ONCE = 2_048, 16_384
@@ -87,16 +88,11 @@ class Words:
         return np.split(tokens, ends[:-1])
 
 
-def windows(
-    texts: list[np.ndarray], chosen: Callable[[int], np.ndarray] | None = None
-) -> tuple[np.ndarray, np.ndarray]:
-    """(neighbours, token) of every word of the texts in turn, or of those ``chosen``, which
-    gets their number."""
+def windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(neighbours, token) of every word of the texts in turn."""
     gap = np.full(WINDOW, PAD, dtype=np.int32)
     row = np.concatenate([x for text in texts for x in (gap, text)] + [gap])
     centre = np.nonzero(row != PAD)[0]
-    if chosen is not None:
-        centre = centre[chosen(len(centre))]
     sides = [s for s in range(-WINDOW, WINDOW + 1) if s]
     return np.stack([row[centre + s] for s in sides], axis=1), row[centre]
 
@@ -144,34 +140,69 @@ class Learner:
 
     def step(self, near: np.ndarray, token: np.ndarray) -> None:
         w = self.weights
+        # by class, so that the words of each are a slice
+        kind, place = np.divmod(token.astype(np.int16), PLACES)
+        order = np.argsort(kind, kind="stable")
+        near, kind, place = near[order], kind[order], place[order]
         hidden = _hidden(w, near)
-        kind, place = np.divmod(token, PLACES)
         rows = np.arange(len(token))
-        slope = {name: np.zeros_like(value) for name, value in w.items()}
+        slope = {name: np.zeros_like(value) for name, value in w.items() if name != "inputs"}
         wrong = softmax(hidden @ w["classes"] + w["class_bias"])
         wrong[rows, kind] -= 1
         slope["classes"], slope["class_bias"] = hidden.T @ wrong, wrong.sum(axis=0)
         back = wrong @ w["classes"].T
-        order = np.argsort(kind, kind="stable")
-        ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in np.nonzero(np.diff(ends))[0]:
-            own = order[ends[c]:ends[c + 1]]
-            wrong = softmax(hidden[own] @ w["places"][c] + w["place_bias"][c])
-            wrong[np.arange(len(own)), place[own]] -= 1
-            slope["places"][c], slope["place_bias"][c] = hidden[own].T @ wrong, wrong.sum(axis=0)
-            back[own] += wrong @ w["places"][c].T
+        ends = np.searchsorted(kind, np.arange(CLASSES + 1))
+        own = [(c, slice(ends[c], ends[c + 1])) for c in np.nonzero(np.diff(ends))[0]]
+        wrong = w["place_bias"][kind]
+        for c, some in own:
+            wrong[some] += hidden[some] @ w["places"][c]
+        wrong = softmax(wrong)
+        wrong[rows, place] -= 1
+        for c, some in own:
+            slope["places"][c] = hidden[some].T @ wrong[some]
+            back[some] += wrong[some] @ w["places"][c].T
+        slope["place_bias"][kind[ends[:-1][np.diff(ends) > 0]]] = np.add.reduceat(
+            wrong, ends[:-1][np.diff(ends) > 0], axis=0
+        )
         back *= 1 - hidden * hidden
         slope["bias"] = back.sum(axis=0)
+        for name, value in slope.items():
+            self._move(w[name], self.squares[name], ..., value / len(token))
         for side in range(near.shape[1]):
-            order = np.argsort(near[:, side], kind="stable")
-            seen, first = np.unique(near[order, side], return_index=True)
-            slope["inputs"][side][seen] = np.add.reduceat(back[order], first, axis=0)
-        for name in w:
-            own = slope[name] / len(token)
-            self.squares[name] += own * own
-            w[name] -= RATE * own / np.sqrt(self.squares[name])
+            beside = near[:, side].astype(np.int16)
+            order = np.argsort(beside, kind="stable")
+            beside = beside[order]
+            first = np.nonzero(np.diff(beside, prepend=-1))[0]
+            value = np.add.reduceat(back[order], first, axis=0) / len(token)
+            self._move(w["inputs"][side], self.squares["inputs"][side], beside[first], value)
         self.words += len(token)
 
+    @staticmethod
+    def _move(weights: np.ndarray, squares: np.ndarray, at, slope: np.ndarray) -> None:
+        squares[at] += slope * slope
+        weights[at] -= RATE * slope / np.sqrt(squares[at])
+
+
+def learn(learner: Learner, words: Words, texts: Iterable[list[bytes]], random: np.random.Generator) -> None:
+    """One pass: every word of the texts is predicted once, in steps of words of several texts."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def go(least: int) -> None:
+        near, token = (np.concatenate(x) for x in zip(*held))
+        mixed = random.permutation(len(token))
+        near, token = near[mixed], token[mixed]
+        whole = len(token) // STEP * STEP if least else len(token)
+        for at in range(0, whole, STEP):
+            learner.step(near[at:at + STEP], token[at:at + STEP])
+        held[:] = [(near[whole:], token[whole:])]
+
+    for some in texts:
+        held.append(windows(words.tokens(some)))
+        if sum(len(t) for _, t in held) >= 4 * STEP:
+            go(STEP)
+    if held:
+        go(0)
+
 
 def frequent_words(docs: DataFrame, text: str) -> list[bytes]:
     """The ``FREQUENT`` most frequent words of all documents, ties by bytes."""
@@ -206,24 +237,12 @@ def train(docs: DataFrame, text: str, frequent: list[bytes], rounds: int = ROUND
         def work(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
             words, learner = Words(frequent), Learner(unpacked(shared.value))
             random = np.random.default_rng([SEED, turn])
-            held: list[tuple[np.ndarray, np.ndarray]] = []
-
-            def learn(least: int) -> None:
-                near, token = (np.concatenate(x) for x in zip(*held))
-                whole = len(token) // STEP * STEP if least else len(token)
-                for at in range(0, whole, STEP):
-                    learner.step(near[at:at + STEP], token[at:at + STEP])
-                held[:] = [(near[whole:], token[whole:])]
-
-            for batch in batches:
-                texts = batch.column(0).cast(pa.binary())
-                for at in range(0, batch.num_rows, TEXTS):
-                    tokens = words.tokens([t or b"" for t in texts.slice(at, TEXTS).to_pylist()])
-                    held.append(windows(tokens, lambda n: random.random(n) < MASKED))
-                    if sum(len(t) for _, t in held) >= 4 * STEP:
-                        learn(STEP)
-            if held:
-                learn(0)
+            taken = (
+                [t or b"" for t in texts.slice(at, TEXTS).to_pylist()]
+                for batch in batches for texts in [batch.column(0).cast(pa.binary())]
+                for at in range(0, batch.num_rows, TEXTS)
+            )
+            learn(learner, words, taken, random)
             if learner.words:
                 own = packed(learner.weights).astype(np.float64) * learner.words
                 yield pa.RecordBatch.from_pydict(
@@ -243,8 +262,8 @@ def train(docs: DataFrame, text: str, frequent: list[bytes], rounds: int = ROUND
 def score_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """Pseudo-log-likelihood of every text.
 
-    Counts words over all documents, trains the network on all of them, and scores each
-    text whole. Returns one row per row of ``docs``: the id, ``n_words``, ``log_likelihood``
+    Counts words over all documents, trains the network on every word of them in each of
+    ``rounds`` passes, and scores each text whole. Returns one row per row of ``docs``: the id, ``n_words``, ``log_likelihood``
     (the sum over its words of the log-probability given the window on both sides) and
     ``mean_log_likelihood``, null without words. Weights depend on how the rows are dealt to
     tasks, so scores do a little; the same files in the same session settings give the

@@ -214,6 +214,25 @@ def test_pseudo_likelihood_by_hand_and_slope():
     assert pseudo_likelihood.log_probabilities(learner.weights, near, token).sum() > before
 
 
+def test_every_word_is_learned_in_each_pass():
+    class Recorder(pseudo_likelihood.Learner):
+        seen = ()
+
+        def step(self, near, token):
+            assert len(token) <= pseudo_likelihood.STEP
+            self.seen = (*self.seen, *map(tuple, np.column_stack([near, token])))
+            super().step(near, token)
+
+    dice = random.Random(2)
+    texts = [" ".join(f"w{dice.randrange(900)}" for _ in range(n)).encode() for n in (0, 1, 7000, 12, 0, 9000, 400)]
+    words = pseudo_likelihood.Words([b"w1", b"w2", b"w3"])
+    near, token = pseudo_likelihood.windows(words.tokens(texts))
+    learner = Recorder(pseudo_likelihood.first_weights())
+    pseudo_likelihood.learn(learner, words, [texts[:3], texts[3:5], texts[5:]], np.random.default_rng(0))
+    assert sorted(learner.seen) == sorted(map(tuple, np.column_stack([near, token])))
+    assert learner.words == 16413
+
+
 def test_scores_know_real_text_from_shuffled(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter(F.length("text") > 1000)
     texts = [r.text for r in docs.select("text").orderBy("doc_id").collect()]
