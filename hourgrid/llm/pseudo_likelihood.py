@@ -3,8 +3,10 @@
 A small network predicts a word from the words in a window on both sides. It is trained in
 numpy over all documents: in each round every task goes on from the same weights with its own
 documents and learns every word of them once, and the weights of all are averaged by the
-number of words they learned from. The score of a text is the sum of the log-probabilities of
-its words, each given its neighbours.
+number of words they learned from. The network knows a fixed number of tokens, so a word's
+probability is its token's times the word's share of all the words of that token. The counts
+of all words stay distributed and are joined by word. The score of a text is the sum of the
+log-probabilities of its words, each given its neighbours.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: Tokens: the most frequent words, and the others dealt by hash. A token is a class and a
 #: place in it, so that a prediction needs two small sums, not one over all tokens.
 CLASSES, PLACES = 32, 32
@@ -76,16 +80,22 @@ class Words:
         )
         self.codes, self.number = codes, number.astype(np.int32)
 
-    def tokens(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [text.lower().split() for text in texts]
-        ends = np.cumsum([len(words) for words in split])
-        codes = np.fromiter(map(zlib.crc32, chain.from_iterable(split)), dtype=np.uint32, count=int(ends[-1]))
+    def of(self, words: Iterable[bytes], count: int) -> np.ndarray:
+        """The tokens of so many words, lower-cased."""
+        codes = np.fromiter(map(zlib.crc32, words), dtype=np.uint32, count=count)
         tokens = FREQUENT + (codes % np.uint32(TOKENS - FREQUENT)).astype(np.int32)
         if len(self.codes):
             at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
             known = self.codes[at] == codes
             tokens[known] = self.number[at[known]]
-        return np.split(tokens, ends[:-1])
+        return tokens
+
+    def of_texts(self, split: list[list[bytes]]) -> list[np.ndarray]:
+        ends = np.cumsum([len(words) for words in split])
+        return np.split(self.of(chain.from_iterable(split), int(ends[-1])), ends[:-1])
+
+    def tokens(self, texts: list[bytes]) -> list[np.ndarray]:
+        return self.of_texts([text.lower().split() for text in texts])
 
 
 def windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -204,8 +214,8 @@ def learn(learner: Learner, words: Words, texts: Iterable[list[bytes]], random:
         go(0)
 
 
-def frequent_words(docs: DataFrame, text: str) -> list[bytes]:
-    """The ``FREQUENT`` most frequent words of all documents, ties by bytes."""
+def word_counts(docs: DataFrame, text: str) -> DataFrame:
+    """``word, n``: how often every word stands in all documents."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -222,8 +232,53 @@ def frequent_words(docs: DataFrame, text: str) -> list[bytes]:
         )
 
     counted = docs.select(F.col(text).cast("string")).mapInArrow(work, "word binary, n bigint")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(FREQUENT)
-    return [bytes(row.word) for row in top.collect()]
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def frequent_words(docs: DataFrame, text: str, counts: DataFrame | None = None) -> list[bytes]:
+    """The ``FREQUENT`` most frequent words of all documents, ties by bytes."""
+    counts = word_counts(docs, text) if counts is None else counts
+    return [bytes(row.word) for row in counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()]
+
+
+def word_shares(counts: DataFrame, frequent: list[bytes]) -> tuple[DataFrame, set[bytes]]:
+    """``word, share``: the logarithm of each word's part of all the words of its token; and
+    the frequent words that have a token of their own, whose share is 0. The driver gets two
+    numbers for a token; the table of words stays distributed."""
+
+    def columns(batch: pa.RecordBatch, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        return words.of(batch.column("word").to_pylist(), batch.num_rows), batch.column("n").to_numpy()
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, total, kinds = Words(frequent), np.zeros(TOKENS, np.int64), np.zeros(TOKENS, np.int64)
+        for batch in batches:
+            token, n = columns(batch, words)
+            np.add.at(total, token, n)
+            kinds += np.bincount(token, minlength=TOKENS)
+        seen = np.nonzero(kinds)[0]
+        yield pa.RecordBatch.from_pydict({"token": seen, "total": total[seen], "kinds": kinds[seen]})
+
+    sums = (
+        counts.mapInArrow(total, "token bigint, total bigint, kinds bigint")
+        .groupBy("token").agg(F.sum("total").alias("total"), F.sum("kinds").alias("kinds")).collect()
+    )
+    totals, kinds = np.ones(TOKENS), np.zeros(TOKENS, np.int64)
+    for row in sums:
+        totals[row.token], kinds[row.token] = row.total, row.kinds
+
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(frequent)
+        for batch in batches:
+            token, n = columns(batch, words)
+            yield pa.RecordBatch.from_pydict(
+                {"word": batch.column("word"), "share": np.log(n / totals[token])}
+            )
+
+    own = kinds[Words(frequent).of(frequent, len(frequent))] == 1
+    return (
+        counts.mapInArrow(share, "word binary, share double"),
+        {word for word, alone in zip(frequent, own) if alone},
+    )
 
 
 def train(docs: DataFrame, text: str, frequent: list[bytes], rounds: int = ROUNDS) -> np.ndarray:
@@ -263,41 +318,71 @@ def score_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", roun
     """Pseudo-log-likelihood of every text.
 
     Counts words over all documents, trains the network on every word of them in each of
-    ``rounds`` passes, and scores each text whole. Returns one row per row of ``docs``: the id, ``n_words``, ``log_likelihood``
-    (the sum over its words of the log-probability given the window on both sides) and
-    ``mean_log_likelihood``, null without words. Weights depend on how the rows are dealt to
-    tasks, so scores do a little; the same files in the same session settings give the
-    same scores but for the order of sums.
+    ``rounds`` passes, and scores each text whole. Returns one row per row of ``docs``: the
+    id, ``n_words``, ``log_likelihood`` (the sum over its words of the log-probability given
+    the window on both sides) and ``mean_log_likelihood``, null without words. A word's
+    probability is that of its token, from the network, times its share of the token's
+    words in all documents, so words of one token differ by how often they occur. Weights
+    depend on how the rows are dealt to tasks, so scores do a little; the same files in the
+    same session settings give the same scores but for the order of sums.
 
     A null or empty text has no words and log-likelihood 0. Repeated rows count each.
     Columns other than id and text do not matter. An empty table gives no rows.
     """
-    frequent = frequent_words(docs, text)
+    counts = stored(word_counts(docs, text))
+    frequent = frequent_words(docs, text, counts)
+    shares, alone = word_shares(counts, frequent)
     numbers = train(docs, text, frequent, rounds)
     shared = docs.sparkSession.sparkContext.broadcast(numbers)
-    rows = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("key"), F.col(id).alias("id"), F.col(text).cast("string").alias("text")
+    )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each text with the score of its tokens, and one for each of its words
+        that shares a token. The first have no word; a space and the key, which no word
+        is, deals them out evenly."""
         words, weights = Words(frequent), unpacked(shared.value)
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
-            sizes, scores = [], []
             for at in range(0, batch.num_rows, TEXTS):
-                tokens = words.tokens([t or b"" for t in texts.slice(at, TEXTS).to_pylist()])
+                split = [(t or b"").lower().split() for t in texts.slice(at, TEXTS).to_pylist()]
+                tokens = words.of_texts(split)
                 near, token = windows(tokens)
                 ends = np.cumsum([0, *map(len, tokens)])
                 sums = np.concatenate([[0.0], np.cumsum(log_probabilities(weights, near, token))])
-                sizes.append(np.diff(ends))
-                scores.append(sums[ends[1:]] - sums[ends[:-1]])
-            size, score = np.concatenate(sizes), np.concatenate(scores)
-            mean = pa.array(score / np.maximum(size, 1), mask=size == 0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(size, pa.int64()), pa.array(score), mean],
-                ["id", "n_words", "log_likelihood", "mean_log_likelihood"],
-            )
+                key, ids = batch.column("key").slice(at, TEXTS), batch.column("id").slice(at, TEXTS)
+                word, times, sizes = [b" %d" % k for k in key.to_pylist()], [], []
+                for own in split:
+                    found = [x for x in Counter(own).items() if x[0] not in alone]
+                    word += [w for w, _ in found]
+                    times += [n for _, n in found]
+                    sizes.append(len(found))
+                pairs = len(times)
+                starts = np.cumsum([0, *sizes])
+                many = np.concatenate([[0], np.cumsum(np.array(times, dtype=np.int64))])
+                rest = np.diff(ends) - (many[starts[1:]] - many[starts[:-1]])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([key.to_numpy(), np.repeat(key.to_numpy(), sizes)])),
+                        pa.concat_arrays([ids, pa.nulls(pairs, ids.type)]),
+                        pa.array(word, pa.binary()),
+                        pa.array(np.concatenate([rest, np.array(times, dtype=np.int64)])),
+                        pa.array(np.concatenate([sums[ends[1:]] - sums[ends[:-1]], np.zeros(pairs)])),
+                    ],
+                    ["key", "id", "word", "times", "score"],
+                )
 
     kind = rows.schema["id"].dataType.simpleString()
-    scored = rows.mapInArrow(
-        work, f"id {kind}, n_words bigint, log_likelihood double, mean_log_likelihood double"
+    parts = rows.mapInArrow(work, f"key bigint, id {kind}, word binary, times bigint, score double")
+    scored = (
+        parts.join(shares.hint("shuffle_hash"), "word", "left")
+        .withColumn("score", F.col("score") + F.col("times") * F.coalesce("share", F.lit(0.0)))
+        .groupBy("key").agg(
+            F.max("id").alias("id"), F.sum("times").alias("n_words"), F.sum("score").alias("log_likelihood")
+        )
+    )
+    mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
+    return scored.select(
+        F.col("id").alias(id), "n_words", "log_likelihood", mean.alias("mean_log_likelihood")
     )
-    return scored.withColumnRenamed("id", id)

@@ -249,6 +249,26 @@ def test_scores_know_real_text_from_shuffled(spark):
     assert np.mean([score[i] > score[-i - 1] for i in range(len(texts))]) > 0.55
 
 
+def test_scores_tell_words_of_a_token_apart(spark):
+    """By the words' counts: with them the probabilities of all words sum to 1."""
+    often = [f"f{i}" for i in range(pseudo_likelihood.FREQUENT)]
+    classes = pseudo_likelihood.TOKENS - pseudo_likelihood.FREQUENT
+    same = [w for w in (f"r{i}" for i in range(2000)) if zlib.crc32(w.encode()) % classes == 7][:3]
+    texts = [" ".join(often)] * 8 + [f"f1 f2 {w} f3 f4" for w, n in zip(same, (6, 2, 1)) for _ in range(n)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = {r.doc_id: r for r in pseudo_likelihood.score_texts(docs).collect()}
+    assert [rows[i].n_words for i in range(len(texts))] == [len((t or "").split()) for t in texts]
+    first, second, third = (rows[i].log_likelihood for i in (8, 14, 16))
+    assert np.isclose(first - second, np.log(3)) and np.isclose(second - third, np.log(2))
+    assert np.isclose(rows[8].mean_log_likelihood * 5, first) and np.isclose(first, rows[9].log_likelihood)
+
+    counts = pseudo_likelihood.word_counts(docs, "text")
+    frequent = pseudo_likelihood.frequent_words(docs, "text", counts)
+    shares, alone = pseudo_likelihood.word_shares(counts, frequent)
+    assert alone == {w.encode() for w in often}
+    assert {bytes(r.word).decode(): round(np.exp(r.share) * 9) for r in shares.collect() if r.share < 0} == dict(zip(same, (6, 2, 1)))
+
+
 @pytest.mark.parametrize("held", [50, 10_000])
 def test_induced_sorting(monkeypatch, held):
     """Windows and orders by induction, in memory and on disk, against a dictionary."""
