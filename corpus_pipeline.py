@@ -18,9 +18,6 @@ from hourgrid.llm.packing import pack_documents
 from hourgrid.llm.queries import PIECES, WORDS
 from hourgrid.llm.simhash import dedup_simhash
 
-#: The least share of a language for a text to be taken as in it.
-SURE = 0.5
-
 
 def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of docs, with n_chars as the text now is."""
@@ -28,10 +25,9 @@ def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without texts that are in no language, or in none for sure."""
+    """Without texts that the operator finds in no language."""
     found = identify_language(docs, vocabulary=PIECES)
-    kept = found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= SURE))
-    return kept.select(*docs.columns)
+    return found.filter(F.col("lang_pred") != UNDETERMINED).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

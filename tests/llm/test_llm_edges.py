@@ -246,6 +246,15 @@ def test_repeats(docs):
     assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == sorted(expected)
 
 
+def test_pipeline_keeps_short_texts_that_languages_share(spark):
+    rows = [(i, "re. a.", ("de", "en", "fr")[i % 3], "s", 6) for i in range(30)] + [(30, "12 !", None, "s", 4), (31, "A.", None, "s", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    scores = {r.score for r in language.identify_language(docs, vocabulary=PIECES).collect()}
+    assert any(0 < score < 0.5 for score in scores)
+    kept = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, "")
+    assert {r.doc_id for r in kept.collect()} == {*range(32)} - {30}
+
+
 def test_pipeline_stages(spark, docs):
     some = docs.select("doc_id", "text", "lang", "source", "n_chars")
     for name, stage in corpus_pipeline.STAGES[:-1]:
