@@ -329,8 +329,11 @@ def remove_repeats(
 
     A null text is an empty one. A null id is larger than any other; rows of equal ids, null
     ones too, are not earlier than one another. Texts shorter than ``size`` stay whole. An
-    empty table gives no rows. Ids are whole numbers.
+    empty table gives no rows. Ids are whole numbers. ``size`` is from 21 to 255, as lengths
+    are kept in a byte.
     """
+    if not GRAM < size < 256:
+        raise ValueError(f"size must be from {GRAM + 1} to 255, not {size}")
     reach = size - GRAM
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     chunks = max(1, -(-total // CHUNK))
@@ -433,18 +436,19 @@ def remove_repeats(
                     places.write(where.tobytes())
                     yield out
 
-            found = np.zeros(0, dtype=np.uint64)
+            found = np.zeros((0, reach // 64 + 1), dtype=np.uint64)  # 64 distances in a number
             for distance, numbers in earlier_windows(read(), size):
                 if len(found) < number:
-                    found = np.zeros(number, dtype=np.uint64)
-                found[numbers] |= np.uint64(1) << np.uint64(distance)
+                    found = np.zeros((number, reach // 64 + 1), dtype=np.uint64)
+                found[numbers, distance // 64] |= np.uint64(1) << np.uint64(distance % 64)
             yield from for_later
             places.seek(0)
             for at in range(0, len(found), CONTEXTS):
                 own = found[at:at + CONTEXTS]
                 where = np.frombuffer(places.read(len(own) * place.itemsize), dtype=place)
                 # distances in a row are one region, from the farthest to the nearest
-                bits = (own[:, None] >> np.arange(reach + 1, dtype=np.uint64)) & np.uint64(1) > 0
+                each = np.arange(reach + 1)
+                bits = (own[:, each // 64] >> (each % 64).astype(np.uint64)) & np.uint64(1) > 0
                 side = np.zeros((len(own), 1), dtype=bool)
                 row, near = np.nonzero(bits & ~np.hstack([side, bits[:, :-1]]))
                 _, far = np.nonzero(bits & ~np.hstack([bits[:, 1:], side]))

@@ -348,3 +348,32 @@ def test_repeats_whatever_is_common(spark, monkeypatch, chunk, often):
         runs = sum(1 for p, g in enumerate(gone) if g and (p == 0 or not gone[p - 1]))
         assert (r.n_bytes, r.n_removed, r.n_spans) == (len(own), sum(gone), runs)
         assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
+
+
+@pytest.mark.parametrize("size", [21, 84, 130, 255])
+def test_repeats_of_other_sizes(spark, size):
+    dice = random.Random(size)
+    passages = ["".join(dice.choices("abcde", k=k)) for k in (size - 1, size, size + 1, size + 40, 3 * size)]
+    texts = {
+        i: "".join("".join(dice.choices("abcde", k=dice.randint(0, 150))) + dice.choice(passages) for _ in range(3))
+        for i in range(40)
+    }
+    first = {}
+    for i, text in texts.items():
+        for p in range(len(text) - size + 1):
+            first.setdefault(text[p:p + size], i)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for r in repeats.remove_repeats(docs, size=size).collect():
+        own = texts[r.doc_id]
+        gone = bytearray(len(own))
+        for p in range(len(own) - size + 1):
+            if first[own[p:p + size]] < r.doc_id:
+                gone[p:p + size] = b"\1" * size
+        assert r.n_removed == sum(gone)
+        assert r.kept_sha256 == hashlib.sha256(bytes(b for b, g in zip(own.encode(), gone) if not g)).hexdigest()
+
+
+@pytest.mark.parametrize("size", [20, 256])
+def test_repeats_refuse_sizes_that_do_not_work(spark, size):
+    with pytest.raises(ValueError):
+        repeats.remove_repeats(spark.createDataFrame([(1, "a")], "doc_id long, text string"), size=size)
