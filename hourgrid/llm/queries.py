@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .boilerplate import dedup_lines
+from .byte_pairs import byte_pair_digests
 from .embedding_pairs import link_vectors
+from .filter_audit import audit_filters
 from .language import identify_language
 from .mixing import mix_sources
 from .neighbours import nearest_neighbours
@@ -19,6 +21,7 @@ from .simhash import simhash_groups
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,12 +71,22 @@ def op10_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_audit_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return byte_pair_digests(docs, vocabulary=RANKS, pattern=public_tokenizers.PATTERN)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_scan_secrets, op3_nearest_neighbours, op4_score_texts, op5_link_vectors,
         op6_simhash_groups, op7_dedup_lines,
         op8_identify_language, op9_pack_documents, op10_remove_repeats,
+        op11_audit_filters, op12_byte_pairs,
     )
 }
 
@@ -170,4 +183,54 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY turn) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id"""
 
-ORACLES = {"op1_mix_sources": _OP1, "op2_scan_secrets": _OP2, "op7_dedup_lines": _OP7}
+_OP11 = rf"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words
+  FROM documents),
+known AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+         max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+firsts AS (SELECT text, min(doc_id) AS first FROM texts GROUP BY text),
+judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         concat(CASE WHEN len(words) < 50 THEN 'A' ELSE '' END,
+                CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END,
+                CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END,
+                CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END,
+                CASE WHEN first IS NOT NULL AND (doc_id IS NULL OR doc_id > first) THEN 'E' ELSE '' END) AS failed
+  FROM texts JOIN firsts USING (text) LEFT JOIN known USING (doc_id)),
+masks AS (
+  SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, failed),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter),
+orders AS (
+  SELECT '' AS filter_order
+  UNION ALL
+  SELECT filter_order || letter FROM orders, letters WHERE NOT contains(filter_order, letter)),
+steps AS (
+  SELECT filter_order, step, filter_order[step] AS letter, filter_order[1:step - 1] AS earlier
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step) WHERE length(filter_order) = 5),
+counted AS (
+  SELECT part, filter_order, step, letter,
+         sum(CASE WHEN before OR now THEN 0 ELSE n END) AS kept,
+         sum(CASE WHEN now AND NOT before THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN now AND before THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN failed = letter THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN now AND NOT before THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN now AND NOT before THEN toxic ELSE 0 END) AS toxic_lost
+  FROM (SELECT *, contains(failed, letter) AS now,
+               len(list_intersect(string_split(failed, ''), string_split(earlier, ''))) > 0
+                 AND failed <> '' AND earlier <> '' AS before
+        FROM masks, steps)
+  GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM counted"""
+
+ORACLES = {
+    "op1_mix_sources": _OP1, "op2_scan_secrets": _OP2, "op7_dedup_lines": _OP7, "op11_audit_filters": _OP11,
+}
