@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -23,7 +24,7 @@ REMEMBERED, LONGEST = 700_000, 40
 #: The characters that \s stands for in the patterns of these vocabularies (Unicode's
 #: White_Space). Fixed values.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+CHUNK = re.compile(f"[{SPACE}]?[A-Za-z]+(?=[.,;:!?{SPACE}])|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
 
 @cache
@@ -79,9 +80,10 @@ class ChunkTokens:
     """Token ids of texts, by a tokenizer whose pattern parts words as `byte_bpe_50k` does.
 
     The pattern never matches across the place where white space follows another character,
-    and what it matches after that place depends on nothing before. So a text's ids are
-    those of its chunks (white space, then what follows up to the next) in a row, and those
-    of a chunk, once found, are remembered from task to task.
+    or where one of .,;:!? follows a letter from A to Z, and what it matches after such a
+    place depends on nothing before. So a text's ids are those of its chunks (white space,
+    then what follows up to the next such place) in a row, and those of a chunk, once found,
+    are remembered from task to task.
     """
 
     def __init__(self, tokenizer):
@@ -98,7 +100,7 @@ class ChunkTokens:
             else:
                 here[chunk] = ids
         found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        new = {chunk: np.array(each.ids, dtype="<i4").tobytes() for chunk, each in zip(fresh, found)}
+        new = {chunk: array("i", each.ids).tobytes() for chunk, each in zip(fresh, found)}
         here.update(new)
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import link_digests
 from .boilerplate import dedup_lines
 from .byte_pairs import byte_pair_digests
 from .embedding_pairs import link_vectors
@@ -21,6 +22,7 @@ from .simhash import simhash_groups
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -80,13 +82,17 @@ def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_pair_digests(docs, vocabulary=RANKS, pattern=public_tokenizers.PATTERN)
 
 
+def op13_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_digests(_table(spark, sf_dir, "documents"), a_vocabulary=BYTES, b_vocabulary=PIECES)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_scan_secrets, op3_nearest_neighbours, op4_score_texts, op5_link_vectors,
         op6_simhash_groups, op7_dedup_lines,
         op8_identify_language, op9_pack_documents, op10_remove_repeats,
-        op11_audit_filters, op12_byte_pairs,
+        op11_audit_filters, op12_byte_pairs, op13_align_tokens,
     )
 }
 

@@ -1,0 +1,314 @@
+"""Filter audits, byte-level BPE and token alignment against plain computations of the same."""
+
+import hashlib
+import os
+import random
+import re
+import sys
+from collections import Counter
+from itertools import accumulate, permutations
+
+import duckdb
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from hourgrid.llm import alignment, byte_pairs, filter_audit  # noqa: E402
+from hourgrid.llm.queries import BYTES, PIECES, QUERIES, RANKS  # noqa: E402
+
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+SCHEMA = "doc_id long, text string, source string, mask int, digest string, part int, ids string, block long, id int, row string"
+CLASH = (5, "d", 6, "i", 7, 8, "r")
+ODD = [
+    None, "", " ", "  a  b\n\nc\t", "x" * 70_000, "▁x", "<s> </s> <|endoftext|> <0x41>", "\U0001f600é\x00z \xa0y",
+    "don't, won't. a b", "tabs\t\tand   runs ", "Caf\xe9, 漢字! 100% sure & more", "one two three " * 4000, "one two", "one two",
+]
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(*row, *CLASH) for row in rows], SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rows = [(i, text, "s") for i, text in enumerate(ODD)] + [(None, "no id", None), (None, None, "s"), (2, " ", "s")]
+    return documents(spark, rows).cache(), rows
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def texts():
+    return duckdb.sql(f"SELECT doc_id, text FROM '{SF_DIR}/documents.parquet'").fetchall()
+
+
+# filters
+
+
+def fails(text, first):
+    text = text or ""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    return {
+        "A": len(words) < 50, "B": 100 * len(set(words)) < 65 * len(words),
+        "C": 100 * sum("A" <= c <= "Z" for c in text) > 5 * len(text), "D": any(c in "#$%&*|" for c in text), "E": first,
+    }
+
+
+def audited(rows, labels):
+    first = {}
+    for i, text, _ in rows:
+        if i is not None:
+            first[text or ""] = min(i, first.get(text or "", i))
+    judged = []
+    for i, text, part in rows:
+        least = first.get(text or "")
+        good, toxic = (any(x[0] == i and x[k] == 1 for x in labels) and i is not None for k in (1, 2))
+        judged.append((part or "", fails(text, least is not None and (i is None or i > least)), good, toxic))
+    expected = {}
+    for part in {p for p, *_ in judged}:
+        own = [x for x in judged if x[0] == part]
+        shapley = Counter()
+        for order in permutations("ABCDE"):
+            left = own
+            for step, letter in enumerate(order, start=1):
+                gone = [x for x in left if x[1][letter]]
+                left = [x for x in left if not x[1][letter]]
+                shapley[letter] += len(gone)
+                expected[part, "".join(order), step] = [
+                    len(left), len(gone), sum(x[1][letter] for x in own) - len(gone),
+                    sum([c for c, f in x[1].items() if f] == [letter] for x in own),
+                    sum(x[2] for x in gone), sum(x[3] for x in gone),
+                ]
+        for (of, order, step), counts in expected.items():
+            if of == part:
+                counts.append(shapley[order[step - 1]])
+    return expected
+
+
+def test_audit_equals_brute_force(spark):
+    dice = random.Random(3)
+    words = ["alpha", "Beta", "GAMMA", "d#", "e"]
+    rows = [
+        (dice.randrange(60), " ".join(dice.choices(words, k=dice.choice([0, 3, 60]))), dice.choice(["p", "q", None, ""]))
+        for _ in range(80)
+    ]
+    wide = " ".join(f"word{i}" for i in range(60))
+    rows += [(100 + i, wide, "p") for i in range(9)] + [(100, wide, "p"), (None, wide, "q"), (None, "only here", "q")]
+    rows += [(None, None, None), (200, None, "r"), (201, "", "r"), (202, "x" * 70_000, "r")]
+    labels = [(i, i % 3 % 2, int(i % 4 == 0)) for i in range(60)] + [(7, 1, 1), (7, None, None), (None, 1, 1), (100, 1, None)]
+    frame = spark.createDataFrame([(*x, "m") for x in labels], "doc_id long, quality int, toxic int, mask string")
+    found = filter_audit.audit_filters(documents(spark, rows), frame).collect()
+    assert {(r.part, r.filter_order, r.step): list(r[3:]) for r in found} == audited(rows, labels)
+    assert len(found) == 600 * 4
+
+
+def test_audit_of_empty_tables(spark, none):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert filter_audit.audit_filters(none, labels).count() == 0
+    some = documents(spark, [(1, "a", "s")])
+    rows = filter_audit.audit_filters(some, labels).collect()
+    assert len(rows) == 600 and {r.good_lost + r.toxic_lost for r in rows} == {0}
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 5])
+def test_swaps_reach_every_order_once(n):
+    order, seen = list(range(n)), [tuple(range(n))]
+    for place in filter_audit.adjacent_swaps(n):
+        order[place], order[place + 1] = order[place + 1], order[place]
+        seen.append(tuple(order))
+    assert sorted(seen) == sorted(permutations(range(n)))
+
+
+def test_diagrams_share_equal_parts():
+    same = filter_audit.Diagram({mask: (3, 1, 0) for mask in range(32)}, 5)
+    assert len(same.low) == 1 + 6  # nothing, and one node a level
+    for level in (0, 3, 1, 2, 0):
+        same.swap(level)
+        assert [len(nodes) for nodes in same.found] == [1] * 6
+    one = filter_audit.Diagram({0b10110: (2, 0, 1)}, 5)
+    one.swap(1)
+    assert one.order == [0, 2, 1, 3, 4] and [tuple(w) for _, w, _ in one.steps()] == [(2, 0, 1)] + [(0, 0, 0)] * 4
+
+
+# byte-level BPE
+
+
+@pytest.fixture(scope="module")
+def by_ranks():
+    ranks = byte_pairs.read_ranks(RANKS)
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_byte_pairs_of_the_query(spark, texts, by_ranks):
+    found = {r.doc_id: tuple(r[1:]) for r in QUERIES["op12_byte_pairs"](spark, SF_DIR).collect()}
+    expected = {}
+    for i, text in texts:
+        ids = by_ranks.encode_ordinary(text or "")
+        expected[i] = (
+            len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+            hashlib.sha256((text or "").encode()).hexdigest(),
+        )
+    assert found == expected
+
+
+def test_chunks_and_merges_equal_the_ranks(by_ranks):
+    dice = random.Random(1)
+    marks = "ab  \n\t\r\x85\xa0 　'stredA1٣\xe9漢́\U0001f600_-=..,;!\x00\x1c\x1f​﻿  "
+    some = ["".join(dice.choices(marks, k=dice.randrange(60))) for _ in range(20_000)]
+    some += ["".join(dice.choice("a -=\nx,.") * dice.randrange(1, 40) for _ in range(8)) for _ in range(5_000)]
+    some += [f"a{chr(c)}b {chr(c)}{chr(c)}1 {chr(c)} " for c in range(0xD800)]
+    tokens = byte_pairs.ranked_tokens(RANKS, public_tokenizers.PATTERN)
+    assert [ids.tolist() for ids in tokens.ids(some)] == by_ranks.encode_ordinary_batch(some, num_threads=1)
+
+
+def test_encode_and_decode_odd_texts(odd, by_ranks, monkeypatch):
+    docs, rows = odd
+    found = byte_pairs.encode_texts(docs, vocabulary=RANKS, pattern=public_tokenizers.PATTERN, offsets=True)
+    assert found.columns == ["doc_id", "ids", "starts", "ends"]
+    got = Counter((r.doc_id, tuple(r.ids)) for r in found.collect())
+    assert got == Counter((i, tuple(by_ranks.encode_ordinary(text or ""))) for i, text, _ in rows)
+    for r in found.filter("doc_id <> 2").collect():
+        text = rows[r.doc_id][1] or ""
+        at = 0
+        for token, start, end in zip(r.ids, r.starts, r.ends):
+            size = len(by_ranks.decode_single_token_bytes(token))
+            assert start == len(text.encode()[:at + 1].decode(errors="ignore")) - (
+                0 if _inside(text, at + 1) else 1
+            ) and len(text[:end].encode()) >= at + size > len(text[:end - 1].encode())
+            at += size
+    back = byte_pairs.decode_ids(found, vocabulary=RANKS).collect()
+    assert Counter((r.doc_id, bytes(r.decoded), r.decoded_text) for r in back) == Counter(
+        (i, (text or "").encode(), text or "") for i, text, _ in rows
+    )
+
+
+def _inside(text, at):
+    """Whether byte ``at`` is within a character."""
+    body = text.encode()
+    return at < len(body) and body[at] & 0xC0 == 0x80
+
+
+def test_ids_that_split_a_character(spark, by_ranks):
+    ids = by_ranks.encode_ordinary("\U0001f9ff x")
+    assert len(ids) > 2
+    rows = [(0, ids), (1, ids[:1]), (2, ids[1:]), (3, None), (4, [ids[0], None, *ids[1:]]), (5, [])]
+    frame = spark.createDataFrame(rows, "doc_id long, ids array<int>").withColumn("decoded", F.lit(1))
+    found = {r.doc_id: r for r in byte_pairs.decode_ids(frame, vocabulary=RANKS).collect()}
+    whole = "\U0001f9ff x".encode()
+    assert bytes(found[1].decoded) + bytes(found[2].decoded) == bytes(found[0].decoded) == bytes(found[4].decoded) == whole
+    assert found[0].decoded_text == "\U0001f9ff x" and "�" in found[1].decoded_text + found[2].decoded_text
+    assert bytes(found[3].decoded) == bytes(found[5].decoded) == b""
+
+
+def test_byte_pairs_of_empty_tables(none):
+    digests = byte_pairs.byte_pair_digests(none, vocabulary=RANKS, pattern=public_tokenizers.PATTERN)
+    assert digests.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and digests.count() == 0
+
+
+# alignment
+
+
+@pytest.fixture(scope="module")
+def sides():
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(BYTES)
+    a.encode_special_tokens = True
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    byte = {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(others)}
+    b = SentencePieceProcessor(model_file=PIECES)
+
+    def of(text):
+        ids = a.encode(" " + text, add_special_tokens=False).ids
+        pieces = b.encode(text)
+        return (
+            [(i, bytes(byte[c] for c in a.id_to_token(i))) for i in ids],
+            [
+                (i, bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode())
+                for i in pieces
+            ],
+        )
+
+    return of
+
+
+def aligned(rows, sides):
+    found, count = [], Counter()
+    for i, text in rows:
+        a, b = sides(text) if text else ([], [])
+        body = (" " + text).encode() if text else b""
+        if not text or b"".join(t for _, t in a) != body or b"".join(t for _, t in b) != body:
+            found.append((i, 0, 0, [], [], ""))
+            continue
+        ends = []
+        for side in (a, b):
+            at, own = 0, {}
+            for place, (id, token) in enumerate(side):
+                at += len(token)
+                own[at] = place
+            ends.append(own)
+        links, groups, before = [], [], (0, 0)
+        for end, place in ends[0].items():
+            if end in ends[1]:
+                after = (place + 1, ends[1][end] + 1)
+                links.append((a[place][0], b[ends[1][end]][0]))
+                groups.append("|".join(
+                    ",".join(str(id) for id, _ in side[x:y]) for side, x, y in zip((a, b), before, after)
+                ))
+                before = after
+        count.update(links)
+        found.append((i, len(a), len(b), groups, links, hashlib.sha256(";".join(groups).encode()).hexdigest()))
+    most = {}
+    for (_, b), n in count.items():
+        most[b] = max(n, most.get(b, 0))
+    return Counter(
+        (i, n_a, n_b, len(groups), len(links), sum(count[p] == most[p[1]] for p in links), sum(count[p] for p in links), digest)
+        for i, n_a, n_b, groups, links, digest in found
+    )
+
+
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+@pytest.mark.parametrize("links", [1 << 20, 5_000])
+def test_links_of_the_query(spark, texts, sides, links, monkeypatch):
+    """In one block a task, and in many."""
+    monkeypatch.setattr(alignment, "LINKS", links)
+    found = QUERIES["op13_align_tokens"](spark, SF_DIR)
+    assert found.columns == COLUMNS
+    assert Counter(map(tuple, found.collect())) == aligned(texts, sides)
+
+
+def test_links_of_odd_texts(odd, sides):
+    docs, rows = odd
+    found = alignment.link_digests(docs, a_vocabulary=BYTES, b_vocabulary=PIECES)
+    expected = aligned([(i, text) for i, text, _ in rows], sides)
+    assert Counter(map(tuple, found.select(COLUMNS).collect())) == expected
+    assert {r[1] for r in expected if r[0] in (0, 1, 5)} == {0}  # null, empty, not spelled by B
+
+
+def test_groups_hold_all_tokens(odd, sides):
+    docs, rows = odd
+    for r in alignment.align_texts(docs, a_vocabulary=BYTES, b_vocabulary=PIECES).filter("doc_id <> 2").collect():
+        text = rows[r.doc_id][1]
+        if r.a_ids:
+            a, b = sides(text)
+            assert r.a_ids == [i for i, _ in a] and r.b_ids == [i for i, _ in b]
+            assert len(r.a_cuts) == len(r.b_cuts) and (r.a_cuts[-1], r.b_cuts[-1]) == (len(a), len(b))
+            a_ends, b_ends = ([*accumulate(len(t) for _, t in side)] for side in (a, b))
+            assert [a_ends[cut - 1] for cut in r.a_cuts] == [b_ends[cut - 1] for cut in r.b_cuts]
+        else:
+            assert not text or "▁" in text
+
+
+def test_alignment_of_empty_tables(none):
+    for operator in (alignment.align_texts, alignment.link_digests):
+        assert operator(none, a_vocabulary=BYTES, b_vocabulary=PIECES).count() == 0
