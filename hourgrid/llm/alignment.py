@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
-from functools import cache, cached_property
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,11 +15,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .byte_pairs import ChunkTokens, as_bytes, few_at_once, lists
+from .byte_pairs import SPACE, as_bytes, few_at_once, lists
 from .common import stored
 
 #: Links and documents of a block, about: what one task holds at once.
 LINKS, DOCUMENTS = 1 << 20, 1 << 15
+#: Parts of texts that a Python worker remembers, and the longest it remembers, in
+#: characters: about 200 MB.
+REMEMBERED, LONGEST = 400_000, 40
+#: What stands for a space in the pieces. A fixed value.
+MARK = "\u2581"
+#: From a space to the next that follows a character other than white space.
+PART = re.compile(f" [^ ]*(?:(?<=[{SPACE}]) [^ ]*)*")
 
 
 class ByteLevel:
@@ -27,13 +36,17 @@ class ByteLevel:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        self.table = [b""] * tokenizer.get_vocab_size()
-        special = tokenizer.get_added_tokens_decoder()
-        for token, id in tokenizer.get_vocab().items():
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.table = [b""] * self.tokenizer.get_vocab_size()
+        special = self.tokenizer.get_added_tokens_decoder()
+        for token, id in self.tokenizer.get_vocab().items():
             self.table[id] = token.encode() if id in special else as_bytes(token)
-        self.ids = ChunkTokens(tokenizer).ids
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        """Of texts that begin with the space."""
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [each.ids for each in found]
 
 
 class Pieces:
@@ -43,67 +56,113 @@ class Pieces:
         from sentencepiece import SentencePieceProcessor
 
         self.processor = SentencePieceProcessor(model_file=path)
-        self.table = [self._bytes(id) for id in range(self.processor.get_piece_size())]
-
-    def _bytes(self, id: int) -> bytes:
-        piece = self.processor.id_to_piece(id)
-        if self.processor.is_byte(id):  # <0xHH>
-            return bytes([int(piece[3:-1], 16)])
-        return piece.replace("▁", " ").encode()
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(ids, dtype=np.int32) for ids in self.processor.encode(texts, num_threads=1)]
-
+        pieces = [self.processor.id_to_piece(id) for id in range(self.processor.get_piece_size())]
+        self.table = [
+            bytes([int(piece[3:-1], 16)]) if self.processor.is_byte(id) else piece.replace(MARK, " ").encode()
+            for id, piece in enumerate(pieces)
+        ]
+        #: Whether no piece goes from a character on to a space, and spaces stay as they are:
+        #: then what follows such a place is cut as if it stood alone.
+        self.parts_words = not any(re.search(f"[^{MARK}]{MARK}", piece) for piece in pieces) and (
+            self._spelled("a  b   c ") == b" a  b   c "
+        )
 
-class Aligned:
-    """The tokens of one text by both, cut where tokens of both end at the same byte.
+    def _spelled(self, text: str) -> bytes:
+        return b"".join(self.table[id] for id in self.processor.encode(text))
 
-    ``a_cuts`` and ``b_cuts`` are the numbers of tokens before the end of each group.
-    """
-
-    def __init__(self, a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray):
-        self.a, self.b = a, b
-        a_at = dict(zip(a_ends.tolist(), range(1, len(a) + 1)))
-        b_at = dict(zip(b_ends.tolist(), range(1, len(b) + 1)))
-        common = sorted(a_at.keys() & b_at.keys())
-        self.a_cuts = list(map(a_at.__getitem__, common))
-        self.b_cuts = list(map(b_at.__getitem__, common))
-
-    @cached_property
-    def links(self) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the two tokens that end together, of each group: no two tokens of one
-        side end at the same byte, so of a group's pairs only the last tokens do."""
-        return self.a[np.array(self.a_cuts, dtype=np.int64) - 1], self.b[np.array(self.b_cuts, dtype=np.int64) - 1]
-
-    def written(self, a_names: list[str], b_names: list[str]) -> str:
-        a, b = ([names[id] for id in ids.tolist()] for names, ids in ((a_names, self.a), (b_names, self.b)))
-        groups, a_from, b_from = [], 0, 0
-        for a_to, b_to in zip(self.a_cuts, self.b_cuts):
-            if a_to - a_from == 1 == b_to - b_from:
-                groups.append(f"{a[a_from]}|{b[b_from]}")
-            else:
-                groups.append(f"{','.join(a[a_from:a_to])}|{','.join(b[b_from:b_to])}")
-            a_from, b_from = a_to, b_to
-        return ";".join(groups)
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        """Of texts that begin with the space, which is left to the vocabulary to add."""
+        return self.processor.encode([text[1:] for text in texts], num_threads=1)
 
 
 class Aligner:
+    """Aligns texts by parts: a space after another character that is no white space parts
+    words for both vocabularies, so tokens of both end there. Parts are remembered from task
+    to task. Where the second vocabulary does not part words so, a text is one part."""
+
     def __init__(self, a_vocabulary: str, b_vocabulary: str):
         self.a, self.b = ByteLevel(a_vocabulary), Pieces(b_vocabulary)
+        self.width = len(self.b.table)
         self.sizes = [np.array([len(token) for token in side.table]) for side in (self.a, self.b)]
         self.names = [list(map(str, range(len(side.table)))) for side in (self.a, self.b)]
+        self.known: dict[str, tuple | None] = {}
+
+    def align(self, texts: list[str]) -> list[list[tuple[str, bytes, int, int]]]:
+        """Of each text its parts; none for an empty text and one that the tokens of either
+        side do not spell.
+
+        A part has its groups, cut where tokens of both end at the same byte, written out;
+        of each group one number for the ids of the two tokens that end it together; and how
+        many tokens of either it has.
+        """
+        bodies = [" " + text if text else "" for text in texts]
+        split = [PART.findall(body) if self.b.parts_words else [body] * bool(body) for body in bodies]
+        here = self._look_up(list(dict.fromkeys(part for parts in split for part in parts)))
+        found = [list(map(here.__getitem__, parts)) for parts in split]
+        # parts that are not spelled could only make up for each other in the whole text
+        odd = [row for row, parts in enumerate(found) if None in parts]
+        whole = self._look_up(list(dict.fromkeys(bodies[row] for row in odd)))
+        for row in odd:
+            each = whole[bodies[row]]
+            found[row] = [] if each is None else [each]
+        return found
+
+    def _look_up(self, parts: list[str]) -> dict[str, tuple | None]:
+        fresh = [part for part in parts if part not in self.known]
+        new = dict(zip(fresh, self._align(fresh)))
+        here = {part: new[part] if part in new else self.known[part] for part in parts}
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+        self.known.update((part, each) for part, each in new.items() if len(part) <= LONGEST)
+        return here
+
+    def _align(self, parts: list[str]) -> list[tuple | None]:
+        spelled = np.cumsum([len(part.encode()) for part in parts], dtype=np.int64)
+        sides = []
+        for side, sizes in zip((self.a, self.b), self.sizes):
+            lists = side.ids(parts)
+            ids = np.fromiter(chain.from_iterable(lists), dtype=np.int64)
+            upto = np.cumsum([len(each) for each in lists], dtype=np.int64)
+            ends = np.cumsum(sizes[ids])
+            tokens = list(map(side.table.__getitem__, ids.tolist()))
+            if not np.array_equal(np.concatenate([[0], ends])[upto], spelled) or b"".join(tokens) != "".join(parts).encode():
+                return self._spelled_only(parts)
+            sides.append((ids, ends, upto))
+        (a, a_ends, a_upto), (b, b_ends, b_upto) = sides
+        a_at = dict(zip(a_ends.tolist(), range(1, len(a) + 1)))
+        b_at = dict(zip(b_ends.tolist(), range(1, len(b) + 1)))
+        common = sorted(a_at.keys() & b_at.keys())
+        a_cuts, b_cuts = list(map(a_at.__getitem__, common)), list(map(b_at.__getitem__, common))
+        a_names, b_names = (
+            list(map(names.__getitem__, ids.tolist())) for names, ids in zip(self.names, (a, b))
+        )
+        groups = [
+            f"{a_names[i]}|{b_names[k]}" if j - i == 1 == m - k
+            else f"{','.join(a_names[i:j])}|{','.join(b_names[k:m])}"
+            for i, j, k, m in zip([0, *a_cuts], a_cuts, [0, *b_cuts], b_cuts)
+        ]
+        # no two tokens of one side end together, so of a group's pairs only the last do
+        links = a[np.array(a_cuts, dtype=np.int64) - 1] * self.width + b[np.array(b_cuts, dtype=np.int64) - 1]
+        links = links.astype("<i8").tobytes()
+        upto = np.searchsorted(np.array(common, dtype=np.int64), spelled, side="right").tolist()
+        return [
+            (";".join(groups[i:j]), links[8 * i:8 * j], n_a, n_b)
+            for i, j, n_a, n_b in zip(
+                [0, *upto], upto, np.diff(a_upto, prepend=0).tolist(), np.diff(b_upto, prepend=0).tolist()
+            )
+        ]
 
-    def align(self, texts: list[str]) -> list[Aligned | None]:
-        """None for empty texts and those that the tokens of one side do not spell."""
-        found = zip(texts, self.a.ids([" " + text for text in texts]), self.b.ids(texts))
-        return [self._align(text, a, b) if text else None for text, a, b in found]
+    def _spelled_only(self, parts: list[str]) -> list[tuple | None]:
+        """Aligns the parts that the tokens of both sides spell."""
+        good = list(map(self._is_spelled, parts, self.a.ids(parts), self.b.ids(parts)))
+        found = iter(self._align([part for part, one in zip(parts, good) if one]))
+        return [next(found) if one else None for one in good]
 
-    def _align(self, text: str, a: np.ndarray, b: np.ndarray) -> Aligned | None:
-        body = b" " + text.encode()
-        for side, ids in ((self.a, a), (self.b, b)):
-            if b"".join(map(side.table.__getitem__, ids.tolist())) != body:
-                return None
-        return Aligned(a, np.cumsum(self.sizes[0][a]), b, np.cumsum(self.sizes[1][b]))
+    def _is_spelled(self, part: str, a: list[int], b: list[int]) -> bool:
+        body = part.encode()
+        return all(
+            b"".join(map(side.table.__getitem__, ids)) == body for side, ids in ((self.a, a), (self.b, b))
+        )
 
 
 @cache
@@ -111,6 +170,15 @@ def aligner(a_vocabulary: str, b_vocabulary: str) -> Aligner:
     return Aligner(a_vocabulary, b_vocabulary)
 
 
+def read_groups(written: str) -> list[np.ndarray]:
+    """a, b, a_cuts, b_cuts of the groups written as ``a1,a2|b1;a3|b2,b3``."""
+    groups = [group.split("|") for group in written.split(";")] if written else []
+    sides = [[ids.split(",") for ids in side] for side in zip(*groups)] or [[], []]
+    return [np.array([*chain.from_iterable(side)], dtype=np.int32) for side in sides] + [
+        np.cumsum([len(ids) for ids in side], dtype=np.int32) for side in sides
+    ]
+
+
 def align_texts(
     docs: DataFrame, *, a_vocabulary: str, b_vocabulary: str, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -128,18 +196,14 @@ def align_texts(
     empty table gives no rows. Other columns are not read.
     """
     rows = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
-    none = np.empty(0, dtype=np.int32)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(a_vocabulary, b_vocabulary)
         for batch in batches:
             at = 0
             for texts in few_at_once(batch.column("text")):
-                found = both.align(texts)
-                columns = [
-                    lists([none if each is None else np.asarray(getattr(each, name), dtype=np.int32) for each in found])
-                    for name in ("a", "b", "a_cuts", "b_cuts")
-                ]
+                written = (";".join(part[0] for part in parts) for parts in both.align(texts))
+                columns = map(lists, zip(*map(read_groups, written)))
                 ids = batch.column("id").slice(at, len(texts))
                 yield pa.RecordBatch.from_arrays([ids, *columns], ["id", "a_ids", "b_ids", "a_cuts", "b_cuts"])
                 at += len(texts)
@@ -164,7 +228,6 @@ def linked_blocks(docs: DataFrame, *, a_vocabulary: str, b_vocabulary: str, id:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(a_vocabulary, b_vocabulary)
-        width = len(both.b.table)
         block = TaskContext.get().partitionId() << 32
         ids, counts, codes, held = [], [], [], 0
 
@@ -189,16 +252,13 @@ def linked_blocks(docs: DataFrame, *, a_vocabulary: str, b_vocabulary: str, id:
             for texts in few_at_once(batch.column("text")):
                 ids.append(batch.column("id").slice(at, len(texts)))
                 at += len(texts)
-                for each in both.align(texts):
-                    if each is None:
-                        counts.append((0, 0, 0, ""))
-                        codes.append(np.empty(0, dtype=np.int64))
-                        continue
-                    a, b = each.links
-                    digest = hashlib.sha256(each.written(*both.names).encode()).hexdigest()
-                    counts.append((len(each.a), len(each.b), len(a), digest))
-                    codes.append(a.astype(np.int64) * width + b)
-                    held += len(a)
+                for parts in both.align(texts):
+                    written, links, n_a, n_b = zip(*parts) if parts else [()] * 4
+                    links = np.frombuffer(b"".join(links), dtype="<i8")
+                    digest = hashlib.sha256(";".join(written).encode()).hexdigest() if parts else ""
+                    counts.append((sum(n_a), sum(n_b), len(links), digest))
+                    codes.append(links)
+                    held += len(links)
                 if held >= LINKS or len(codes) >= DOCUMENTS:
                     yield closed()
                     block += 1
@@ -232,7 +292,7 @@ def link_digests(
     pairs = blocks.filter("pairs IS NOT NULL").select(
         F.col("block").alias("of"), F.posexplode(F.arrays_zip("pairs", "times")).alias("place", "each")
     ).select("of", "place", F.col("each.pairs").alias("pair"), F.col("each.times").alias("times"))
-    width = len(aligner(a_vocabulary, b_vocabulary).b.table)
+    width = aligner(a_vocabulary, b_vocabulary).width
     counts = pairs.groupBy("pair").agg(F.sum("times").alias("count"))
     counts = counts.withColumn("b", F.col("pair") % width)
     most = counts.groupBy("b").agg(F.max("count").alias("most"))
