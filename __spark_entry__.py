@@ -43,7 +43,13 @@ from hourgrid.operators import (  # noqa: E402
     with_local_time,
 )
 from hourgrid.plans.machines import REPORT_COLUMNS, REPORT_ORDER, ROLLUP_SCHEMA  # noqa: E402
-from hourgrid.sources import publish, read_parquet, write_rollup  # noqa: E402
+from hourgrid.sources import (  # noqa: E402
+    publish,
+    read_intervals,
+    read_parquet,
+    write_intervals,
+    write_rollup,
+)
 
 try:  # the operators for training data and their pipeline can be taken out
     from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL, run as pipeline  # noqa: E402
@@ -77,6 +83,8 @@ COMPLETE = "purchase"
 # Ranges written one after the other into one folder.
 FIRST_HALF = HourRange.between("2024-01-01", "2024-01-15 23:00")
 SECOND_HALF = HourRange.between("2024-01-16", "2024-01-31")
+# Two days, whose intervals may have begun weeks before.
+TWO_DAYS = HourRange.between("2024-01-20", "2024-01-21 23:00")
 
 TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -200,16 +208,16 @@ def _strayed(orders: DataFrame) -> DataFrame:
 
 
 def _rollup(
-    spark: SparkSession, sf_dir: str, hours: HourRange = HOURS, site: str | None = None
+    spark: SparkSession, sf_dir: str, hours: HourRange = HOURS, site: str | None = None, **first
 ) -> DataFrame:
-    return _dense(spark, sf_dir, hours, site).select(*[c.split()[0] for c in ROLLUP_SCHEMA.split(", ")])
+    return _dense(spark, sf_dir, hours, site, **first).select(*[c.split()[0] for c in ROLLUP_SCHEMA.split(", ")])
 
 
 def _dense(
-    spark: SparkSession, sf_dir: str, hours: HourRange = HOURS, site: str | None = None
+    spark: SparkSession, sf_dir: str, hours: HourRange = HOURS, site: str | None = None, **first
 ) -> DataFrame:
     legs = _legs(spark, sf_dir, hours, site=site)
-    return hourly_rollup(_registry(spark, sf_dir, site), hours, legs, keys=MACHINE)
+    return hourly_rollup(_registry(spark, sf_dir, site), hours, legs, keys=MACHINE, **first)
 
 
 def _scratch(spark: SparkSession) -> str:
@@ -357,10 +365,10 @@ def local_times(spark, sf_dir):
 
 
 def report(spark, sf_dir):
+    first = {"order_by": REPORT_ORDER, "limit": 500}
     rows = report_view(
-        _rollup(spark, sf_dir, HOURS.since(REPORT_SINCE), REPORT_SITE),
-        where=F.col("orb_site") == REPORT_SITE, order_by=REPORT_ORDER, columns=REPORT_COLUMNS,
-        limit=500,
+        _rollup(spark, sf_dir, HOURS.since(REPORT_SINCE), REPORT_SITE, **first),
+        columns=REPORT_COLUMNS, **first,
     )
     return _as_text(rows)
 
@@ -379,6 +387,27 @@ def written_days(spark, sf_dir):
     return _as_text(table)
 
 
+def _long_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh interval goes on for up to twelve days, every thirtieth has no end."""
+    end = "ts_end + make_interval(0, 0, 0, IF(event_id % 7 = 0, CAST(event_id % 13 AS INT), 0))"
+    return _intervals(spark, sf_dir).selectExpr(
+        "machine", "event_type", "ts", f"IF(event_id % 30 <> 1, {end}, NULL) AS ts_end"
+    )
+
+
+def days_of_intervals(spark, sf_dir):
+    """Seconds by state within two days, from intervals stored by day and reach."""
+    path = _scratch(spark)
+    log = _long_intervals(spark, sf_dir)
+    write_intervals(log, path, start="ts", end="ts_end")
+    return _as_text(
+        state_seconds_by_hour(
+            read_intervals(spark, path, log.schema, hours=TWO_DAYS), CLASSES,
+            keys=MACHINE, start="ts", end="ts_end", state="event_type", hours=TWO_DAYS,
+        )
+    )
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Seconds by state, attempts and units per machine and hour, every hour filled."""
     return rollup(spark, "/root/testdata/sf0.001")
@@ -411,6 +440,7 @@ def hourly_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_view": report,
         "write_rollup": written_rollup,
         "write_daily": written_days,
+        "daily_intervals": days_of_intervals,
     }
 
 
@@ -624,4 +654,16 @@ ORDER BY orb_site, machine_name, start_time LIMIT 500""",
         "write_daily": f"""
 {_ROLLUP} SELECT * REPLACE (id_hours - {FIRST_HALF.count} AS id_hours) FROM result
 WHERE id_hours >= {FIRST_HALF.count}""",
+        "daily_intervals": f"""
+WITH spans AS (
+  SELECT user_id % 25 AS machine, event_type, epoch_us(ts) // 1000000 AS s,
+         epoch_us(ts) // 1000000 + (event_id * 997) % 14400
+           + CASE WHEN event_id % 7 = 0 THEN (event_id % 13) * 86400 ELSE 0 END AS e
+  FROM events WHERE event_id % 30 <> 1),
+hours AS (SELECT *, unnest(generate_series(s - s % 3600, e - 1, 3600)) AS h FROM spans WHERE e > s),
+pieces AS (
+  SELECT *, least(e, h + 3600) - greatest(s, h) AS seconds FROM hours
+  WHERE h BETWEEN {TWO_DAYS.lower} AND {TWO_DAYS.upper} - 1)
+SELECT machine, {bucket} AS bucket, {_SECONDS} FROM pieces
+WHERE event_type IN ({_STATES}) GROUP BY machine, h""",
     }

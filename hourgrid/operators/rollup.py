@@ -29,6 +29,8 @@ def hourly_rollup(
     *,
     keys: Sequence[str],
     zone: str = "timezone",
+    order_by: Sequence[str] | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """One row per registry row and hour: keys, date_hour, start_time, id_hours, end_time,
     the rest of the registry, every metric (NULL where nothing happened), and the local
@@ -38,10 +40,19 @@ def hourly_rollup(
     left of it, and those partitions are the ones the join needs. The join is on the bucket
     instant; ``date_hour`` is only its label. What lies outside the hours or the registry
     is not in the result; ``coverage`` counts it.
+
+    With ``order_by`` (columns of the registry, or ``start_time``) and ``limit``, the first
+    rows in that order only. No leg adds or drops a row, so these are taken from the grid
+    before any join: the joins then meet that many rows, whatever the size of the grid.
     """
     require_utc(registry.sparkSession)
     attributes = [name for name in registry.columns if name not in keys]
     dense = entity_buckets(registry, hours, keys)
+    if limit is not None:
+        order = [BUCKET if name == "start_time" else name for name in order_by or ()]
+        if unknown := set(order) - set(dense.columns):
+            raise ValueError(f"the first rows are told by registry columns and start_time, not {sorted(unknown)}")
+        dense = dense.orderBy(*order).limit(limit) if order else dense.limit(limit)
     metrics = []
     for leg in legs:
         sums = hourly_sums(leg, keys)

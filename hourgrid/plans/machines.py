@@ -99,13 +99,16 @@ class MachineLogs:
         unload_items: str,
         hours: HourRange | None = None,
         day: str = "day",
+        reach: str | int | None = None,
     ) -> MachineLogs:
         """Read Parquet with the column names of ``sources.schemas`` and times as timestamps.
         With ``hours``, logs stored by ``day``, the UTC date a row starts on, are pruned to
-        the days that can matter; the items of unloads have no day of their own."""
+        the days that can matter; the items of unloads have no day of their own. For the
+        states that takes ``reach``, see ``within_days``: the column ``reach_days`` that
+        ``write_intervals`` adds, or the most days an interval goes on after its first."""
         def log(path: str, spans: bool = False) -> DataFrame:
             rows = spark.read.parquet(path)
-            return rows if hours is None else within_days(rows, day, hours, spans=spans)
+            return rows if hours is None else within_days(rows, day, hours, spans=spans, reach=reach)
 
         return cls(
             sites=spark.read.parquet(sites), machines=spark.read.parquet(machines),
@@ -147,12 +150,19 @@ class MachineLogs:
         ]
 
 
-def machine_rollup(logs: MachineLogs, hours: HourRange, *, site: str | None = None) -> DataFrame:
+def machine_rollup(
+    logs: MachineLogs, hours: HourRange, *, site: str | None = None, limit: int | None = None
+) -> DataFrame:
     """One row per machine and hour, in the columns of ``ROLLUP_SCHEMA``; with ``site``, of that
-    site, which then filters all six inputs."""
+    site, which then filters all six inputs; with ``limit``, the first rows in the order of the
+    report, taken before the logs are joined."""
     if site is not None:
         logs = logs.at_site(site)
-    rollup = hourly_rollup(logs.registry, hours, logs.legs(hours), keys=KEYS)
+    by_name = {new: old for old, new in OUTPUT_KEYS.items()}
+    rollup = hourly_rollup(
+        logs.registry, hours, logs.legs(hours), keys=KEYS,
+        order_by=[by_name.get(name, name) for name in REPORT_ORDER], limit=limit,
+    )
     return rollup.withColumnsRenamed(OUTPUT_KEYS)
 
 
@@ -167,7 +177,8 @@ def machine_report(
 
     Give it a written rollup where there is one. On a rollup still to be computed, cut
     ``hours`` with ``HourRange.since`` as well: ``since`` filters rows of the result,
-    the range limits what is read for them.
+    the range limits what is read for them. Where that range and a site are all that is
+    asked for, give ``machine_rollup`` the ``limit`` too.
     """
     if since is not None:
         rollup = rollup.filter(F.col("start_time") >= F.timestamp_seconds(F.lit(epoch_of(since))))

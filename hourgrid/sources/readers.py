@@ -43,14 +43,22 @@ def with_epochs(log: DataFrame, columns: Sequence[str]) -> DataFrame:
     return log.withColumns(texts | {name: epoch_to_ts(F.col(name)) for name in columns})
 
 
-def within_days(log: DataFrame, day: str, hours: HourRange, *, spans: bool = False) -> DataFrame:
+def within_days(
+    log: DataFrame, day: str, hours: HourRange, *, spans: bool = False, reach: str | int | None = None
+) -> DataFrame:
     """Prune a log partitioned by the UTC date its rows start on, in column ``day``.
 
     Point events need the days of ``hours`` only. Intervals (``spans``) may have begun
-    any time before, so for them only later days are pruned.
+    before: ``reach`` says for how many days after its first an interval may go on. That is
+    a column the log is partitioned by too, as ``write_intervals`` makes it, or a number
+    that holds for all of them, which the caller vouches for. Without it any earlier day
+    may matter, and only later days are pruned.
     """
-    last = F.to_date(F.timestamp_seconds(F.lit(hours.upper - 1)))
+    first, last = F.to_date(hours.lower_ts), F.to_date(F.timestamp_seconds(F.lit(hours.upper - 1)))
     kept = F.col(day) <= last
     if not spans:
-        kept &= F.col(day) >= F.to_date(hours.lower_ts)
+        kept &= F.col(day) >= first
+    elif reach is not None:
+        days = F.col(reach) if isinstance(reach, str) else F.lit(reach)
+        kept &= F.date_add(F.col(day), days) >= first
     return log.filter(kept)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from hourgrid.functions import require_utc
 from hourgrid.operators.spine import HourRange
 from hourgrid.sources.readers import within_days
 
 DAY = "day"
+# How many days after its first an interval goes on, rounded up: 0, 1, 2, 4, 8 and so on.
+REACH = "reach_days"
 
 
 def write_rollup(
@@ -39,6 +41,44 @@ def write_daily(rollup: DataFrame, path: str, *, mode: str = "overwrite", **opti
     days.write.options(**options).mode(mode).partitionBy(DAY).parquet(path)
 
 
+def write_intervals(
+    log: DataFrame, path: str, *, start: str, end: str, mode: str = "overwrite", **options: str
+) -> None:
+    """Write an interval log as Parquet, partitioned by the UTC day an interval starts on and
+    by how far it reaches, so that a range of hours can be read without the days that no
+    interval of which reaches it.
+
+    The reach is a power of two, so a day has few folders however long its intervals: a year
+    takes ten. An interval up to midnight does not reach the next day. Intervals without an
+    end, or ending before they start, reach no other day, those without a start have no
+    day; neither has a part in any hour. Rows are rebalanced as in ``write_daily``. The log
+    must have no columns of the names used here, ``day`` and ``reach_days``.
+    """
+    require_utc(log.sparkSession)
+    if taken := {name for name in log.columns if name.lower() in (DAY, REACH)}:
+        raise ValueError(f"the log has columns of its own named {sorted(taken)}")
+    days = f"datediff(to_date(timestamp_seconds(unix_seconds(timestamp(`{end}`)) - 1)), to_date(`{start}`))"
+    reach = f"CASE WHEN {days} >= 2 THEN shiftleft(1, length(bin({days} - 1))) WHEN {days} = 1 THEN 1 ELSE 0 END"
+    stored = log.withColumns({DAY: F.to_date(start), REACH: F.expr(reach)})
+    stored.hint("rebalance", F.col(DAY), F.col(REACH)).write.options(**options).mode(mode).partitionBy(
+        DAY, REACH
+    ).parquet(path)
+
+
+def read_intervals(
+    spark: SparkSession, path: str, schema: StructType | str, *, hours: HourRange | None = None
+) -> DataFrame:
+    """Read what ``write_intervals`` wrote, under ``schema`` (the log's own columns); with
+    ``hours``, only the folders whose intervals can have a part in that range."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    stored = StructType([*schema.fields, StructField(DAY, DateType()), StructField(REACH, IntegerType())])
+    rows = spark.read.schema(stored).parquet(path)
+    if hours is not None:
+        rows = within_days(rows, DAY, hours, spans=True, reach=REACH)
+    return rows.drop(DAY, REACH)
+
+
 def read_daily(
     spark: SparkSession, path: str, schema: StructType | str, *, hours: HourRange | None = None
 ) -> DataFrame:

@@ -30,7 +30,7 @@ def big_tables(spark):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.hourly_queries()) - {"write_rollup", "write_daily"}))
+@pytest.mark.parametrize("name", sorted(set(contract.hourly_queries()) - {"write_rollup", "write_daily", "daily_intervals"}))
 def test_no_cross_joins_no_python_no_forced_broadcast(big_tables, name):
     plan = plan_of(contract.hourly_queries()[name](big_tables, SF_DIR))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastExchange", "Python", "ExistingRDD"):
@@ -91,6 +91,14 @@ def test_report_is_a_top_k_that_filters_its_inputs(big_tables):
     assert len(re.findall(r"Filter .*= AMERICA\)", plan)) >= 4
 
 
+def test_report_takes_its_rows_before_the_joins(big_tables):
+    df = contract.report(big_tables, SF_DIR)
+    optimized = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    limits = [i for i, line in enumerate(optimized) if "GlobalLimit 500" in line]
+    joins = [i for i, line in enumerate(optimized) if "Join LeftOuter" in line and "bucket" in line]
+    assert len(joins) == 3 and limits[0] < joins[0] and limits[-1] > joins[-1]
+
+
 def test_split_is_one_stage_of_generated_code(big_tables):
     df = contract.splits(big_tables, SF_DIR)
     assert "Exchange" not in plan_of(df)
