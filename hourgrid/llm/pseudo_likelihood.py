@@ -1,12 +1,18 @@
 """Scores of texts by masked pseudo-likelihood.
 
-A small network predicts a word from the words in a window on both sides. It is trained in
-numpy over all documents: in each round every task goes on from the same weights with its own
-documents and learns every word of them once, and the weights of all are averaged by the
-number of words they learned from. The network knows a fixed number of tokens, so a word's
-probability is its token's times the word's share of all the words of that token. The counts
-of all words stay distributed and are joined by word. The score of a text is the sum of the
-log-probabilities of its words, each given its neighbours.
+A small network predicts a word from the words in a window on both sides. It knows a number
+of tokens that grows with the words of the corpus: the most frequent words, and the others by
+their last letters. So a word's probability is its token's, from the network, times the
+word's share of all the words of that token. The counts of all words stay distributed and are
+joined by word. The score of a text is the sum of the log-probabilities of its words, each
+given its neighbours.
+
+The network is trained in numpy. It starts from the tokens' counts, so that it knows the words
+of the corpus before it knows what stands beside them, and then learns every word of all
+documents once. The unit of learning is a shard of documents, dealt by a hash of their
+content to about ``SHARD`` words each, however the rows are stored. Shards go on from the
+same weights, and the weights of all are averaged by their words; that happens in waves, a
+few shards first, each wave going on from the averages of the one before.
 """
 
 from __future__ import annotations
@@ -14,80 +20,109 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, groupby
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Tokens: the most frequent words, and the others dealt by hash. A token is a class and a
-#: place in it, so that a prediction needs two small sums, not one over all tokens.
-CLASSES, PLACES = 32, 32
-FREQUENT = 768
+#: Binary digits of the number of tokens in a small corpus. A token is a class and a place in
+#: it, so that a prediction needs two small sums, not one over all tokens.
+BITS = 10
 #: Words seen on either side; numbers of a word's vector.
 WINDOW, WIDTH = 2, 16
-#: Passes over the corpus; each learns every word.
-ROUNDS = 2
-RATE = 0.05
-#: Words in a step of learning, and scored at once.
-STEP, AT_ONCE = 2_048, 16_384
-#: Distinct words that a task counts before it hands on their counts; texts taken at once.
-DISTINCT = 500_000
-TEXTS = 256
+#: Of AdaGrad: the length of a first step, and the squares it starts from.
+RATE, SQUARES = 0.1, 1e-8
+#: Words in a step of learning, of a shard, and scored at once.
+STEP, SHARD, AT_ONCE = 4_096, 1 << 18, 16_384
+#: Of every sixteen shards, those of each wave.
+WAVES = (range(0, 1), range(1, 4), range(4, 16))
+#: Copies of a row, of those a task reads, that stay in one shard.
+COPIES = 64
+#: The most frequent words whose counts all tasks know: so many times the root of the number
+#: of distinct words.
+NEAR = 16
+#: Distinct words that a task counts before it hands on their counts, and remembers the
+#: tokens of; texts taken at once.
+DISTINCT, TEXTS = 500_000, 256
+#: Numbers of the network that are added up in one piece.
+PIECE = 1 << 14
 SEED = 3
 
-TOKENS = CLASSES * PLACES
-PAD = TOKENS  # beyond the ends of a text
-SHAPES = {
-    "inputs": (2 * WINDOW, TOKENS + 1, WIDTH), "bias": (WIDTH,),
-    "classes": (WIDTH, CLASSES), "class_bias": (CLASSES,),
-    "places": (CLASSES, WIDTH, PLACES), "place_bias": (CLASSES, PLACES),
-}
 Weights = dict[str, np.ndarray]
 
 
-def first_weights() -> Weights:
-    random = np.random.default_rng(SEED)
-    return {
-        name: (random.standard_normal(shape) * (0 if "bias" in name else 0.1)).astype(np.float32)
-        for name, shape in SHAPES.items()
-    }
+class Shape:
+    """Of a network with two to the power of ``bits`` tokens."""
 
+    def __init__(self, bits: int = BITS):
+        self.bits = bits
+        self.places = 1 << bits // 2
+        self.classes = 1 << bits - bits // 2
+        self.tokens = 1 << bits
+        #: So many words, the most frequent, have tokens of their own.
+        self.frequent = self.tokens * 3 // 4
+        self.pad = self.tokens  # beyond the ends of a text
+        self.sizes = {
+            "inputs": (2 * WINDOW, self.tokens + 1, WIDTH), "bias": (WIDTH,),
+            "classes": (WIDTH, self.classes), "class_bias": (self.classes,),
+            "places": (self.classes, WIDTH, self.places), "place_bias": (self.classes, self.places),
+        }
 
-def packed(weights: Weights) -> np.ndarray:
-    return np.concatenate([weights[name].ravel() for name in SHAPES])
-
-
-def unpacked(numbers: np.ndarray) -> Weights:
-    weights, at = {}, 0
-    for name, shape in SHAPES.items():
-        size = int(np.prod(shape))
-        weights[name] = numbers[at:at + size].reshape(shape).astype(np.float32)
-        at += size
-    return weights
-
-
-class Words:
-    """Tokens of words, by crc32. Words are runs of anything but ASCII white space, A-Z
-    lower-cased."""
-
-    def __init__(self, frequent: list[bytes]):
-        codes, number = np.unique(
-            np.array([zlib.crc32(word) for word in frequent], dtype=np.uint32), return_index=True
-        )
-        self.codes, self.number = codes, number.astype(np.int32)
+    @staticmethod
+    def of_words(distinct: int) -> Shape:
+        """Tokens grow as the fourth root of the distinct words."""
+        return Shape(max(BITS, round(5 + np.log2(max(1, distinct)) / 4)))
+
+    def first(self, counts: np.ndarray) -> Weights:
+        """Weights that predict each token by its count, whatever stands beside it."""
+        random = np.random.default_rng(SEED)
+        weights = {
+            name: (random.standard_normal(size) * (0.1 if name == "inputs" else 0)).astype(np.float32)
+            for name, size in self.sizes.items()
+        }
+        chance = (counts + 0.5).reshape(self.classes, self.places)
+        weights["class_bias"] = np.log(chance.sum(axis=1) / chance.sum()).astype(np.float32)
+        weights["place_bias"] = np.log(chance / chance.sum(axis=1, keepdims=True)).astype(np.float32)
+        return weights
+
+    def packed(self, weights: Weights) -> np.ndarray:
+        return np.concatenate([weights[name].ravel() for name in self.sizes])
+
+    def unpacked(self, numbers: np.ndarray) -> Weights:
+        weights, at = {}, 0
+        for name, size in self.sizes.items():
+            count = int(np.prod(size))
+            weights[name] = numbers[at:at + count].reshape(size).astype(np.float32)
+            at += count
+        return weights
+
+
+class Words(dict):
+    """Tokens of words, which are runs of anything but ASCII white space, A-Z lower-cased:
+    the place of a frequent word among these, a hash of the last three bytes of another.
+    What was asked for is remembered, up to ``DISTINCT`` words."""
+
+    def __init__(self, frequent: list[bytes], shape: Shape):
+        super().__init__()
+        self.frequent = frequent
+        self.first, self.rest = shape.frequent, shape.tokens - shape.frequent
+        self.update(zip(frequent, range(len(frequent))))
+
+    def __missing__(self, word: bytes) -> int:
+        token = self[word] = self.first + zlib.crc32(word[-3:]) % self.rest
+        return token
 
     def of(self, words: Iterable[bytes], count: int) -> np.ndarray:
         """The tokens of so many words, lower-cased."""
-        codes = np.fromiter(map(zlib.crc32, words), dtype=np.uint32, count=count)
-        tokens = FREQUENT + (codes % np.uint32(TOKENS - FREQUENT)).astype(np.int32)
-        if len(self.codes):
-            at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-            known = self.codes[at] == codes
-            tokens[known] = self.number[at[known]]
+        tokens = np.fromiter(map(self.__getitem__, words), dtype=np.int32, count=count)
+        if len(self) > DISTINCT:
+            self.clear()
+            self.update(zip(self.frequent, range(len(self.frequent))))
         return tokens
 
     def of_texts(self, split: list[list[bytes]]) -> list[np.ndarray]:
@@ -98,11 +133,11 @@ class Words:
         return self.of_texts([text.lower().split() for text in texts])
 
 
-def windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def windows(texts: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray]:
     """(neighbours, token) of every word of the texts in turn."""
-    gap = np.full(WINDOW, PAD, dtype=np.int32)
+    gap = np.full(WINDOW, pad, dtype=np.int32)
     row = np.concatenate([x for text in texts for x in (gap, text)] + [gap])
-    centre = np.nonzero(row != PAD)[0]
+    centre = np.nonzero(row != pad)[0]
     sides = [s for s in range(-WINDOW, WINDOW + 1) if s]
     return np.stack([row[centre + s] for s in sides], axis=1), row[centre]
 
@@ -123,15 +158,16 @@ def _hidden(weights: Weights, near: np.ndarray) -> np.ndarray:
 
 def log_probabilities(weights: Weights, near: np.ndarray, token: np.ndarray) -> np.ndarray:
     """Of each token, given its neighbours."""
+    classes, places = weights["place_bias"].shape
     out = np.zeros(len(token))
     for at in range(0, len(token), AT_ONCE):
         some = slice(at, at + AT_ONCE)
         hidden = _hidden(weights, near[some])
-        kind, place = np.divmod(token[some], PLACES)
+        kind, place = np.divmod(token[some], places)
         rows = np.arange(len(kind))
         log = np.log(softmax(hidden @ weights["classes"] + weights["class_bias"])[rows, kind] + 1e-30)
         order = np.argsort(kind, kind="stable")
-        ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        ends = np.searchsorted(kind[order], np.arange(classes + 1))
         for c in np.nonzero(np.diff(ends))[0]:
             own = order[ends[c]:ends[c + 1]]
             chance = softmax(hidden[own] @ weights["places"][c] + weights["place_bias"][c])
@@ -141,17 +177,20 @@ def log_probabilities(weights: Weights, near: np.ndarray, token: np.ndarray) ->
 
 
 class Learner:
-    """Steps of AdaGrad on the weights of one task."""
+    """Steps of AdaGrad on the weights of one shard."""
 
-    def __init__(self, weights: Weights):
-        self.weights = {name: value.copy() for name, value in weights.items()}
-        self.squares = {name: np.full_like(value, 1e-3) for name, value in weights.items()}
+    def __init__(self, weights: Weights, squares: Weights | None = None):
+        squares = squares or {name: np.full_like(value, SQUARES) for name, value in weights.items()}
+        self.weights, self.squares = (
+            {name: value.copy() for name, value in each.items()} for each in (weights, squares)
+        )
         self.words = 0
 
     def step(self, near: np.ndarray, token: np.ndarray) -> None:
         w = self.weights
+        classes, places = w["place_bias"].shape
         # by class, so that the words of each are a slice
-        kind, place = np.divmod(token.astype(np.int16), PLACES)
+        kind, place = np.divmod(token, places)
         order = np.argsort(kind, kind="stable")
         near, kind, place = near[order], kind[order], place[order]
         hidden = _hidden(w, near)
@@ -161,7 +200,7 @@ class Learner:
         wrong[rows, kind] -= 1
         slope["classes"], slope["class_bias"] = hidden.T @ wrong, wrong.sum(axis=0)
         back = wrong @ w["classes"].T
-        ends = np.searchsorted(kind, np.arange(CLASSES + 1))
+        ends = np.searchsorted(kind, np.arange(classes + 1))
         own = [(c, slice(ends[c], ends[c + 1])) for c in np.nonzero(np.diff(ends))[0]]
         wrong = w["place_bias"][kind]
         for c, some in own:
@@ -179,7 +218,7 @@ class Learner:
         for name, value in slope.items():
             self._move(w[name], self.squares[name], ..., value / len(token))
         for side in range(near.shape[1]):
-            beside = near[:, side].astype(np.int16)
+            beside = near[:, side]
             order = np.argsort(beside, kind="stable")
             beside = beside[order]
             first = np.nonzero(np.diff(beside, prepend=-1))[0]
@@ -193,25 +232,29 @@ class Learner:
         weights[at] -= RATE * slope / np.sqrt(squares[at])
 
 
-def learn(learner: Learner, words: Words, texts: Iterable[list[bytes]], random: np.random.Generator) -> None:
-    """One pass: every word of the texts is predicted once, in steps of words of several texts."""
+def learn(learner: Learner, texts: Iterable[np.ndarray], random: np.random.Generator, pad: int) -> None:
+    """One pass: every token of the texts is predicted once, in steps of words of several texts."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
+    some: list[np.ndarray] = []
 
-    def go(least: int) -> None:
+    def go(whole: bool) -> None:
+        if some:
+            held.append(windows(some, pad))
+            some.clear()
         near, token = (np.concatenate(x) for x in zip(*held))
         mixed = random.permutation(len(token))
         near, token = near[mixed], token[mixed]
-        whole = len(token) // STEP * STEP if least else len(token)
-        for at in range(0, whole, STEP):
+        upto = len(token) if whole else len(token) // STEP * STEP
+        for at in range(0, upto, STEP):
             learner.step(near[at:at + STEP], token[at:at + STEP])
-        held[:] = [(near[whole:], token[whole:])]
+        held[:] = [(near[upto:], token[upto:])]
 
-    for some in texts:
-        held.append(windows(words.tokens(some)))
-        if sum(len(t) for _, t in held) >= 4 * STEP:
-            go(STEP)
-    if held:
-        go(0)
+    for text in texts:
+        some.append(text)
+        if sum(map(len, some)) >= 16 * STEP if len(some) % 64 == 0 else len(text) >= STEP:
+            go(False)
+    if some or held:
+        go(True)
 
 
 def word_counts(docs: DataFrame, text: str) -> DataFrame:
@@ -235,140 +278,204 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent_words(docs: DataFrame, text: str, counts: DataFrame | None = None) -> list[bytes]:
-    """The ``FREQUENT`` most frequent words of all documents, ties by bytes."""
-    counts = word_counts(docs, text) if counts is None else counts
-    return [bytes(row.word) for row in counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()]
+class Corpus:
+    """What the driver knows of the words: the shape of the network, the most frequent words,
+    by count and then bytes, with their counts, and of each token how often it stands. Their
+    number grows as a root of that of the distinct words; the table of all words stays
+    distributed."""
 
+    def __init__(self, counts: DataFrame):
+        size = counts.agg(F.count("*").alias("distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias("words")).first()
+        self.words, self.shape = size.words, Shape.of_words(size.distinct)
+        most = counts.orderBy(F.desc("n"), "word").limit(max(self.shape.frequent, int(NEAR * size.distinct**0.5)))
+        self.near = {bytes(row.word): row.n for row in most.collect()}
+        self.frequent = list(self.near)[:self.shape.frequent]
+        frequent, shape = self.frequent, self.shape
 
-def word_shares(counts: DataFrame, frequent: list[bytes]) -> tuple[DataFrame, set[bytes]]:
-    """``word, share``: the logarithm of each word's part of all the words of its token; and
-    the frequent words that have a token of their own, whose share is 0. The driver gets two
-    numbers for a token; the table of words stays distributed."""
+        def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            words, total = Words(frequent, shape), np.zeros(shape.tokens, np.int64)
+            for batch in batches:
+                token = words.of(batch.column("word").to_pylist(), batch.num_rows)
+                np.add.at(total, token, batch.column("n").to_numpy())
+            seen = np.nonzero(total)[0]
+            yield pa.RecordBatch.from_pydict({"token": seen, "total": total[seen]})
 
-    def columns(batch: pa.RecordBatch, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        return words.of(batch.column("word").to_pylist(), batch.num_rows), batch.column("n").to_numpy()
+        sums = counts.mapInArrow(total, "token bigint, total bigint").groupBy("token").agg(F.sum("total").alias("total"))
+        self.totals = np.zeros(shape.tokens)
+        for row in sums.collect():
+            self.totals[row.token] = row.total
+
+    def shares(self, counts: DataFrame) -> DataFrame:
+        """``word, share``: the logarithm of each word's part of all the words of its token."""
+        frequent, shape, totals = self.frequent, self.shape, self.totals
+
+        def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            words = Words(frequent, shape)
+            for batch in batches:
+                token = words.of(batch.column("word").to_pylist(), batch.num_rows)
+                found = np.log(batch.column("n").to_numpy() / totals[token])
+                yield pa.RecordBatch.from_pydict({"word": batch.column("word"), "share": found})
+
+        return counts.mapInArrow(share, "word binary, share double")
+
+    def near_shares(self) -> Shares:
+        words = Words(self.frequent, self.shape)
+        return Shares({word: np.log(n / self.totals[words[word]]) for word, n in self.near.items()})
+
+
+class Shares(dict):
+    """Logarithms of the shares of the most frequent words; not a number for the others."""
+
+    def __missing__(self, word: bytes) -> float:
+        return np.nan
 
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total, kinds = Words(frequent), np.zeros(TOKENS, np.int64), np.zeros(TOKENS, np.int64)
-        for batch in batches:
-            token, n = columns(batch, words)
-            np.add.at(total, token, n)
-            kinds += np.bincount(token, minlength=TOKENS)
-        seen = np.nonzero(kinds)[0]
-        yield pa.RecordBatch.from_pydict({"token": seen, "total": total[seen], "kinds": kinds[seen]})
-
-    sums = (
-        counts.mapInArrow(total, "token bigint, total bigint, kinds bigint")
-        .groupBy("token").agg(F.sum("total").alias("total"), F.sum("kinds").alias("kinds")).collect()
-    )
-    totals, kinds = np.ones(TOKENS), np.zeros(TOKENS, np.int64)
-    for row in sums:
-        totals[row.token], kinds[row.token] = row.total, row.kinds
 
-    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(frequent)
+def shard_tokens(docs: DataFrame, corpus: Corpus, wave: range, *, id: str, text: str) -> DataFrame:
+    """``shard, key, tokens`` of the documents in the shards of a wave. Shards are dealt by a
+    hash of id and text; rows that repeat both go to several shards."""
+    shards = max(1, -(-corpus.words // SHARD))
+    frequent, shape = corpus.frequent, corpus.shape
+    rows = docs.select(
+        F.xxhash64(F.col(id), F.col(text).cast("string")).alias("key"), F.col(text).cast("string").alias("text")
+    ).withColumn("shard", F.pmod("key", F.lit(shards)))
+    rows = rows.filter(F.pmod("shard", F.lit(16)).between(wave[0], wave[-1]))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, copies = Words(frequent, shape), Counter()
         for batch in batches:
-            token, n = columns(batch, words)
-            yield pa.RecordBatch.from_pydict(
-                {"word": batch.column("word"), "share": np.log(n / totals[token])}
-            )
-
-    own = kinds[Words(frequent).of(frequent, len(frequent))] == 1
-    return (
-        counts.mapInArrow(share, "word binary, share double"),
-        {word for word, alone in zip(frequent, own) if alone},
-    )
+            texts = batch.column("text").cast(pa.binary())
+            for at in range(0, batch.num_rows, TEXTS):
+                found = words.tokens([t or b"" for t in texts.slice(at, TEXTS).to_pylist()])
+                key = batch.column("key").slice(at, TEXTS)
+                shard = batch.column("shard").slice(at, TEXTS).to_pylist()
+                for row, each in enumerate(key.to_pylist()):
+                    shard[row] = (shard[row] + copies[each] // COPIES * 16) % shards
+                    copies[each] += 1
+                if len(copies) > DISTINCT:
+                    copies = Counter({each: n for each, n in copies.items() if n >= COPIES})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard, pa.int64()), key, pa.array([each.tobytes() for each in found], pa.binary())],
+                    ["shard", "key", "tokens"],
+                )
+
+    return rows.mapInArrow(work, "shard long, key long, tokens binary")
 
 
-def train(docs: DataFrame, text: str, frequent: list[bytes], rounds: int = ROUNDS) -> np.ndarray:
-    """The averaged weights, packed. What a task returns is summed number by number inside
-    the cluster; the driver gets the sums, as many as the network has weights."""
+def train(docs: DataFrame, corpus: Corpus, *, id: str = "doc_id", text: str = "text") -> np.ndarray:
+    """The weights after all waves, packed. Tasks add up what their shards learned, and pieces
+    of these sums are added up in the cluster; the driver gets as many numbers as the network
+    has weights, and as many squares of slopes, from which the next wave goes on."""
     context = docs.sparkSession.sparkContext
-    numbers = packed(first_weights())
-    for turn in range(rounds):
-        shared = context.broadcast(numbers)
-
-        def work(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
-            words, learner = Words(frequent), Learner(unpacked(shared.value))
-            random = np.random.default_rng([SEED, turn])
-            taken = (
-                [t or b"" for t in texts.slice(at, TEXTS).to_pylist()]
-                for batch in batches for texts in [batch.column(0).cast(pa.binary())]
-                for at in range(0, batch.num_rows, TEXTS)
-            )
-            learn(learner, words, taken, random)
-            if learner.words:
-                own = packed(learner.weights).astype(np.float64) * learner.words
-                yield pa.RecordBatch.from_pydict(
-                    {"slot": np.arange(len(own)), "total": own, "words": np.full(len(own), learner.words)}
+    shape = corpus.shape
+    weights = shape.packed(shape.first(corpus.totals))
+    squares = np.full(len(weights), SQUARES)
+    for wave in WAVES:
+        shared = context.broadcast((weights.astype(np.float32), squares.astype(np.float32)))
+
+        def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            start = [shape.unpacked(each) for each in shared.value]
+            total, words = np.zeros(2 * len(shared.value[0])), 0
+            for shard, texts in by_shard(batches):
+                learner = Learner(*start)
+                learn(learner, texts, np.random.default_rng([SEED, shard]), shape.pad)
+                learned = np.concatenate([shape.packed(each) for each in (learner.weights, learner.squares)])
+                total += learned * float(learner.words)
+                words += learner.words
+            if words:
+                pieces = np.split(total, range(PIECE, len(total), PIECE))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(range(len(pieces)), pa.int32()), pa.array([words] * len(pieces), pa.int64()),
+                        pa.array([each.tobytes() for each in pieces], pa.binary()),
+                    ],
+                    ["piece", "words", "total"],
                 )
 
+        def add(rows: pd.DataFrame) -> pd.DataFrame:
+            total = sum(np.frombuffer(each) for each in rows["total"]) / rows["words"].sum()
+            return pd.DataFrame({"piece": rows["piece"].iloc[:1], "mean": [total.tobytes()]})
+
+        dealt = shard_tokens(docs, corpus, wave, id=id, text=text).repartition("shard")
         sums = (
-            docs.select(F.col(text).cast("string")).mapInArrow(work, "slot bigint, total double, words bigint")
-            .groupBy("slot").agg((F.sum("total") / F.sum("words")).alias("mean")).toPandas()
+            dealt.sortWithinPartitions("shard", "key").mapInArrow(work, "piece int, words long, total binary")
+            .groupBy("piece").applyInPandas(add, "piece int, mean binary").collect()
         )
-        if len(sums):
-            numbers = np.zeros(len(numbers))
-            numbers[sums["slot"].to_numpy()] = sums["mean"].to_numpy()
-    return numbers
+        if sums:
+            means = np.concatenate([np.frombuffer(row.mean) for row in sorted(sums, key=lambda row: row.piece)])
+            weights, squares = np.split(means, 2)
+    return weights
 
 
-def score_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[np.ndarray]]]:
+    """(shard, texts) of rows in the order of shards."""
+    rows = (
+        (shard, np.frombuffer(tokens, dtype=np.int32))
+        for batch in batches
+        for shard, tokens in zip(batch.column("shard").to_pylist(), batch.column("tokens").to_pylist())
+    )
+    for shard, own in groupby(rows, key=lambda row: row[0]):
+        yield shard, (tokens for _, tokens in own)
+
+
+def score_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Pseudo-log-likelihood of every text.
 
-    Counts words over all documents, trains the network on every word of them in each of
-    ``rounds`` passes, and scores each text whole. Returns one row per row of ``docs``: the
-    id, ``n_words``, ``log_likelihood`` (the sum over its words of the log-probability given
-    the window on both sides) and ``mean_log_likelihood``, null without words. A word's
-    probability is that of its token, from the network, times its share of the token's
-    words in all documents, so words of one token differ by how often they occur. Weights
-    depend on how the rows are dealt to tasks, so scores do a little; the same files in the
-    same session settings give the same scores but for the order of sums.
-
-    A null or empty text has no words and log-likelihood 0. Repeated rows count each.
-    Columns other than id and text do not matter. An empty table gives no rows.
+    Counts words over all documents, trains the network once on every word of them, and
+    scores each text whole. Returns one row per row of ``docs``: the id, ``n_words``,
+    ``log_likelihood`` (the sum over its words of the log-probability given the window on
+    both sides) and ``mean_log_likelihood``, null without words. A word's probability is
+    that of its token, from the network, times its share of the token's words in all
+    documents, so words of one token differ by how often they occur. Weights depend on the
+    rows alone, not on how they are dealt to tasks, up to the rounding of sums (and, where
+    more than ``COPIES`` rows have the same id and text, which shards these go to).
+
+    A null or empty text has no words and log-likelihood 0. A null id is an id like others.
+    Repeated rows count each. Very long texts are learned in steps and scored whole, in a
+    batch of texts that bounds a worker's memory. Other columns are not read. An empty table
+    gives no rows.
     """
     counts = stored(word_counts(docs, text))
-    frequent = frequent_words(docs, text, counts)
-    shares, alone = word_shares(counts, frequent)
-    numbers = train(docs, text, frequent, rounds)
-    shared = docs.sparkSession.sparkContext.broadcast(numbers)
+    corpus = Corpus(counts)
+    frequent, shape = corpus.frequent, corpus.shape
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast((train(docs, corpus, id=id, text=text), corpus.near_shares()))
     rows = docs.select(
         F.monotonically_increasing_id().alias("key"), F.col(id).alias("id"), F.col(text).cast("string").alias("text")
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each text with the score of its tokens, and one for each of its words
-        that shares a token. The first have no word; a space and the key, which no word
-        is, deals them out evenly."""
-        words, weights = Words(frequent), unpacked(shared.value)
+        """A row for each text with the score of its tokens and of the frequent words in
+        them, and one for each of its other words. The first have no word; a space and the
+        key, which no word is, deals them out evenly."""
+        numbers, near_shares = shared.value
+        words, weights = Words(frequent, shape), shape.unpacked(numbers)
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
             for at in range(0, batch.num_rows, TEXTS):
                 split = [(t or b"").lower().split() for t in texts.slice(at, TEXTS).to_pylist()]
                 tokens = words.of_texts(split)
-                near, token = windows(tokens)
+                near, token = windows(tokens, shape.pad)
                 ends = np.cumsum([0, *map(len, tokens)])
                 sums = np.concatenate([[0.0], np.cumsum(log_probabilities(weights, near, token))])
                 key, ids = batch.column("key").slice(at, TEXTS), batch.column("id").slice(at, TEXTS)
-                word, times, sizes = [b" %d" % k for k in key.to_pylist()], [], []
+                word, times, sizes, known = [b" %d" % k for k in key.to_pylist()], [], [], []
                 for own in split:
-                    found = [x for x in Counter(own).items() if x[0] not in alone]
-                    word += [w for w, _ in found]
-                    times += [n for _, n in found]
+                    shares = np.fromiter(map(near_shares.__getitem__, own), dtype=float, count=len(own))
+                    rare = np.isnan(shares)
+                    found = Counter(map(own.__getitem__, np.nonzero(rare)[0].tolist()))
+                    word += found
+                    times += found.values()
                     sizes.append(len(found))
+                    known.append((len(own) - int(rare.sum()), shares[~rare].sum()))
                 pairs = len(times)
-                starts = np.cumsum([0, *sizes])
-                many = np.concatenate([[0], np.cumsum(np.array(times, dtype=np.int64))])
-                rest = np.diff(ends) - (many[starts[1:]] - many[starts[:-1]])
+                rest, score = (np.array(each) for each in zip(*known))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate([key.to_numpy(), np.repeat(key.to_numpy(), sizes)])),
                         pa.concat_arrays([ids, pa.nulls(pairs, ids.type)]),
                         pa.array(word, pa.binary()),
                         pa.array(np.concatenate([rest, np.array(times, dtype=np.int64)])),
-                        pa.array(np.concatenate([sums[ends[1:]] - sums[ends[:-1]], np.zeros(pairs)])),
+                        pa.array(np.concatenate([score + sums[ends[1:]] - sums[ends[:-1]], np.zeros(pairs)])),
                     ],
                     ["key", "id", "word", "times", "score"],
                 )
@@ -376,7 +483,7 @@ def score_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", roun
     kind = rows.schema["id"].dataType.simpleString()
     parts = rows.mapInArrow(work, f"key bigint, id {kind}, word binary, times bigint, score double")
     scored = (
-        parts.join(shares.hint("shuffle_hash"), "word", "left")
+        parts.join(corpus.shares(counts).hint("shuffle_hash"), "word", "left")
         .withColumn("score", F.col("score") + F.col("times") * F.coalesce("share", F.lit(0.0)))
         .groupBy("key").agg(
             F.max("id").alias("id"), F.sum("times").alias("n_words"), F.sum("score").alias("log_likelihood")

@@ -5,6 +5,7 @@ import os
 import random
 import sys
 import zlib
+from collections import Counter
 from functools import cache
 
 import duckdb
@@ -194,16 +195,17 @@ def test_sum_of_squares_places_where_the_sum_is_least():
 def test_pseudo_likelihood_by_hand_and_slope():
     """Scores against plain sums over all classes and places; steps against differences."""
     dice = np.random.default_rng(5)
-    weights = {k: (0.3 * dice.standard_normal(s)).astype(np.float32) for k, s in pseudo_likelihood.SHAPES.items()}
-    text = dice.integers(0, pseudo_likelihood.TOKENS, 9).astype(np.int32)
-    near, token = pseudo_likelihood.windows([text[:5], text[5:5], text[5:]])
-    pad = [pseudo_likelihood.PAD] * pseudo_likelihood.WINDOW
+    shape = pseudo_likelihood.Shape()
+    weights = {k: (0.3 * dice.standard_normal(s)).astype(np.float32) for k, s in shape.sizes.items()}
+    text = dice.integers(0, shape.tokens, 9).astype(np.int32)
+    near, token = pseudo_likelihood.windows([text[:5], text[5:5], text[5:]], shape.pad)
+    pad = [shape.pad] * pseudo_likelihood.WINDOW
     assert token.tolist() == text.tolist()
     assert near[0].tolist() == [*pad, text[1], text[2]] and near[4].tolist() == [text[2], text[3], *pad]
     found = pseudo_likelihood.log_probabilities(weights, near, token)
     for i in range(len(token)):
         hidden = np.tanh(weights["bias"] + sum(weights["inputs"][s][near[i, s]] for s in range(near.shape[1])))
-        kind, place = divmod(int(token[i]), pseudo_likelihood.PLACES)
+        kind, place = divmod(int(token[i]), shape.places)
         classes = np.exp(hidden @ weights["classes"] + weights["class_bias"])
         places = np.exp(hidden @ weights["places"][kind] + weights["place_bias"][kind])
         assert np.isclose(found[i], np.log(classes[kind] / classes.sum() * places[place] / places.sum()), atol=1e-5)
@@ -214,7 +216,7 @@ def test_pseudo_likelihood_by_hand_and_slope():
     assert pseudo_likelihood.log_probabilities(learner.weights, near, token).sum() > before
 
 
-def test_every_word_is_learned_in_each_pass():
+def test_every_word_is_learned_once():
     class Recorder(pseudo_likelihood.Learner):
         seen = ()
 
@@ -225,48 +227,137 @@ def test_every_word_is_learned_in_each_pass():
 
     dice = random.Random(2)
     texts = [" ".join(f"w{dice.randrange(900)}" for _ in range(n)).encode() for n in (0, 1, 7000, 12, 0, 9000, 400)]
-    words = pseudo_likelihood.Words([b"w1", b"w2", b"w3"])
-    near, token = pseudo_likelihood.windows(words.tokens(texts))
-    learner = Recorder(pseudo_likelihood.first_weights())
-    pseudo_likelihood.learn(learner, words, [texts[:3], texts[3:5], texts[5:]], np.random.default_rng(0))
+    shape = pseudo_likelihood.Shape()
+    tokens = pseudo_likelihood.Words([b"w1", b"w2", b"w3"], shape).tokens(texts)
+    near, token = pseudo_likelihood.windows(tokens, shape.pad)
+    learner = Recorder(shape.first(np.ones(shape.tokens)))
+    pseudo_likelihood.learn(learner, tokens, np.random.default_rng(0), shape.pad)
     assert sorted(learner.seen) == sorted(map(tuple, np.column_stack([near, token])))
     assert learner.words == 16413
 
 
+def test_shards_hold_every_document_once_whatever_the_partitions(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "SHARD", 40)
+    texts = [f"a{i} b{i % 7} c" * (1 + i % 3) for i in range(900)] + ["copy of a row"] * 700 + ["", None]
+    rows = [(i if i < 900 else 7000, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    corpus = pseudo_likelihood.Corpus(pseudo_likelihood.word_counts(docs, "text"))
+    found = []
+    for n in (1, 5):
+        waves = [
+            pseudo_likelihood.shard_tokens(docs.repartition(n), corpus, wave, id="doc_id", text="text").collect()
+            for wave in pseudo_likelihood.WAVES
+        ]
+        assert sum(map(len, waves)) == len(rows) and all(waves)
+        found.append(sorted((r.shard, r.key) for wave in waves for r in wave))
+    copies = {shard for shard, key in found[0] if sum(k == key for _, k in found[0]) > 100}
+    assert len(copies) >= 700 / pseudo_likelihood.COPIES  # a very common row is dealt to several shards
+    common = [key for _, key in found[0] if sum(k == key for _, k in found[0]) > 100][0]
+    assert [x for x in found[0] if x[1] != common] == [x for x in found[1] if x[1] != common]
+
+
+def plain_scores(rows, corpus, weights):
+    """The scores of (id, text), word by word."""
+    shape, words = corpus.shape, pseudo_likelihood.Words(corpus.frequent, corpus.shape)
+    count, total, found = {}, {}, {}
+    for _, text in rows:
+        for word in (text or "").encode().lower().split():
+            count[word] = count.get(word, 0) + 1
+            total[words[word]] = total.get(words[word], 0) + 1
+    pad = [shape.pad] * pseudo_likelihood.WINDOW
+    for i, text in rows:
+        own = (text or "").encode().lower().split()
+        padded = [*pad, *(words[word] for word in own), *pad]
+        score = 0.0
+        for at, word in enumerate(own):
+            near = padded[at:at + 2] + padded[at + 3:at + 5]
+            hidden = np.tanh(weights["bias"] + sum(weights["inputs"][s][near[s]] for s in range(4)))
+            kind, place = divmod(words[word], shape.places)
+            classes = hidden @ weights["classes"] + weights["class_bias"]
+            places = hidden @ weights["places"][kind] + weights["place_bias"][kind]
+            score += classes[kind] - np.log(np.exp(classes).sum()) + places[place] - np.log(np.exp(places).sum())
+            score += np.log(count[word] / total[words[word]])
+        found[i] = (len(own), score)
+    return found
+
+
+def test_scores_of_the_query_are_plain_sums(spark):
+    """All of ``op4_score_texts``, with the network that its training gives."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    found = {r.doc_id: r for r in QUERIES["op4_score_texts"](spark, SF_DIR).collect()}
+    corpus = pseudo_likelihood.Corpus(pseudo_likelihood.word_counts(docs, "text"))
+    weights = corpus.shape.unpacked(pseudo_likelihood.train(docs, corpus))
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    for i, (n, score) in plain_scores(rows, corpus, weights).items():
+        assert found[i].n_words == n and np.isclose(found[i].log_likelihood, score, rtol=1e-4, atol=1e-3)
+        assert n == 0 and found[i].mean_log_likelihood is None or np.isclose(found[i].mean_log_likelihood * n, found[i].log_likelihood)
+
+
+@pytest.fixture(scope="module")
+def by_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    return docs, [
+        {r.doc_id: r.log_likelihood for r in pseudo_likelihood.score_texts(docs.repartition(n)).collect()}
+        for n in (1, 64)
+    ]
+
+
+def test_scores_do_not_depend_on_partitions(by_partitions):
+    _, (one, many) = by_partitions
+    assert one.keys() == many.keys() and all(np.isclose(one[i], many[i], rtol=1e-6) for i in one)
+
+
+def test_scores_beat_plain_word_counts(by_partitions):
+    docs, (scores, _) = by_partitions
+    counts = Counter(w for r in docs.select("text").collect() for w in (r.text or "").encode().lower().split())
+    words = sum(counts.values())
+    plain = sum(n * np.log(n / words) for n in counts.values()) / words
+    assert sum(scores.values()) / words > plain + 0.15
+
+
+def test_tokens_grow_with_the_distinct_words():
+    sizes = [pseudo_likelihood.Shape.of_words(n).tokens for n in (0, 10**4, 10**6, 10**8, 10**10)]
+    assert sizes == sorted(sizes) and sizes[0] == 1 << pseudo_likelihood.BITS and sizes[-1] > 4 * sizes[2]
+
+
 def test_scores_know_real_text_from_shuffled(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter(F.length("text") > 1000)
     texts = [r.text for r in docs.select("text").orderBy("doc_id").collect()]
     dice = random.Random(0)
     mixed = [" ".join(dice.sample(t.split(), len(t.split()))) for t in texts]
     both = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(-i - 1, t) for i, t in enumerate(mixed)], "doc_id long, text string")
-    frequent = pseudo_likelihood.frequent_words(docs, "text")
-    weights = pseudo_likelihood.unpacked(pseudo_likelihood.train(docs, "text", frequent, 2))
-    words = pseudo_likelihood.Words(frequent)
+    corpus = pseudo_likelihood.Corpus(pseudo_likelihood.word_counts(docs, "text"))
+    weights = corpus.shape.unpacked(pseudo_likelihood.train(docs, corpus))
+    words = pseudo_likelihood.Words(corpus.frequent, corpus.shape)
     score = {
-        r.doc_id: pseudo_likelihood.log_probabilities(weights, *pseudo_likelihood.windows(words.tokens([r.text.encode()]))).sum()
+        r.doc_id: pseudo_likelihood.log_probabilities(
+            weights, *pseudo_likelihood.windows(words.tokens([r.text.encode()]), corpus.shape.pad)
+        ).sum()
         for r in both.collect()
     }
     assert np.mean([score[i] > score[-i - 1] for i in range(len(texts))]) > 0.55
 
 
-def test_scores_tell_words_of_a_token_apart(spark):
-    """By the words' counts: with them the probabilities of all words sum to 1."""
-    often = [f"f{i}" for i in range(pseudo_likelihood.FREQUENT)]
-    classes = pseudo_likelihood.TOKENS - pseudo_likelihood.FREQUENT
-    same = [w for w in (f"r{i}" for i in range(2000)) if zlib.crc32(w.encode()) % classes == 7][:3]
+def test_scores_tell_words_of_a_token_apart(spark, monkeypatch):
+    """By the words' counts: with them the probabilities of all words sum to 1. Whether their
+    counts are known to all tasks or joined."""
+    often = [f"f{i}" for i in range(pseudo_likelihood.Shape().frequent)]
+    same = ["one-tail", "two-tail", "three-tail"]
     texts = [" ".join(often)] * 8 + [f"f1 f2 {w} f3 f4" for w, n in zip(same, (6, 2, 1)) for _ in range(n)] + ["", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    rows = {r.doc_id: r for r in pseudo_likelihood.score_texts(docs).collect()}
-    assert [rows[i].n_words for i in range(len(texts))] == [len((t or "").split()) for t in texts]
-    first, second, third = (rows[i].log_likelihood for i in (8, 14, 16))
-    assert np.isclose(first - second, np.log(3)) and np.isclose(second - third, np.log(2))
-    assert np.isclose(rows[8].mean_log_likelihood * 5, first) and np.isclose(first, rows[9].log_likelihood)
+    for near in (0, 16, 100):
+        monkeypatch.setattr(pseudo_likelihood, "NEAR", near)
+        rows = {r.doc_id: r for r in pseudo_likelihood.score_texts(docs).collect()}
+        assert [rows[i].n_words for i in range(len(texts))] == [len((t or "").split()) for t in texts]
+        first, second, third = (rows[i].log_likelihood for i in (8, 14, 16))
+        assert np.isclose(first - second, np.log(3)) and np.isclose(second - third, np.log(2))
+        assert np.isclose(rows[8].mean_log_likelihood * 5, first) and np.isclose(first, rows[9].log_likelihood)
 
     counts = pseudo_likelihood.word_counts(docs, "text")
-    frequent = pseudo_likelihood.frequent_words(docs, "text", counts)
-    shares, alone = pseudo_likelihood.word_shares(counts, frequent)
-    assert alone == {w.encode() for w in often}
-    assert {bytes(r.word).decode(): round(np.exp(r.share) * 9) for r in shares.collect() if r.share < 0} == dict(zip(same, (6, 2, 1)))
+    corpus = pseudo_likelihood.Corpus(counts)
+    assert sorted(corpus.frequent) == sorted(w.encode() for w in often)
+    shares = {bytes(r.word).decode(): round(np.exp(r.share) * 9) for r in corpus.shares(counts).collect() if r.share < 0}
+    assert shares == dict(zip(same, (6, 2, 1)))
 
 
 @pytest.mark.parametrize("held", [50, 10_000])
