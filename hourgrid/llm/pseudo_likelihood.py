@@ -36,9 +36,9 @@ BITS = 10
 #: Words seen on either side; numbers of a word's vector.
 WINDOW, WIDTH = 2, 16
 #: Of AdaGrad: the length of a first step, and the squares it starts from.
-RATE, SQUARES = 0.1, 1e-8
+RATE, SQUARES = 0.15, 1e-8
 #: Words in a step of learning, of a shard, and scored at once.
-STEP, SHARD, AT_ONCE = 4_096, 1 << 18, 16_384
+STEP, SHARD, AT_ONCE = 8_192, 1 << 18, 16_384
 #: Of every sixteen shards, those of each wave.
 WAVES = (range(0, 1), range(1, 4), range(4, 16))
 #: Copies of a row, of those a task reads, that stay in one shard.
@@ -46,9 +46,9 @@ COPIES = 64
 #: The most frequent words whose counts all tasks know: so many times the root of the number
 #: of distinct words.
 NEAR = 16
-#: Distinct words that a task counts before it hands on their counts, and remembers the
-#: tokens of; texts taken at once.
-DISTINCT, TEXTS = 500_000, 256
+#: Distinct words that a task counts before it hands on their counts, and those whose tokens
+#: it remembers; texts taken at once.
+DISTINCT, REMEMBERED, TEXTS = 400_000, 200_000, 256
 #: Numbers of the network that are added up in one piece.
 PIECE = 1 << 14
 SEED = 3
@@ -76,7 +76,7 @@ class Shape:
     @staticmethod
     def of_words(distinct: int) -> Shape:
         """Tokens grow as the fourth root of the distinct words."""
-        return Shape(max(BITS, round(5 + np.log2(max(1, distinct)) / 4)))
+        return Shape(max(BITS, round(4.5 + np.log2(max(1, distinct)) / 4)))
 
     def first(self, counts: np.ndarray) -> Weights:
         """Weights that predict each token by its count, whatever stands beside it."""
@@ -103,27 +103,48 @@ class Shape:
 
 
 class Words(dict):
-    """Tokens of words, which are runs of anything but ASCII white space, A-Z lower-cased:
-    the place of a frequent word among these, a hash of the last three bytes of another.
-    What was asked for is remembered, up to ``DISTINCT`` words."""
+    """Codes of words, which are runs of anything but ASCII white space, A-Z lower-cased.
 
-    def __init__(self, frequent: list[bytes], shape: Shape):
+    The words whose counts are known here come first, in their order; the first of these
+    have the tokens 0, 1, 2 and so on. Any other word shares a token with those whose last
+    three bytes have the same hash. What was asked for is remembered, up to
+    ``REMEMBERED`` words.
+    """
+
+    def __init__(self, near: list[bytes], shape: Shape):
         super().__init__()
-        self.frequent = frequent
+        self.near = near
         self.first, self.rest = shape.frequent, shape.tokens - shape.frequent
-        self.update(zip(frequent, range(len(frequent))))
+        own = min(len(near), shape.frequent)
+        #: The token of each code.
+        self.token = np.concatenate([
+            np.arange(own, dtype=np.int32),
+            np.array([self._shared(word) for word in near[own:]], dtype=np.int32),
+            np.arange(shape.tokens, dtype=np.int32),
+        ])
+        self._start()
+
+    def _start(self) -> None:
+        self.clear()
+        self.update(zip(self.near, range(len(self.near))))
+
+    def _shared(self, word: bytes) -> int:
+        return self.first + zlib.crc32(word[-3:]) % self.rest
 
     def __missing__(self, word: bytes) -> int:
-        token = self[word] = self.first + zlib.crc32(word[-3:]) % self.rest
-        return token
+        code = self[word] = len(self.near) + self._shared(word)
+        return code
+
+    def codes(self, words: Iterable[bytes], count: int) -> np.ndarray:
+        """Of so many words, lower-cased."""
+        codes = np.fromiter(map(self.__getitem__, words), dtype=np.int32, count=count)
+        if len(self) > REMEMBERED + len(self.near):
+            self._start()
+        return codes
 
     def of(self, words: Iterable[bytes], count: int) -> np.ndarray:
         """The tokens of so many words, lower-cased."""
-        tokens = np.fromiter(map(self.__getitem__, words), dtype=np.int32, count=count)
-        if len(self) > DISTINCT:
-            self.clear()
-            self.update(zip(self.frequent, range(len(self.frequent))))
-        return tokens
+        return self.token[self.codes(words, count)]
 
     def of_texts(self, split: list[list[bytes]]) -> list[np.ndarray]:
         ends = np.cumsum([len(words) for words in split])
@@ -142,10 +163,17 @@ def windows(texts: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([row[centre + s] for s in sides], axis=1), row[centre]
 
 
+def small(numbers: np.ndarray) -> np.dtype:
+    """A type of few bytes, whose stable sort is by these."""
+    return np.dtype(np.uint16 if not len(numbers) or numbers.max() < 1 << 16 else np.int32)
+
+
 def softmax(scores: np.ndarray) -> np.ndarray:
-    scores = scores - scores.max(axis=1, keepdims=True)
+    """Of each row, in place. Scores are logarithms of shares plus a few, far from the bound
+    that keeps their exponentials within the type."""
+    np.clip(scores, -80, 80, out=scores)
     np.exp(scores, out=scores)
-    scores /= scores.sum(axis=1, keepdims=True)
+    scores /= (scores @ np.ones(scores.shape[1], dtype=scores.dtype))[:, None]
     return scores
 
 
@@ -163,7 +191,7 @@ def log_probabilities(weights: Weights, near: np.ndarray, token: np.ndarray) ->
     for at in range(0, len(token), AT_ONCE):
         some = slice(at, at + AT_ONCE)
         hidden = _hidden(weights, near[some])
-        kind, place = np.divmod(token[some], places)
+        kind, place = np.divmod(token[some].astype(small(token)), small(token).type(places))
         rows = np.arange(len(kind))
         log = np.log(softmax(hidden @ weights["classes"] + weights["class_bias"])[rows, kind] + 1e-30)
         order = np.argsort(kind, kind="stable")
@@ -190,7 +218,7 @@ class Learner:
         w = self.weights
         classes, places = w["place_bias"].shape
         # by class, so that the words of each are a slice
-        kind, place = np.divmod(token, places)
+        kind, place = np.divmod(token.astype(small(token)), small(token).type(places))
         order = np.argsort(kind, kind="stable")
         near, kind, place = near[order], kind[order], place[order]
         hidden = _hidden(w, near)
@@ -218,10 +246,10 @@ class Learner:
         for name, value in slope.items():
             self._move(w[name], self.squares[name], ..., value / len(token))
         for side in range(near.shape[1]):
-            beside = near[:, side]
+            beside = near[:, side].astype(small(near))
             order = np.argsort(beside, kind="stable")
             beside = beside[order]
-            first = np.nonzero(np.diff(beside, prepend=-1))[0]
+            first = np.concatenate([[0], np.nonzero(beside[1:] != beside[:-1])[0] + 1])
             value = np.add.reduceat(back[order], first, axis=0) / len(token)
             self._move(w["inputs"][side], self.squares["inputs"][side], beside[first], value)
         self.words += len(token)
@@ -287,8 +315,10 @@ class Corpus:
     def __init__(self, counts: DataFrame):
         size = counts.agg(F.count("*").alias("distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias("words")).first()
         self.words, self.shape = size.words, Shape.of_words(size.distinct)
-        most = counts.orderBy(F.desc("n"), "word").limit(max(self.shape.frequent, int(NEAR * size.distinct**0.5)))
-        self.near = {bytes(row.word): row.n for row in most.collect()}
+        self.near = self._most(counts, int(NEAR * size.distinct**0.5))
+        if len(self.near) < self.shape.frequent:
+            most = counts.orderBy(F.desc("n"), "word").limit(self.shape.frequent)
+            self.near = {bytes(row.word): row.n for row in most.collect()}
         self.frequent = list(self.near)[:self.shape.frequent]
         frequent, shape = self.frequent, self.shape
 
@@ -305,6 +335,23 @@ class Corpus:
         for row in sums.collect():
             self.totals[row.token] = row.total
 
+    @staticmethod
+    def _most(counts: DataFrame, most: int) -> dict[bytes, int]:
+        """The most frequent words, as many as ``most`` allows without parting words of about
+        the same count. Words are counted by count first, so that only these are sent."""
+        level = F.floor(F.log2("n") * 16)
+        levels = counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
+        upto, least = 0, None
+        for row in levels:
+            upto += row["count"]
+            if upto > most:
+                break
+            least = row.level
+        if least is None:
+            return {}
+        rows = counts.filter(level >= least).collect()
+        return {bytes(row.word): row.n for row in sorted(rows, key=lambda row: (-row.n, bytes(row.word)))}
+
     def shares(self, counts: DataFrame) -> DataFrame:
         """``word, share``: the logarithm of each word's part of all the words of its token."""
         frequent, shape, totals = self.frequent, self.shape, self.totals
@@ -318,16 +365,12 @@ class Corpus:
 
         return counts.mapInArrow(share, "word binary, share double")
 
-    def near_shares(self) -> Shares:
-        words = Words(self.frequent, self.shape)
-        return Shares({word: np.log(n / self.totals[words[word]]) for word, n in self.near.items()})
-
-
-class Shares(dict):
-    """Logarithms of the shares of the most frequent words; not a number for the others."""
-
-    def __missing__(self, word: bytes) -> float:
-        return np.nan
+    def near_shares(self, words: Words) -> np.ndarray:
+        """The shares of the codes of words: not a number where several words have the code."""
+        known = np.array(list(self.near.values()), dtype=float)
+        shares = np.full(len(words.token), np.nan)
+        shares[:len(known)] = np.log(known / self.totals[words.token[:len(known)]])
+        return shares
 
 
 def shard_tokens(docs: DataFrame, corpus: Corpus, wave: range, *, id: str, text: str) -> DataFrame:
@@ -436,9 +479,11 @@ def score_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> D
     """
     counts = stored(word_counts(docs, text))
     corpus = Corpus(counts)
-    frequent, shape = corpus.frequent, corpus.shape
+    shape = corpus.shape
+    near_words = list(corpus.near)
+    near_shares = corpus.near_shares(Words(near_words, shape))
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast((train(docs, corpus, id=id, text=text), corpus.near_shares()))
+    shared = context.broadcast((train(docs, corpus, id=id, text=text), near_words, near_shares))
     rows = docs.select(
         F.monotonically_increasing_id().alias("key"), F.col(id).alias("id"), F.col(text).cast("string").alias("text")
     )
@@ -447,26 +492,27 @@ def score_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> D
         """A row for each text with the score of its tokens and of the frequent words in
         them, and one for each of its other words. The first have no word; a space and the
         key, which no word is, deals them out evenly."""
-        numbers, near_shares = shared.value
-        words, weights = Words(frequent, shape), shape.unpacked(numbers)
+        numbers, near_words, near_shares = shared.value
+        words, weights = Words(near_words, shape), shape.unpacked(numbers)
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
             for at in range(0, batch.num_rows, TEXTS):
                 split = [(t or b"").lower().split() for t in texts.slice(at, TEXTS).to_pylist()]
-                tokens = words.of_texts(split)
-                near, token = windows(tokens, shape.pad)
-                ends = np.cumsum([0, *map(len, tokens)])
+                ends = np.cumsum([0, *map(len, split)])
+                codes = words.codes(chain.from_iterable(split), int(ends[-1]))
+                near, token = windows(np.split(words.token[codes], ends[1:-1]), shape.pad)
+                shares = near_shares[codes]
+                rare = np.isnan(shares)
+                shares[rare] = 0
                 sums = np.concatenate([[0.0], np.cumsum(log_probabilities(weights, near, token))])
                 key, ids = batch.column("key").slice(at, TEXTS), batch.column("id").slice(at, TEXTS)
                 word, times, sizes, known = [b" %d" % k for k in key.to_pylist()], [], [], []
-                for own in split:
-                    shares = np.fromiter(map(near_shares.__getitem__, own), dtype=float, count=len(own))
-                    rare = np.isnan(shares)
-                    found = Counter(map(own.__getitem__, np.nonzero(rare)[0].tolist()))
+                for own, start, end in zip(split, ends, ends[1:]):
+                    found = Counter(map(own.__getitem__, np.nonzero(rare[start:end])[0].tolist()))
                     word += found
                     times += found.values()
                     sizes.append(len(found))
-                    known.append((len(own) - int(rare.sum()), shares[~rare].sum()))
+                    known.append((end - start - int(rare[start:end].sum()), shares[start:end].sum()))
                 pairs = len(times)
                 rest, score = (np.array(each) for each in zip(*known))
                 yield pa.RecordBatch.from_arrays(

@@ -260,6 +260,7 @@ def plain_scores(rows, corpus, weights):
     """The scores of (id, text), word by word."""
     shape, words = corpus.shape, pseudo_likelihood.Words(corpus.frequent, corpus.shape)
     count, total, found = {}, {}, {}
+    words = {w: int(words.token[words[w]]) for _, t in rows for w in (t or '').encode().lower().split()}
     for _, text in rows:
         for word in (text or "").encode().lower().split():
             count[word] = count.get(word, 0) + 1
