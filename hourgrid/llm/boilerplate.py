@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import apart, stored
 
 #: Registers of a sketch, as a power of two; its standard error is about 1.6 %.
 SKETCH_BITS = 12
@@ -80,26 +80,27 @@ def dedup_lines(
     its row stays. An empty table gives no rows.
     """
     shared = boilerplate_lines(docs, id=id, text=text, site=site, min_sites=min_sites)
+    of, body, turns = apart(docs.columns, "of", "body", "turns")
     salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
     removed = (
         _lines(docs, id, text, site)
         .withColumn("salt", F.pmod(F.xxhash64("id", "body", "turn"), F.lit(SALTS)).cast("int"))
         .join(shared.select("line", "first", F.explode(salts).alias("salt")), ["line", "salt"])
         .filter(_order() > F.col("first"))
-        .groupBy(F.col("id").alias("__id"), F.col("body").alias("__body"))
-        .agg(F.collect_set("turn").alias("__turns"))
+        .groupBy(F.col("id").alias(of), F.col("body").alias(body))
+        .agg(F.collect_set("turn").alias(turns))
     )
     lines = F.split(text, "\n", -1)
-    gone = F.map_from_arrays("__turns", F.transform("__turns", lambda _: F.lit(True)))
+    gone = F.map_from_arrays(turns, F.transform(turns, lambda _: F.lit(True)))
     rows = docs.join(
-        removed, F.col(id).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__body")), "left"
+        removed, F.col(id).eqNullSafe(F.col(of)) & (F.xxhash64(text) == F.col(body)), "left"
     )
     left = F.array_join(F.filter(lines, lambda _, turn: F.element_at(gone, turn).isNull()), "\n")
     return rows.select(
         *[
-            F.when(F.col("__turns").isNull(), F.col(text)).otherwise(left).alias(text) if c == text else F.col(c)
+            F.when(F.col(turns).isNull(), F.col(text)).otherwise(left).alias(text) if c == text else F.col(c)
             for c in docs.columns if c not in ("n_lines", "n_removed")
         ],
         F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.when(F.col("__turns").isNull(), 0).otherwise(F.size("__turns")).cast("long").alias("n_removed"),
+        F.when(F.col(turns).isNull(), 0).otherwise(F.size(turns)).cast("long").alias("n_removed"),
     )

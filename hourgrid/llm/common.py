@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
-from collections.abc import Callable, Iterator
+import zipfile
+from pathlib import Path
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,19 +16,59 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Applications whose Python workers have been sent this package.
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session, once, unless it is on the path
+    they get from the environment. Its dependencies must be installed where they run."""
+    root = Path(__file__).resolve().parents[2]
+    on_path = [Path(each).resolve() for each in os.environ.get("PYTHONPATH", "").split(os.pathsep) if each]
+    context = spark.sparkContext
+    if root in on_path or context.applicationId in _SHIPPED:
+        return
+    folder = Path(tempfile.mkdtemp(prefix="hourgrid-"))  # the driver's own: Spark sends the file from here
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(folder / "hourgrid.zip", "w") as package:
+        for file in sorted(root.glob("hourgrid/**/*.py")):
+            package.write(file, file.relative_to(root))
+    context.addPyFile(str(folder / "hourgrid.zip"))
+    _SHIPPED.add(context.applicationId)
+
+
+def gone_at_exit(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of this application when the session's JVM ends."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def shared_folder(spark: SparkSession) -> None:
     """See that checkpoints go to the folder named in ``spark.checkpoint.dir``. A local
-    session that names none gets a temporary one; a cluster must name one."""
+    session that names none gets a temporary one; a cluster must name one. Spark makes a
+    folder of this application in it, which goes when the application ends."""
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="hourgrid-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    context.setCheckpointDir(folder)
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="hourgrid-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
+    gone_at_exit(spark, context.getCheckpointDir())
+
+
+def apart(columns: list[str], *names: str) -> list[str]:
+    """The names, changed where needed so that no column has one of them."""
+    taken = {name.lower() for name in columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"{name}_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -36,12 +77,6 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def arrow_map(
-    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    return df.mapInArrow(work, schema)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """Connected components by alternating stars.
 

@@ -183,15 +183,13 @@ def fit(rows: DataFrame, vocabulary: str) -> tuple[list[str], np.ndarray]:
     Fitted on about ``FIT_TEXTS`` texts per language. The driver holds one number per piece
     and language.
     """
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    langs = sorted(sizes)
+    sizes = stored(rows.groupBy("lang").agg(F.count("*").alias("n")))
+    langs = sorted(r.lang for r in sizes.select("lang").collect())
     if not langs:
         return [], np.zeros((0, 0))
-    share = F.lit(0.0)
-    for lang in langs:
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, FIT_TEXTS / sizes[lang]))).otherwise(share)
     place = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    words = stored(_word_counts(rows.filter(place < share)))
+    share = F.lit(float(FIT_TEXTS)) / F.col("n")
+    words = stored(_word_counts(rows.join(sizes, "lang").filter(place < share)))
     pieces = pieces_at(vocabulary)
     chances = np.full((len(pieces.pieces) + 1, len(langs)), 1.0 / len(pieces.pieces))
     for _ in range(ROUNDS):

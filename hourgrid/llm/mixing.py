@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, stored
+from .common import WORD, apart, stored
 
 #: Hexadecimal digits of the key that name its range: 4,096 ranges per source.
 RANGE_DIGITS = 3
@@ -148,23 +148,24 @@ def mixed_documents(
     )
     if cuts.count() <= BROADCAST_SOURCES:
         cuts = F.broadcast(cuts)
+    src, rounds, last, words_left, take = apart(docs.columns, "src", "rounds", "last", "words_left", "take")
     plan = cuts.select(
-        F.col("src").alias("__src"), F.col("rounds").alias("__rounds"),
-        F.col("cut.key").alias("__cut"), (F.col("rest") - F.col("cut.before")).alias("__words"),
+        F.col("src").alias(src), F.col("rounds").alias(rounds),
+        F.col("cut.key").alias(last), (F.col("rest") - F.col("cut.before")).alias(words_left),
     )
     here = _key(id, text, seed)
-    full = F.col("__rounds") + F.when(F.col("__cut").isNull() | (here < F.col("__cut")), 1).otherwise(0)
-    part = F.when((here == F.col("__cut")) & (F.col("__words") > 0), F.col("__words"))
+    full = F.col(rounds) + F.when(F.col(last).isNull() | (here < F.col(last)), 1).otherwise(0)
+    part = F.when((here == F.col(last)) & (F.col(words_left) > 0), F.col(words_left))
     copies = F.concat(
         F.array_repeat(F.lit(-1).cast("long"), full.cast("int")),
         F.when(part.isNotNull(), F.array(part)).otherwise(F.array().cast("array<bigint>")),
     )
-    rows = docs.withColumn("__src", _source(source)).join(plan, "__src").withColumn("__take", F.explode(copies))
-    words = F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, F.col("__take").cast("int"))
-    gaps = F.slice(F.split(text, WORD, -1), 1, F.col("__take").cast("int"))
+    rows = docs.withColumn(src, _source(source)).join(plan, src).withColumn(take, F.explode(copies))
+    words = F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, F.col(take).cast("int"))
+    gaps = F.slice(F.split(text, WORD, -1), 1, F.col(take).cast("int"))
     length = F.lit(0)
     for pieces in (words, gaps):
         length = length + F.aggregate(pieces, F.lit(0), lambda total, piece: total + F.length(piece))
     first_words = F.substring(F.col(text), F.lit(1), length)
-    new_text = F.when(F.col("__take") >= 0, first_words).otherwise(F.col(text))
+    new_text = F.when(F.col(take) >= 0, first_words).otherwise(F.col(text))
     return rows.withColumn(text, new_text).select(*docs.columns)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .alignment import link_digests
 from .boilerplate import dedup_lines
 from .byte_pairs import byte_pair_digests
+from .common import ship
 from .embedding_pairs import link_vectors
 from .filter_audit import audit_filters
 from .language import identify_language
@@ -27,6 +28,7 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stored
+from .common import apart, components, stored
 
 #: Fingerprints in the sample that the tree is built from, at most (512 KB).
 SAMPLE = 65_536
@@ -298,8 +298,9 @@ def dedup_simhash(
     """``docs`` with one document of each component: that of the smallest id. Rows that
     repeat its id and text stay once."""
     rows, classes = _classes(docs, id, text, shingle, most)
-    keep = classes.select(F.col("least.id").alias("__id"), F.col("least.body").alias("__body")).distinct()
-    kept = docs.withColumn("__of", F.xxhash64(text)).join(
-        keep, F.col(id).eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__body"))
+    of, least, body = apart(docs.columns, "of", "least", "body")
+    keep = classes.select(F.col("least.id").alias(least), F.col("least.body").alias(body)).distinct()
+    kept = docs.withColumn(of, F.xxhash64(text)).join(
+        keep, F.col(id).eqNullSafe(F.col(least)) & (F.col(of) == F.col(body))
     )
-    return kept.dropDuplicates(["__id", "__body"]).select(*docs.columns)
+    return kept.dropDuplicates([least, body]).select(*docs.columns)

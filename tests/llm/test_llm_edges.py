@@ -2,9 +2,10 @@
 
 import hashlib
 import math
+import os
 import re
+import subprocess
 import sys
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 
 import corpus_pipeline  # noqa: E402
 from hourgrid.llm import (  # noqa: E402
-    boilerplate, embedding_pairs, language, mixing, neighbours, packing, pseudo_likelihood, repeats, secrets, simhash,
+    boilerplate, common, embedding_pairs, language, mixing, neighbours, packing, pseudo_likelihood, repeats, secrets, simhash,
 )
 from hourgrid.llm.queries import PIECES, WORDS  # noqa: E402
 
@@ -46,6 +47,92 @@ def docs(spark):
     return spark.createDataFrame([(*row, None, *extra) for row in ROWS], SCHEMA).repartition(3).cache()
 
 
+#: Names that operators use for columns of their own.
+INTERNAL = [
+    "of", "body", "turns", "least", "src", "rounds", "last", "words_left", "take", "key", "id", "fp", "line", "salt",
+    "first", "__id", "__body", "__turns", "__of", "__src", "__rounds", "__cut", "__words", "__take", "Body", "OF_",
+    "sites", "node", "root", "size", "cut", "target", "before", "shard", "block", "digest", "mask", "n", "site", "turn",
+]
+
+
+@pytest.fixture(scope="module")
+def clashing(docs):
+    """Every name as a column, but where another differs from it in case only."""
+    named = {}
+    for name in INTERNAL:
+        named.setdefault(name.lower(), name)
+    base = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    return base.withColumns({name: F.concat(F.lit(f"{name} of "), F.col("doc_id").cast("string")) for name in named.values()})
+
+
+@pytest.mark.parametrize("name", ["mixed", "dedup", "lines", "language"])
+def test_columns_with_the_names_of_internal_ones_come_through(docs, clashing, name):
+    base = OPERATORS[name](docs.select("doc_id", "text", "lang", "source", "n_chars"))
+    wide = OPERATORS[name](clashing)
+    assert set(clashing.columns) <= set(wide.columns) and len(wide.columns) == len(set(wide.columns))
+    rows = wide.collect()
+    assert sorted(str(tuple(r[c] for c in base.columns)) for r in rows) == sorted(str(tuple(r)) for r in base.collect())
+    for r in rows:
+        for column in clashing.columns[5:]:
+            assert r[column] == (None if r.doc_id is None else f"{column} of {r.doc_id}")
+
+
+@pytest.mark.parametrize("name", ["mix", "secrets", "score", "simhash", "pack", "repeats"])
+def test_columns_with_the_names_of_internal_ones_do_not_matter(docs, clashing, name):
+    base = OPERATORS[name](docs.select("doc_id", "text", "lang", "source", "n_chars"))
+    wide = OPERATORS[name](clashing)
+    assert wide.columns == base.columns and wide.count() == base.count()
+
+
+def test_many_languages(spark):
+    """More than a chain of conditions in one plan could hold."""
+    rows = [(i, f"wort{i % 1200} und", f"l{i % 1200:04}") for i in range(2400)]
+    docs = spark.createDataFrame(rows, "id long, text string, lang string")
+    langs, chances = language.fit(docs, PIECES)
+    assert len(langs) == 1200 == chances.shape[1] and langs == sorted(langs)
+
+
+def test_names_apart():
+    assert common.apart(["of", "Body", "body_"], "of", "body", "turns", "turns") == ["of_", "body__", "turns", "turns_"]
+
+
+def test_the_package_reaches_workers_that_do_not_have_it(tmp_path):
+    """A session started in another folder, which only the driver's own path leads from."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config(
+    "spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate()
+import __spark_entry__
+print("rows", __spark_entry__.queries()["op13_align_tokens"](spark, "/root/testdata/sf0.001").count())
+spark.stop()
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 200" in done.stdout, done.stderr[-2000:]
+    assert not [f for _, _, files in os.walk(tmp_path / "shared") for f in files]  # gone with the session
+
+
+@pytest.mark.parametrize("blocked", ["xxhash", "public_tokenizers", "hourgrid.llm", "corpus_pipeline"])
+def test_other_queries_without_what_this_package_needs(blocked):
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import sys
+class Block:
+    def find_spec(self, name, path=None, target=None):
+        if name == {blocked!r}:
+            raise ModuleNotFoundError(f"No module named {{name!r}}", name=name)
+sys.meta_path.insert(0, Block())
+sys.path.insert(0, {root!r})
+import __spark_entry__ as entry
+assert entry.queries().keys() == entry.hourly_queries().keys() == entry.oracle_sql().keys() and len(entry.queries()) >= 21
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=100)
+    assert done.returncode == 0 and blocked in done.stderr, done.stderr
+
+
 @pytest.fixture(scope="module")
 def none(spark):
     return spark.createDataFrame([], SCHEMA)
