@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.llm.boilerplate import dedup_lines
-from hourgrid.llm.common import shared_folder
+from hourgrid.llm.common import gone_at_exit, shared_folder, ship
 from hourgrid.llm.language import UNDETERMINED, identify_language
 from hourgrid.llm.mixing import mixed_documents
 from hourgrid.llm.packing import pack_documents
@@ -62,9 +62,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each but the last is stored in the shared folder."""
+    """All stages over ``documents``; each but the last is stored in the shared folder, until
+    the session ends."""
+    ship(spark)
     shared_folder(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    gone_at_exit(spark, folder)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
