@@ -54,8 +54,8 @@ def boilerplate_lines(
     spread = stored(spread)
     near = spread.filter(F.col("sites") <= min_sites + margin)
     exact = (
-        _lines(docs, id, text, site).select("line", "site").distinct()
-        .join(near.select("line"), "line", "left_semi")
+        _lines(docs, id, text, site).select("line", "site")
+        .join(near.select("line"), "line", "left_semi").distinct()
         .groupBy("line").agg(F.count("*").alias("exact"))
     )
     return (

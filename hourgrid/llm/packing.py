@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -20,12 +19,13 @@ from .common import stored
 #: Pieces that are packed together, about. The last, emptier sequences of a shard are a
 #: handful among thousands.
 SHARD = 20_000
-#: Share of a shard's pieces, the shortest, that close its sequences.
-CLOSING = 0.25
+#: Pieces shorter than this part of a sequence are placed last, in no order of length.
+SHORT = 8
 #: Words whose tokens a Python worker remembers, from one task to the next: about 300 MB.
 REMEMBERED = 1_500_000
-#: Accents that follow their letter (U+0300 to U+036F) and the beginning of a special token.
-ODD = re.compile(rb"[\xcc\xcd]|<\|")
+#: First bytes of the accents that follow their letter (U+0300 to U+036F) and the beginning of
+#: a special token.
+ODD = (b"\xcc", b"\xcd", b"<|")
 #: A word that ends in one of these after an ASCII letter has the ids of the two in a row.
 MARKS = b".,;:!?"
 #: Texts tokenised at once.
@@ -61,7 +61,9 @@ class WordTokens:
         return [array("I", encoding.ids).tobytes() for encoding in found]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        split = [(text if ODD.search(text) else text.lower()).split() for text in texts]
+        split = [
+            (text if any(map(text.__contains__, ODD)) else text.lower()).split() for text in texts
+        ]
         words = list(set().union(*split))
         here = dict(zip(words, map(self.known.get, words)))  # small, so fast to look up in
         plain, marked = [], []
@@ -126,17 +128,21 @@ def token_pieces(docs: DataFrame, *, vocabulary: str, capacity: int, id: str, te
     return rows.mapInArrow(work, schema)
 
 
-def sum_of_squares(
-    lengths: np.ndarray, capacity: int, closing: float = 0.0
-) -> tuple[np.ndarray, np.ndarray]:
+def placing_order(lengths: np.ndarray, capacity: int, seed: int) -> np.ndarray:
+    """The order in which a shard's pieces are placed: from the longest to the shortest, then
+    the short ones shuffled. Those of many sizes fill gaps of many sizes to the end, where
+    sorted ones would leave the gaps that only their longer ones fit."""
+    mixed = np.random.default_rng(seed).permutation(len(lengths))
+    length = lengths[mixed]
+    return mixed[np.argsort(np.where(length * SHORT >= capacity, -length, 0), kind="stable")]
+
+
+def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of each length, placed in the order given.
 
     With n(g) open bins of gap g, a length goes where the sum of n(g) squared becomes
     smallest: into a bin of gap g, or a new one; gap 0 is closed and counts nothing. Among
     equals the smallest gap is taken, and of its bins the one that got it last.
-
-    Gaps of many sizes are kept for lengths to come. For the last share ``closing`` of them
-    hardly any come, so these go to the smallest gap that holds them.
     """
     bins = np.empty(len(lengths), dtype=np.int64)
     offsets = np.empty(len(lengths), dtype=np.int64)
@@ -144,14 +150,11 @@ def sum_of_squares(
     n = np.zeros(capacity + 1, dtype=np.int64)
     gaps = np.arange(capacity + 1)
     made, never = 0, np.iinfo(np.int64).max
-    first_closing = len(lengths) - int(closing * len(lengths))
     for i, length in enumerate(lengths.tolist()):
         # change of the sum: -2 n(g) + 1 at the gap that goes, 2 n(g') + 1 at the one that comes
         left = 2 * n[: capacity + 1 - length] + 1
         left[0] = 0
         change = np.where(n[length:] > 0, left - 2 * n[length:] + 1, never)
-        if i >= first_closing:
-            change[change < never] = -1
         best = int(change.argmin())
         new = 0 if length == capacity else int(2 * n[capacity - length] + 1)
         if n[length + best] > 0 and change[best] <= new:
@@ -179,8 +182,7 @@ def pack_documents(
     ``start`` and ``length`` in the document, ``ids_crc32``, ``sequence_id``, ``offset``.
 
     Pieces are dealt into shards of about ``SHARD`` in turn, whatever their ids, and packed
-    there from the longest to the shortest by the sum of squares (`sum_of_squares`), the
-    shortest quarter by best fit.
+    there in `placing_order` by the sum of squares (`sum_of_squares`).
 
     A null text is an empty one: id 0 alone. Null ids and repeated rows are documents of
     their own. An empty table gives no rows.
@@ -190,8 +192,9 @@ def pack_documents(
     schema = f"{pieces.schema.simpleString().removeprefix('struct<').removesuffix('>').replace(':', ' ')}, shard bigint"
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "turn"], ascending=[False, True])
-        bins, offsets = sum_of_squares(rows["length"].to_numpy(), capacity, CLOSING)
+        rows = rows.sort_values("turn")
+        rows = rows.iloc[placing_order(rows["length"].to_numpy(), capacity, int(rows["shard"].iloc[0]))]
+        bins, offsets = sum_of_squares(rows["length"].to_numpy(), capacity)
         return rows.drop(columns="turn").assign(sequence_id=(rows["shard"].to_numpy() << 32) + bins, offset=offsets)
 
     # the stored rows keep their partitions and order, so numbers by place stay the same

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: The patterns asked for, by kind in order. The value of a match is the group
 #: named here; a value shorter than the length given is no match.
 BASE_KINDS = {
@@ -108,24 +110,24 @@ def scan_secrets(
         x for number, (_, _, length) in enumerate(BASE_KINDS.values()) for x in (F.lit(number), F.lit(length))
     ])
     token = len(BASE_KINDS)
-    spans = (
+    valid = F.when(
+        F.col("kind") == token, F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]")
+    ).otherwise(F.length("value") >= least[F.col("kind")])
+    # texts are matched once; what is written is the places of matches and digests of values
+    found = stored(
         _pieces(docs, id, text, repo, owner)
-        .dropDuplicates([*at, "repo", "owner", "kind", "turn"])
+        .withColumns({"valid": valid, "digest": F.sha2("value", 256)}).drop("value")
     )
+    spans = found.dropDuplicates([*at, "repo", "owner", "kind", "turn"])
     located = (
         spans.dropDuplicates([*at, "kind", "turn"])
         .withColumn("end", F.sum(F.col("gap") + F.col("long")).over(run))
         .withColumn("start", F.col("end") - F.col("long"))
     )
-    valid = F.when(
-        F.col("kind") == token, F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]")
-    ).otherwise(F.length("value") >= least[F.col("kind")])
-    digest = F.sha2("value", 256)
-    counts = _counts(spans.filter(valid).select(digest.alias("digest"), "repo", "owner"))
+    counts = _counts(spans.filter("valid").select("digest", "repo", "owner"))
     salted = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     judged = (
-        located.filter(valid)
-        .withColumn("digest", digest)
+        located.filter("valid")
         .withColumn("salt", F.pmod(F.xxhash64("id", "body"), F.lit(SALTS)).cast("int"))
         .join(salted, ["digest", "salt"])
         .withColumn("live", (F.col("repos") <= max_repos) & (F.col("owners") <= max_owners))

@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+import re
 import sys
 import zlib
 from collections import Counter
@@ -11,6 +12,7 @@ from functools import cache
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -26,7 +28,8 @@ SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 @pytest.mark.parametrize("name", ORACLES)
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    for table in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
     expected = sorted(con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLES[name]})").fetchall())
@@ -187,11 +190,63 @@ def test_sum_of_squares_places_where_the_sum_is_least():
         options = {b: total(b) for b in [*[b for b, g in gaps.items() if g >= length], max(gaps, default=-1) + 1]}
         assert options[chosen] == min(options.values()) and offset == 20 - gaps.get(chosen, 20)
         gaps[chosen] = gaps.get(chosen, 20) - length
-    # from the longest to the shortest, as the operator places them
+    # from the longest to the shortest
     short = np.sort([dice.randint(1, 12) for _ in range(300)])[::-1]
     assert packing.sum_of_squares(short, 20)[0].max() + 1 <= 1.03 * short.sum() / 20 + 1
 
 
+def test_placing_order():
+    lengths = np.array([dice for dice in range(1, 101)] * 3)
+    order = packing.placing_order(lengths, 100, 5)
+    assert sorted(order.tolist()) == list(range(300)) and order.tolist() == packing.placing_order(lengths, 100, 5).tolist()
+    placed = lengths[order]
+    long = placed[placed * packing.SHORT >= 100]
+    assert placed[:len(long)].tolist() == sorted(long, reverse=True)
+    assert placed[len(long):].tolist() != sorted(placed[len(long):], reverse=True)
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_pack_query_against_whole_texts(spark, folder):
+    """Every row of ``op9_pack_documents`` made again from the tokenizer; sequences without
+    gaps, and hardly more of them than all tokens need."""
+    path = f"/root/testdata/{folder}"
+    expected = {}
+    for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect():
+        ids = np.array([*packing.tokenizer_at(WORDS).encode(r.text or "", add_special_tokens=False).ids, 0], dtype="<u4")
+        for piece, start in enumerate(range(0, len(ids), 2048)):
+            part = ids[start:start + 2048]
+            expected[r.doc_id, piece] = (start, len(part), zlib.crc32(part.tobytes()))
+    rows = QUERIES["op9_pack_documents"](spark, path).collect()
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in rows} == expected and len(rows) == len(expected)
+    filled = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == filled.get(r.sequence_id, 0)
+        filled[r.sequence_id] = r.offset + r.length
+    assert max(filled.values()) <= 2048
+    bound = -(-sum(n for _, n, _ in expected.values()) // 2048)
+    assert len(filled) <= 1.003 * bound + 5
+
+
+def plain_fingerprint(text):
+    """The bits of a text, made from its words one by one."""
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = [w for w in re.split("[\x20\x09-\x0D]+", lower) if w]
+    shingles = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << bit for bit in range(64) if sum(h >> bit & 1 for h in hashes) * 2 > len(hashes))
+
+
+def test_fingerprints_of_the_query(spark):
+    texts = duckdb.sql(f"SELECT doc_id, text FROM '{SF_DIR}/documents.parquet'").fetchall()
+    prints = {i: plain_fingerprint(text) for i, text in texts}
+    links = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 3]
+    expected = grouped(links, prints)
+    rows = QUERIES["op6_simhash_groups"](spark, SF_DIR).collect()
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in rows} == {
+        i: (f"{p:016x}", expected[i]) for i, p in prints.items()
+    }
+
+
 def test_pseudo_likelihood_by_hand_and_slope():
     """Scores against plain sums over all classes and places; steps against differences."""
     dice = np.random.default_rng(5)
