@@ -183,13 +183,14 @@ def fit(rows: DataFrame, vocabulary: str) -> tuple[list[str], np.ndarray]:
     Fitted on about ``FIT_TEXTS`` texts per language. The driver holds one number per piece
     and language.
     """
-    sizes = stored(rows.groupBy("lang").agg(F.count("*").alias("n")))
-    langs = sorted(r.lang for r in sizes.select("lang").collect())
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    langs = sorted(sizes)
     if not langs:
         return [], np.zeros((0, 0))
+    # one literal, however many languages, so that texts need no join
+    shares = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, FIT_TEXTS / sizes[lang]))])
     place = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    share = F.lit(float(FIT_TEXTS)) / F.col("n")
-    words = stored(_word_counts(rows.join(sizes, "lang").filter(place < share)))
+    words = stored(_word_counts(rows.filter(place < F.element_at(shares, F.col("lang")))))
     pieces = pieces_at(vocabulary)
     chances = np.full((len(pieces.pieces) + 1, len(langs)), 1.0 / len(pieces.pieces))
     for _ in range(ROUNDS):

@@ -21,8 +21,8 @@ from .common import stored
 SHARD = 20_000
 #: Pieces shorter than this part of a sequence are placed last, in no order of length.
 SHORT = 8
-#: Words whose tokens a Python worker remembers, from one task to the next: about 300 MB.
-REMEMBERED = 1_500_000
+#: Words whose tokens a Python worker remembers, from one task to the next: about 200 MB.
+REMEMBERED = 1_000_000
 #: First bytes of the accents that follow their letter (U+0300 to U+036F) and the beginning of
 #: a special token.
 ODD = (b"\xcc", b"\xcd", b"<|")
