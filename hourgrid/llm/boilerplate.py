@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import apart, stored
+from . import common
+from .common import apart, dealt_join, heavy_keys, stored
 
 #: Registers of a sketch, as a power of two; its standard error is about 1.6 %.
 SKETCH_BITS = 12
 #: Estimates within this share of the threshold, and one more, are counted exactly: over
 #: five standard errors.
 MARGIN = 0.1
-#: Parts into which the places of one line are dealt when they meet its first one.
-SALTS = 16
 
 
 def _lines(docs: DataFrame, id: str, text: str, site: str) -> DataFrame:
@@ -32,37 +31,48 @@ def _order() -> Column:
     return F.struct(F.col("id").isNull().alias("none"), "id", "body", "turn")
 
 
-def boilerplate_lines(
-    docs: DataFrame, *, id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = 5
-) -> DataFrame:
-    """Lines (their md5) that stand on ``min_sites`` sites or more, and where each is first.
+def _shared(docs: DataFrame, id: str, text: str, site: str, min_sites: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lines on ``min_sites`` sites or more, the places of all lines that looked like it (both
+    stored), and the lines that are heavy.
 
     A sketch of the sites is made for every line inside the map tasks and merged by the
     aggregation. Lines whose estimate is clear of the threshold are decided by it, those
-    near it by an exact count of distinct sites. Returns ``line, sites, first``.
+    near it by an exact count of distinct sites.
     """
     margin = MARGIN * min_sites + 1
-    spread = (
+    spread = stored(
         _lines(docs, id, text, site)
         .groupBy("line")
         .agg(
             F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(SKETCH_BITS))).alias("sites"),
-            F.min(_order()).alias("first"),
+            F.min(_order()).alias("first"), F.count("*").alias("places"),
         )
-        .filter(F.col("sites") >= min_sites - margin)
+        .filter((F.col("sites") >= min_sites - margin) | (F.col("places") > common.FEW))
     )
-    spread = stored(spread)
-    near = spread.filter(F.col("sites") <= min_sites + margin)
+    heavy = heavy_keys(spread, "line", "places")
+    wanted = spread.filter(F.col("sites") >= min_sites - margin).drop("places")
+    places = stored(dealt_join(
+        _lines(docs, id, text, site), wanted.select("line", (F.col("sites") <= min_sites + margin).alias("near")),
+        heavy, "line", F.xxhash64("id", "body", "turn"),
+    ))
     exact = (
-        _lines(docs, id, text, site).select("line", "site").distinct()
-        .join(near.select("line"), "line", "left_semi")
+        places.filter("near").select("line", "site").distinct()
         .groupBy("line").agg(F.count("*").alias("exact"))
     )
-    return (
-        spread.join(exact, "line", "left")
+    lines = (
+        wanted.join(exact, "line", "left")
         .withColumn("sites", F.coalesce("exact", "sites")).drop("exact")
         .filter(F.col("sites") >= min_sites)
     )
+    return lines, places, heavy
+
+
+def boilerplate_lines(
+    docs: DataFrame, *, id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = 5
+) -> DataFrame:
+    """Lines (their md5) that stand on ``min_sites`` sites or more, and where each is first:
+    ``line, sites, first``. No line gives no rows."""
+    return _shared(docs, id, text, site, min_sites)[0]
 
 
 def dedup_lines(
@@ -79,13 +89,10 @@ def dedup_lines(
     comes last. Rows of the same id and text are treated alike. A document may become empty,
     its row stays. An empty table gives no rows.
     """
-    shared = boilerplate_lines(docs, id=id, text=text, site=site, min_sites=min_sites)
+    shared, places, heavy = _shared(docs, id, text, site, min_sites)
     of, body, turns = apart(docs.columns, "of", "body", "turns")
-    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
     removed = (
-        _lines(docs, id, text, site)
-        .withColumn("salt", F.pmod(F.xxhash64("id", "body", "turn"), F.lit(SALTS)).cast("int"))
-        .join(shared.select("line", "first", F.explode(salts).alias("salt")), ["line", "salt"])
+        dealt_join(places, shared.select("line", "first"), heavy, "line", F.xxhash64("id", "body", "turn"))
         .filter(_order() > F.col("first"))
         .groupBy(F.col("id").alias(of), F.col("body").alias(body))
         .agg(F.collect_set("turn").alias(turns))

@@ -9,12 +9,14 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: A key is heavy where it holds more than one in so many of all rows, and more than so few.
+HEAVY, FEW = 1_000, 1_000
 
 #: Applications whose Python workers have been sent this package.
 _SHIPPED: set[str] = set()
@@ -77,6 +79,32 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def heavy_keys(counts: DataFrame, key: str, rows: str, total: int | None = None) -> DataFrame:
+    """Keys of ``counts`` (one row per key, its ``rows``) that hold more than their part of
+    ``total`` rows, or of the sum of ``rows``, and the ``parts`` to deal each into. As a
+    heavy key has over one in ``HEAVY`` of the rows, there are fewer than ``HEAVY``."""
+    if total is None:
+        total = counts.agg(F.sum(rows)).first()[0] or 0
+    most = max(FEW, -(-total // HEAVY))
+    return counts.filter(F.col(rows) > most).select(
+        F.col(key), F.ceil(F.col(rows) / F.lit(most)).cast("int").alias("parts")
+    )
+
+
+def dealt_join(rows: DataFrame, keyed: DataFrame, heavy: DataFrame, key: str, turn: Column) -> DataFrame:
+    """``rows`` joined with ``keyed`` (one row per key) on ``key``. Rows of ``heavy`` keys are
+    dealt by the hash ``turn`` into as many parts as these need, each of which meets a copy
+    of the key's row; all other rows meet it under their key alone. What is broadcast is
+    fewer than ``HEAVY`` keys."""
+    parts = F.broadcast(heavy)
+    part = F.when(F.col("parts") > 1, F.pmod(turn, F.col("parts"))).otherwise(0).cast("int")
+    dealt = rows.join(parts, key, "left").withColumn("part", part).drop("parts")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
+    return dealt.join(
+        keyed.join(parts, key, "left").withColumn("part", copies).drop("parts"), [key, "part"]
+    ).drop("part")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components by alternating stars.
 

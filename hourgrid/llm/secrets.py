@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import dealt_join, heavy_keys, stored
 
 #: The patterns asked for, by kind in order. The value of a match is the group
 #: named here; a value shorter than the length given is no match.
@@ -28,8 +28,6 @@ TOKEN_PATTERN = r"[A-Za-z0-9+/_-]{20,}"
 RUNS = {"access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}"}
 KINDS = [*BASE_KINDS, TOKEN]
 PIECES = "array<struct<kind:int,turn:int,gap:int,long:int,value:string>>"
-#: Parts into which the spans of one value are dealt when they meet its counts.
-SALTS = 16
 
 
 def _row_of(number: int):
@@ -125,11 +123,10 @@ def scan_secrets(
         .withColumn("start", F.col("end") - F.col("long"))
     )
     counts = _counts(spans.filter("valid").select("digest", "repo", "owner"))
-    salted = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    valued = found.filter("valid")
+    heavy = heavy_keys(valued.groupBy("digest").agg(F.count("*").alias("n")), "digest", "n", valued.count())
     judged = (
-        located.filter("valid")
-        .withColumn("salt", F.pmod(F.xxhash64("id", "body"), F.lit(SALTS)).cast("int"))
-        .join(salted, ["digest", "salt"])
+        dealt_join(located.filter("valid"), counts, heavy, "digest", F.xxhash64("id", "body", "kind", "turn"))
         .withColumn("live", (F.col("repos") <= max_repos) & (F.col("owners") <= max_owners))
     )
     by_start = Window.partitionBy(*at).orderBy("start", "kind", "end")

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from hourgrid.llm import embedding_pairs, induced_sort, language, packing, pseudo_likelihood, repeats, simhash  # noqa: E402
-from hourgrid.llm.common import components  # noqa: E402
+from hourgrid.llm import common, embedding_pairs, induced_sort, language, packing, pseudo_likelihood, repeats, simhash  # noqa: E402
+from hourgrid.llm.common import components, dealt_join, heavy_keys  # noqa: E402
 from hourgrid.llm.neighbours import nearest_neighbours  # noqa: E402
 from hourgrid.llm.queries import ORACLES, QUERIES, WORDS  # noqa: E402
 
@@ -36,6 +36,29 @@ def test_query_equals_sql(spark, name):
     assert sorted(tuple(r) for r in df.select(*columns).collect()) == expected and expected
 
 
+def test_heavy_keys_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(common, "FEW", 10)
+    monkeypatch.setattr(common, "HEAVY", 20)
+    rows = spark.createDataFrame(
+        [("hot" if i % 3 == 0 else f"k{i % 90}", i) for i in range(900)] + [("none", i) for i in range(50)],
+        "key string, i long",
+    )
+    keyed = rows.filter("key <> 'none'").groupBy("key").agg(F.count("*").alias("n"), F.min("i").alias("least"))
+    heavy = heavy_keys(rows.groupBy("key").agg(F.count("*").alias("n")), "key", "n")
+    assert {r.key: r.parts for r in heavy.collect()} == {"hot": 7, "none": 2}  # 950 rows, 48 in a part
+    met = dealt_join(rows, keyed, heavy, "key", F.xxhash64("i"))
+    assert met.columns == ["key", "i", "n", "least"]
+    expected = rows.join(keyed, "key").select("key", "i", "n", "least")
+    assert sorted(met.collect()) == sorted(expected.collect()) and met.count() == 900
+    assert heavy_keys(keyed.filter("false"), "key", "n").count() == 0
+
+
+@pytest.mark.parametrize("name", ["op2_scan_secrets", "op7_dedup_lines"])
+def test_query_equals_sql_with_keys_dealt(spark, monkeypatch, name):
+    monkeypatch.setattr(common, "FEW", 2)
+    test_query_equals_sql(spark, name)
+
+
 def grouped(links, nodes):
     root = {n: n for n in nodes}
 
