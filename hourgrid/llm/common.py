@@ -112,34 +112,35 @@ def components(edges: DataFrame) -> DataFrame:
     ``node, root``: every node that has a link to another, with the smallest node that
     links reach from it. Each round turns every node's larger neighbours, then its smaller
     ones, to the smallest neighbour; the rounds end when the set of links stays the same.
-    Links stay distributed, and each round is written to the shared folder.
+    Links stay distributed, and each round is written to the shared folder. A node of many
+    links is no single key: its links are dealt by their measured number.
     """
     u, v = edges.columns
     links = stored(
         edges.select(F.greatest(u, v).alias("hi"), F.least(u, v).alias("lo"))
         .filter("hi <> lo").distinct()
     )
-    before = None
-    while True:
-        both = links.unionAll(links.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
-        smallest = both.groupBy(F.col("hi").alias("at")).agg(
-            F.least(F.min("lo"), F.first("hi")).alias("least")
+    now, before = links.select(F.count("*"), F.lit(None)).first(), None
+    while now != before:
+        both = links.select(F.col("hi").alias("at"), F.col("lo").alias("to")).unionAll(
+            links.select(F.col("lo").alias("at"), F.col("hi").alias("to"))
         )
+        smallest = both.groupBy("at").agg(F.least(F.min("to"), F.first("at")).alias("least"), F.count("*").alias("n"))
+        hubs = heavy_keys(smallest, "at", "n", 2 * now[0])
         large = (
-            both.filter("lo > hi").join(smallest, F.col("hi") == F.col("at"))
-            .select(F.col("lo").alias("hi"), F.col("least").alias("lo")).filter("hi <> lo").distinct()
+            dealt_join(both.filter("to > at"), smallest.drop("n"), hubs, "at", F.xxhash64("to"))
+            .select(F.col("to").alias("at"), F.col("least").alias("to")).filter("at <> to").distinct()
         )
-        to = large.groupBy(F.col("hi").alias("at")).agg(F.min("lo").alias("least"))
-        small = large.join(to, F.col("hi") == F.col("at"))
+        fewest = large.groupBy("at").agg(F.min("to").alias("least"), F.count("*").alias("n"))
+        hubs = heavy_keys(fewest, "at", "n", now[0])
+        small = dealt_join(large, fewest.drop("n"), hubs, "at", F.xxhash64("to"))
         links = stored(
-            small.select(F.col("lo").alias("hi"), F.col("least").alias("lo"))
-            .unionAll(to.select(F.col("at").alias("hi"), F.col("least").alias("lo")))
+            small.select(F.col("to").alias("hi"), F.col("least").alias("lo"))
+            .unionAll(fewest.select(F.col("at").alias("hi"), F.col("least").alias("lo")))
             .filter("hi <> lo").distinct()
         )
-        now = links.select(F.count("*"), F.expr("sum(cast(xxhash64(hi, lo) as decimal(38, 0)))")).first()
-        if now == before:
-            break
         before = now
+        now = links.select(F.count("*"), F.expr("sum(cast(xxhash64(hi, lo) as decimal(38, 0)))")).first()
     return links.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionAll(
         links.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct()
     )

@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
-The index is dealt into shards by a hash of the id. A task holds one shard, builds the hash
+The index is dealt into shards by a hash of id and vector. A task holds one shard, builds the hash
 tables of its rows and answers a block of queries: in each table a query visits its own
 bucket and those next to it in the order of their estimated success (all others, where these
 hold too few rows), and what the tables give together is ranked by exact cosine. The best
@@ -121,11 +121,12 @@ def nearest_neighbours(
             F.size(vector).alias("dim"),
         )
 
-    rows, asked = prepared(index, "id"), prepared(queries, "query")
+    # of rows with the same id and vector one is enough, so no shard outgrows the others
+    rows, asked = prepared(index, "id").dropDuplicates(["id", "v"]), prepared(queries, "query")
     shards = max(1, -(-rows.count() // SHARD))
     blocks = max(1, -(-asked.count() // BLOCK))
     dealt = rows.select(
-        "*", F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard"),
+        "*", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).alias("shard"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
     )
     sent = asked.select(

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from hourgrid.llm import common, embedding_pairs, induced_sort, language, packing, pseudo_likelihood, repeats, simhash  # noqa: E402
+from hourgrid.llm import (  # noqa: E402
+    common, embedding_pairs, induced_sort, language, neighbours, packing, pseudo_likelihood, repeats, simhash,
+)
 from hourgrid.llm.common import components, dealt_join, heavy_keys  # noqa: E402
 from hourgrid.llm.neighbours import nearest_neighbours  # noqa: E402
 from hourgrid.llm.queries import ORACLES, QUERIES, WORDS  # noqa: E402
@@ -113,8 +115,11 @@ def vectors(n=900):
     return rows
 
 
-def test_vectors_by_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(embedding_pairs, "PART", 100)  # several parts of a slab
+# small cells; large cells dealt in parts; one cell, cut within its task
+@pytest.mark.parametrize("part,least", [(100, 32), (100, 10_000), (65_536, 32)])
+def test_vectors_by_brute_force(spark, monkeypatch, part, least):
+    monkeypatch.setattr(embedding_pairs, "PART", part)
+    monkeypatch.setattr(embedding_pairs, "LEAST", least)
     monkeypatch.setattr(embedding_pairs, "ROWS", 16)
     rows = vectors()
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
@@ -138,6 +143,53 @@ def test_vectors_by_brute_force(spark, monkeypatch):
     assert hits / (5 * len(range(0, len(rows), 20))) >= 0.9
 
 
+@pytest.mark.parametrize("among", [True, False])
+def test_cells_bring_pairs_in_reach_together_once(among):
+    dice = np.random.default_rng(6)
+    rows = np.concatenate([dice.standard_normal((300, 3)), np.full((40, 3), 0.25)])  # equal rows, too
+    home, guests = np.arange(200), np.arange(200, 340)
+    tree = embedding_pairs.grown(rows[:200], 0.3, 10)
+    assert sum(node is None for node in tree) > 10
+    met, at_home = Counter(), Counter()
+    for cell, own, visits in embedding_pairs.cells(tree, rows, 0.3, home, guests, among):
+        assert tree[cell] is None
+        at_home.update(own.tolist())
+        met.update((a, b) for a in own.tolist() for b in visits.tolist())
+        if among:
+            met.update((a, b) for a in own.tolist() for b in own.tolist() if a < b)
+    assert at_home == Counter(home.tolist())
+    pairs = Counter(tuple(sorted(pair)) for pair in met.elements())
+    assert set(pairs.values()) == {1}
+    close = (np.abs(rows[:, None] - rows[None]) <= 0.3).all(axis=2)
+    for a in range(200):
+        for b in range(a + 1, 340):
+            if close[a, b] and (among or b >= 200):
+                assert pairs[a, b] == 1
+    assert among or all(b >= 200 for _, b in pairs)
+    assert len(pairs) < 0.8 * (200 * 199 / 2 * among + 200 * 140)
+
+
+def test_a_hub_is_dealt(spark, monkeypatch):
+    monkeypatch.setattr(common, "FEW", 5)
+    links = [(5000, i) for i in range(300)] + [(i, 9000 + i) for i in range(0, 300, 7)] + [(9500, 9600), (9600, 9700)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
+    assert found == grouped(links, {n for pair in links for n in pair})
+
+
+def test_repeated_ids_do_not_share_a_shard(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD", 40)
+    dice = np.random.default_rng(8)
+    rows = [(i if i % 3 else 7, v.tolist()) for i, v in enumerate(dice.standard_normal((240, 6)))]
+    rows += rows[:60]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest_neighbours(df, df.filter("vec_id = 1"), k=3).orderBy("rank").collect()
+    units = {i: [] for i, _ in rows}
+    for i, v in rows:
+        units[i].append(np.array(v) / np.linalg.norm(v))
+    best = sorted(((max(float(units[1][0] @ v) for v in own), i) for i, own in units.items() if i != 1), reverse=True)
+    assert [(r.vec_id, r["rank"]) for r in found] == [(i, n + 1) for n, (_, i) in enumerate(best[:3])]
+
+
 def test_segmentations_are_summed():
     """The forward algorithm against all segmentations, and the counts against their shares."""
     pieces = language.Pieces.__new__(language.Pieces)
