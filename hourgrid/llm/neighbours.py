@@ -121,11 +121,11 @@ def nearest_neighbours(
             F.size(vector).alias("dim"),
         )
 
-    # of rows with the same id and vector one is enough, so no shard outgrows the others
-    rows, asked = prepared(index, "id").dropDuplicates(["id", "v"]), prepared(queries, "query")
+    rows, asked = prepared(index, "id"), prepared(queries, "query")
     shards = max(1, -(-rows.count() // SHARD))
     blocks = max(1, -(-asked.count() // BLOCK))
-    dealt = rows.select(
+    # of rows with the same id and vector one is enough, so no shard outgrows the others
+    dealt = rows.dropDuplicates(["id", "v"]).select(
         "*", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).alias("shard"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
     )
