@@ -190,6 +190,69 @@ def test_repeated_ids_do_not_share_a_shard(spark, monkeypatch):
     assert [(r.vec_id, r["rank"]) for r in found] == [(i, n + 1) for n, (_, i) in enumerate(best[:3])]
 
 
+def test_rows_in_reach_are_visited():
+    """Chances of cells and buckets against neighbours put at known distances."""
+    dice = np.random.default_rng(12)
+    made = neighbours.Tables(64, 2, 48, 1.0, 4)
+    unit = dice.standard_normal(64)
+    unit /= np.linalg.norm(unit)
+    for reach in (0.4, 1.0):
+        in_cell, in_bucket, visits = [], [], []
+        for turn in range(150):
+            turned = np.linalg.qr(dice.standard_normal((64, 64)))[0] @ unit
+            aside = dice.standard_normal((20, 64))
+            aside -= (aside @ turned)[:, None] * turned
+            aside /= np.linalg.norm(aside, axis=1)[:, None]
+            cosine = 1 - reach ** 2 / 2
+            rows = cosine * turned + np.sqrt(1 - cosine ** 2) * aside
+            cells = made.visited(turned, turn % 2, reach, 0.9)
+            assert len(cells) == len(set(cells.tolist()))
+            visits.append(len(cells))
+            in_cell.append(np.isin(made.cells(rows, turn % 2), cells).mean())
+            away = ((made.places(turned[None], turn % 2) - made.centres(rows, turn % 2)) ** 2).sum(axis=1)
+            in_bucket.append((away <= made.radius(np.array([reach]), 0.75)[0]).mean())
+        assert np.mean(in_cell) > 0.87 and 0.65 < np.mean(in_bucket) < 0.9
+        assert np.mean(visits) < 4 ** 4 / 2
+
+
+def test_neighbours_in_many_cells(spark, monkeypatch):
+    """Cells of several lots and blocks, a third of all rows one vector, and the share visited."""
+    monkeypatch.setattr(neighbours, "SHARD", 300)
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    monkeypatch.setattr(common, "FEW", 100)
+    dice = np.random.default_rng(13)
+    rows = dice.standard_normal((3000, 64))
+    rows[1::3] = rows[1]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    visited, whole = [], neighbours.best_of  # rows that queries visit, of all
+    units = rows / np.linalg.norm(rows, axis=1)[:, None]
+    answers = {}
+    for r in nearest_neighbours(df, df.filter("vec_id % 50 = 0")).collect():
+        answers.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    hits = 0
+    for q in range(0, 3000, 50):
+        score = units @ units[q]
+        score[q] = -2
+        best = np.lexsort((np.arange(3000), -score.round(12)))[:5].tolist()
+        own = sorted(answers[q])
+        assert [r for r, _, _ in own] == [1, 2, 3, 4, 5]
+        assert all(abs(s - score[v]) < 1e-12 for _, v, s in own)
+        if q % 3 == 1:  # copies: ties to the smaller id
+            assert [v for _, v, _ in own] == best
+        else:
+            hits += len({v for _, v, _ in own} & set(best))
+    assert hits / (5 * 40) >= 0.9
+    made = neighbours.Tables(64, 2, neighbours.FUNCTIONS, neighbours.WIDTH, 0)
+    alone, ids = np.delete(rows, np.arange(4, 3000, 3), axis=0), np.delete(np.arange(3000), np.arange(4, 3000, 3))
+    asked = ids % 50 == 0
+    for table in range(2):
+        first = whole(alone, ids, alone[asked], ids[asked], np.full(asked.sum(), -2.0), 5, made, table, 128, 0.75)
+        floor = np.array([np.sort(first[2][first[0] == q])[0] for q in range(asked.sum())])
+        then = whole(alone, ids, alone[asked], ids[asked], floor, 5, made, table, None, 0.75)
+        visited.append((first[3] + then[3]) / (asked.sum() * len(ids)))
+    assert sum(visited) < 0.6
+
+
 def test_segmentations_are_summed():
     """The forward algorithm against all segmentations, and the counts against their shares."""
     pieces = language.Pieces.__new__(language.Pieces)
