@@ -13,12 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, apart, stored
+from .common import WORD, apart, dealt_join, heavy_keys, stored
 
 #: Hexadecimal digits of the key that name its range: 4,096 ranges per source.
 RANGE_DIGITS = 3
-#: More sources than this are joined, fewer are broadcast: at most 20 MB.
-BROADCAST_SOURCES = 100_000
+#: Sources' cuts of this many bytes at most are broadcast; more are joined, large sources dealt.
+BROADCAST_BYTES = 20_000_000
 
 
 def word_count(text: Column) -> Column:
@@ -35,35 +35,50 @@ def _source(source: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
 
 
+def _before(rows: DataFrame, order: Sequence[Column], sums: dict[str, Column]) -> DataFrame:
+    """Adds the sums over all rows that come earlier in ``order``: inside ranges of rows, and
+    over the ranges' own sums, of which there are as many as shuffle partitions. The ranges
+    are stored, so that no later step sees them drawn another way."""
+    ranged = stored(rows.repartitionByRange(*order).withColumn("at", F.spark_partition_id()))
+    of_range = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("at").agg(*[F.sum(value).alias(f"{name}_of") for name, value in sums.items()]).select(
+        "at", *[F.coalesce(F.sum(f"{name}_of").over(of_range), F.lit(0)).alias(f"{name}_of") for name in sums]
+    )
+    within = Window.partitionBy("at").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    found = {name: F.coalesce(F.sum(value).over(within), F.lit(0)) for name, value in sums.items()}
+    return (
+        ranged.withColumns(found).join(offsets, "at")
+        .withColumns({name: F.col(name) + F.col(f"{name}_of") for name in sums})
+        .drop("at", *[f"{name}_of" for name in sums])
+    )
+
+
 def _targets(sizes: DataFrame, weights: Sequence[float], cap: float, share: float) -> DataFrame:
     """Adds ``target`` to one row per source (``src, source_size``).
 
     Weights go round over the sources by code point, null last. With sources ordered by the
     level at which they are full, cap x size / weight, the level that remains for the k-th
     and all after it rises until the first source that is not full and falls from there on;
-    its maximum is the level at which the shares add up to the whole. The windows here run
-    over one row per source.
+    its maximum is the level at which the shares add up to the whole. Sources are numbered
+    and summed by ranges, as documents are; two numbers come to the driver, the words and
+    weights of all and the level.
     """
-    everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    by_name = Window.orderBy(F.col("src") == "", "src")
-    by_level = Window.orderBy("full", F.col("src") == "", "src")
-    turn = (F.row_number().over(by_name) - 1) % len(weights)
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (turn + 1).cast("int"))
+    turn = (F.col("earlier") % len(weights) + 1).cast("int")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn)
     rows = (
-        sizes.withColumn("weight", weight)
+        _before(sizes, [F.col("src") == "", F.col("src")], {"earlier": F.lit(1)})
+        .withColumn("weight", weight)
         .withColumn("most", F.lit(float(cap)) * F.col("source_size"))
         .withColumn("full", F.col("most") / F.col("weight"))
-        .withColumn("whole", F.lit(float(share)) * F.sum("source_size").over(everything))
-    )
-    earlier = F.coalesce(
-        F.sum("most").over(by_level.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
     )
-    left = F.sum("weight").over(by_level.rowsBetween(0, Window.unboundedFollowing))
-    return (
-        rows.withColumn("level", (F.col("whole") - earlier) / left)
-        .withColumn("level", F.max("level").over(everything))
-        .select("src", F.least("most", F.col("level") * F.col("weight")).alias("target"))
+    rows = _before(
+        rows.drop("earlier"), [F.col("full"), F.col("src") == "", F.col("src")],
+        {"filled": F.col("most"), "passed": F.col("weight")},
     )
+    words, heft = rows.agg(F.sum("source_size"), F.sum("weight")).first()
+    remains = (F.lit(float(share)) * F.lit(words or 0) - F.col("filled")) / (F.lit(heft or 0.0) - F.col("passed"))
+    level = rows.agg(F.max(remains)).first()[0] or 0.0
+    return rows.select("src", F.least("most", F.lit(level) * F.col("weight")).alias("target"))
 
 
 def _placed(
@@ -79,7 +94,7 @@ def _placed(
         )
     )
     ranges = sized.groupBy("src", "range").agg(F.sum("size").alias("range_size"))
-    sizes = ranges.groupBy("src").agg(F.sum("range_size").alias("source_size"))
+    sizes = stored(ranges.groupBy("src").agg(F.sum("range_size").alias("source_size")))
     per_source = sizes.join(_targets(sizes, weights, cap, share), "src")
     before = Window.partitionBy("src").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -146,8 +161,6 @@ def mixed_documents(
             F.first("rounds").alias("rounds"), F.first("rest").alias("rest"), F.min(cut).alias("cut")
         )
     )
-    if cuts.count() <= BROADCAST_SOURCES:
-        cuts = F.broadcast(cuts)
     src, rounds, last, words_left, take = apart(docs.columns, "src", "rounds", "last", "words_left", "take")
     plan = cuts.select(
         F.col("src").alias(src), F.col("rounds").alias(rounds),
@@ -160,7 +173,16 @@ def mixed_documents(
         F.array_repeat(F.lit(-1).cast("long"), full.cast("int")),
         F.when(part.isNotNull(), F.array(part)).otherwise(F.array().cast("array<bigint>")),
     )
-    rows = docs.withColumn(src, _source(source)).join(plan, src).withColumn(take, F.explode(copies))
+    held = cuts.agg(F.sum(F.octet_length("src") + F.lit(100))).first()[0] or 0  # 100: a row without its name
+    if held <= BROADCAST_BYTES:
+        rows = docs.withColumn(src, _source(source)).join(F.broadcast(plan), src)
+    else:
+        whole = docs.select(F.struct(*docs.columns).alias("row"), _source(source).alias(src))
+        heavy = heavy_keys(whole.groupBy(src).agg(F.count("*").alias("n")), src, "n")
+        rows = dealt_join(whole, plan, heavy, src, F.xxhash64(F.col("row")[id], F.col("row")[text])).select(
+            "row.*", src, rounds, last, words_left
+        )
+    rows = rows.withColumn(take, F.explode(copies))
     words = F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, F.col(take).cast("int"))
     gaps = F.slice(F.split(text, WORD, -1), 1, F.col(take).cast("int"))
     length = F.lit(0)

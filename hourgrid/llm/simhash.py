@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import apart, components, stored
+from .common import apart, components, dealt_join, heavy_keys, stored
 
 #: Fingerprints in the sample that the tree is built from, at most (512 KB).
 SAMPLE = 65_536
@@ -257,17 +257,19 @@ def near_fingerprints(prints: DataFrame, most: int) -> DataFrame:
 
 
 def _classes(docs: DataFrame, id: str, text: str, shingle: int, most: int) -> tuple[DataFrame, DataFrame]:
-    """Rows ``id, body, fp``; and for each fingerprint ``least``: of its component, the
-    smallest (id, null last; body)."""
+    """Rows ``id, body, fp``; and for each fingerprint ``n``, its rows, and ``least``: of its
+    component, the smallest (id, null last; body)."""
     rows = stored(simhash(docs, id=id, text=text, shingle=shingle))
     least = F.struct(F.col("id").isNull().alias("none"), "id", "body")
-    prints = stored(rows.groupBy("fp").agg(F.min(least).alias("least")))
+    prints = stored(rows.groupBy("fp").agg(F.min(least).alias("least"), F.count("*").alias("n")))
     found = components(near_fingerprints(prints.select("fp"), most))
     rooted = prints.join(found, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
+        "fp", "n", "least", F.coalesce("root", "fp").alias("root")
     )
-    roots = rooted.groupBy("root").agg(F.min("least").alias("least"))
-    return rows, stored(rooted.select("fp", "root").join(roots, "root").select("fp", "least"))
+    roots = stored(rooted.groupBy("root").agg(F.min("least").alias("least"), F.count("*").alias("prints")))
+    heavy = heavy_keys(roots, "root", "prints")
+    classes = dealt_join(rooted.drop("least"), roots.drop("prints"), heavy, "root", F.xxhash64("fp"))
+    return rows, stored(classes.select("fp", "n", "least"))
 
 
 def simhash_groups(
@@ -286,7 +288,8 @@ def simhash_groups(
     An empty table gives no rows.
     """
     rows, classes = _classes(docs, id, text, shingle, most)
-    return rows.join(classes, "fp").select(
+    heavy = heavy_keys(classes, "fp", "n")  # of many copies
+    return dealt_join(rows, classes.drop("n"), heavy, "fp", F.xxhash64("id", "body")).select(
         F.col("id").alias(id), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("least.id").alias("component_id"),
     )

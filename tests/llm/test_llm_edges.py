@@ -3,6 +3,7 @@
 import hashlib
 import math
 import os
+import random
 import re
 import subprocess
 import sys
@@ -191,6 +192,52 @@ def test_mixed_documents_have_the_words_taken(docs):
     assert got == taken
 
 
+def test_mixed_documents_of_sources_too_many_to_broadcast(docs, monkeypatch):
+    some = docs.filter("doc_id is not null and doc_id <> 6").withColumns({"part": F.lit(1), "parts": F.lit("x"), "row": F.lit(2)})
+    expected = sorted(map(tuple, mixing.mixed_documents(some).collect()), key=str)
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(common, "FEW", 2)
+    found = mixing.mixed_documents(some)
+    assert found.columns == some.columns
+    assert sorted(map(tuple, found.collect()), key=str) == expected
+
+
+@pytest.mark.parametrize("weights,cap,share", [((5, 2, 1), 3.0, 1.0), ((1,), 1.5, 1.2), ((7, 0.5), 3.0, 4.0)])
+def test_targets_of_many_sources(spark, weights, cap, share):
+    """Levels by ranges against filling source after source, null last by code point."""
+    dice = random.Random(3)
+    sizes = {f"=s{i}": dice.choice([0, 1, 7, 7, 7, 60, 4000]) for i in range(300)} | {"": 900, "=": 12, "=é": 3}
+    df = spark.createDataFrame(list(sizes.items()), "src string, source_size long").repartition(7)
+    found = {r.src: r.target for r in mixing._targets(df, weights, cap, share).collect()}
+    weight = {s: weights[n % len(weights)] for n, s in enumerate(sorted(sizes, key=lambda s: (s == "", s)))}
+    full, left = set(), share * sum(sizes.values())
+    while True:
+        open_ = [s for s in sizes if s not in full]
+        rest = left - sum(cap * sizes[s] for s in full)
+        over = {s for s in open_ if rest * weight[s] / sum(weight[t] for t in open_) >= cap * sizes[s]}
+        if not over:
+            break
+        full |= over
+        if len(full) == len(sizes):
+            break
+    open_ = [s for s in sizes if s not in full]
+    heft = sum(weight[s] for s in open_)
+    assert found.keys() == sizes.keys()
+    for s in sizes:
+        expected = cap * sizes[s] if s in full else rest * weight[s] / heft
+        assert found[s] == pytest.approx(expected, rel=1e-9, abs=1e-9)
+
+
+def test_copies_share_no_task(spark, monkeypatch):
+    monkeypatch.setattr(common, "FEW", 4)
+    rows = [(i, "a b c d e f" if i % 3 else f"text {i} alone here {i * 7}") for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.simhash_groups(df).collect()}
+    assert len(found) == 120
+    assert {found[i] for i in range(120) if i % 3} == {found[1]} and found[1][1] == 1
+    assert all(found[i][1] == i for i in range(0, 120, 3))
+
+
 def base_spans(text):
     found = []
     assign = re.compile(
