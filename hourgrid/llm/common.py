@@ -7,8 +7,12 @@ import os
 import shutil
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +22,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: A key is heavy where it holds more than one in so many of all rows, and more than so few.
 HEAVY, FEW = 1_000, 1_000
 
+#: Bytes of texts that a Python worker takes apart at once.
+BYTES = 8 << 20
+
 #: Applications whose Python workers have been sent this package.
 _SHIPPED: set[str] = set()
 
+#: What this Python worker remembers from one task to the next, under the name of its use.
+_KEPT: dict = {}
+
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers of the session, once, unless it is on the path
@@ -73,6 +83,45 @@ def apart(columns: list[str], *names: str) -> list[str]:
     return found
 
 
+def kept(use, make: Callable):
+    """What ``make`` gives, kept in this Python worker until another use is asked for: workers
+    go on from operator to operator, and their memory holds what one of them remembers."""
+    if use not in _KEPT:
+        forget()
+        _KEPT[use] = make()
+    return _KEPT[use]
+
+
+def forget() -> None:
+    """Let go of what earlier operators remembered in this Python worker."""
+    _KEPT.clear()
+
+
+def runs(texts: pa.Array) -> Iterator[pa.Array]:
+    """The column in slices: those texts together that begin in the same ``BYTES``, so that a
+    slice holds these and the rest of its last text."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
+    cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // BYTES)) + 1
+    for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
+        if end > start:
+            yield texts.slice(start, end - start)
+
+
+def distinct_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words of texts, which are runs of anything but ASCII white space (null: none): the
+    distinct ones, the place among them of each word of the texts in a row, and of each text
+    the end in that row, after a 0."""
+    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    words = split.flatten().dictionary_encode()
+    place, ends = words.indices.to_numpy(), split.offsets.to_numpy()
+    ends = ends - ends[0]
+    none = pc.index(words.dictionary, "").as_py()
+    if none >= 0:  # from white space at a text's ends
+        there = place != none
+        place, ends = place[there], np.concatenate([[0], np.cumsum(there)])[ends]
+    return words.dictionary, place, ends
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows of ``df``, computed once and read from the shared folder from then on."""
     shared_folder(df.sparkSession)

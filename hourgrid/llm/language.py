@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import forget, stored
 
 #: Texts per language that the model is fitted on, about: those whose hash falls under this
 #: share of its labelled texts. A documented bound, as labelled rows may be many.
@@ -160,6 +160,7 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     """``lang, word, times`` over the texts, counted in the tasks first."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             counts: dict[str, Counter] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
@@ -198,6 +199,7 @@ def fit(rows: DataFrame, vocabulary: str) -> tuple[list[str], np.ndarray]:
         model = words.sparkSession.sparkContext.broadcast(chances)
 
         def work(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
+            forget()
             own = pieces_at(vocabulary)
             for batch in batches:
                 lang = np.array(batch.column("lang").to_pylist())
@@ -255,6 +257,7 @@ def identify_language(
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         pieces = pieces_at(vocabulary) if langs else None
         known: dict[str, int] = {}
         scores, has_letters = np.zeros((0, len(langs))), np.zeros(0, dtype=bool)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import kept, stored
 
 #: Pieces that are packed together, about. The last, emptier sequences of a shard are a
 #: handful among thousands.
@@ -83,9 +83,8 @@ class WordTokens:
         return [b"".join(map(here.__getitem__, words)) for words in split]
 
 
-@cache
 def word_tokens(path: str) -> WordTokens:
-    return WordTokens(path)
+    return kept(("word tokens", path), lambda: WordTokens(path))
 
 
 def pieces_of(ids: bytes, capacity: int) -> list[tuple[int, int, int, int]]:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import apart, components, dealt_join, heavy_keys, stored
+from .common import apart, components, dealt_join, forget, heavy_keys, stored
 
 #: Fingerprints in the sample that the tree is built from, at most (512 KB).
 SAMPLE = 65_536
@@ -64,6 +64,7 @@ def simhash(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle:
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("body"), F.col(text).cast("string").alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
             found = [fingerprint(t.as_py() or b"", shingle) for t in texts]
