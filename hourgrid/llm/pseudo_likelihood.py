@@ -20,15 +20,16 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import chain, groupby
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import distinct_words, runs, stored
 
 #: Binary digits of the number of tokens in a small corpus. A token is a class and a place in
 #: it, so that a prediction needs two small sums, not one over all tokens.
@@ -46,9 +47,8 @@ COPIES = 64
 #: The most frequent words whose counts all tasks know: so many times the root of the number
 #: of distinct words.
 NEAR = 16
-#: Distinct words that a task counts before it hands on their counts, and those whose tokens
-#: it remembers; texts taken at once.
-DISTINCT, REMEMBERED, TEXTS = 400_000, 200_000, 256
+#: Distinct words that a task counts before it hands on their counts.
+DISTINCT = 400_000
 #: Numbers of the network that are added up in one piece.
 PIECE = 1 << 14
 SEED = 3
@@ -107,13 +107,12 @@ class Words(dict):
 
     The words whose counts are known here come first, in their order; the first of these
     have the tokens 0, 1, 2 and so on. Any other word shares a token with those whose last
-    three bytes have the same hash. What was asked for is remembered, up to
-    ``REMEMBERED`` words.
+    three bytes have the same hash.
     """
 
     def __init__(self, near: list[bytes], shape: Shape):
-        super().__init__()
-        self.near = near
+        super().__init__(zip(near, range(len(near))))
+        self.near = pa.array(near, pa.binary())
         self.first, self.rest = shape.frequent, shape.tokens - shape.frequent
         own = min(len(near), shape.frequent)
         #: The token of each code.
@@ -122,36 +121,31 @@ class Words(dict):
             np.array([self._shared(word) for word in near[own:]], dtype=np.int32),
             np.arange(shape.tokens, dtype=np.int32),
         ])
-        self._start()
-
-    def _start(self) -> None:
-        self.clear()
-        self.update(zip(self.near, range(len(self.near))))
 
     def _shared(self, word: bytes) -> int:
         return self.first + zlib.crc32(word[-3:]) % self.rest
 
     def __missing__(self, word: bytes) -> int:
-        code = self[word] = len(self.near) + self._shared(word)
-        return code
-
-    def codes(self, words: Iterable[bytes], count: int) -> np.ndarray:
-        """Of so many words, lower-cased."""
-        codes = np.fromiter(map(self.__getitem__, words), dtype=np.int32, count=count)
-        if len(self) > REMEMBERED + len(self.near):
-            self._start()
+        return len(self.near) + self._shared(word)
+
+    def codes(self, words: pa.Array) -> np.ndarray:
+        """Of words, lower-cased; those that are not known here by their different endings."""
+        words = words.cast(pa.binary())
+        codes = pc.fill_null(pc.index_in(words, value_set=self.near), -1).to_numpy().copy()
+        other = codes < 0
+        endings = pc.binary_slice(words.filter(pa.array(other)), -3).dictionary_encode()
+        shared = np.array([len(self.near) + self._shared(each) for each in endings.dictionary.to_pylist()], dtype=np.int32)
+        codes[other] = shared[endings.indices.to_numpy()]
         return codes
 
-    def of(self, words: Iterable[bytes], count: int) -> np.ndarray:
-        """The tokens of so many words, lower-cased."""
-        return self.token[self.codes(words, count)]
+    def tokens(self, texts: list[bytes]) -> list[np.ndarray]:
+        distinct, place, ends = lower_words(pa.array(texts, pa.binary()).view(pa.string()))
+        return np.split(self.token[self.codes(distinct)][place], ends[1:-1])
 
-    def of_texts(self, split: list[list[bytes]]) -> list[np.ndarray]:
-        ends = np.cumsum([len(words) for words in split])
-        return np.split(self.of(chain.from_iterable(split), int(ends[-1])), ends[:-1])
 
-    def tokens(self, texts: list[bytes]) -> list[np.ndarray]:
-        return self.of_texts([text.lower().split() for text in texts])
+def lower_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words of texts as `distinct_words` gives them, A-Z lower-cased."""
+    return distinct_words(pc.ascii_lower(texts))
 
 
 def windows(texts: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,19 +162,30 @@ def small(numbers: np.ndarray) -> np.dtype:
     return np.dtype(np.uint16 if not len(numbers) or numbers.max() < 1 << 16 else np.int32)
 
 
-def softmax(scores: np.ndarray) -> np.ndarray:
-    """Of each row, in place. Scores are logarithms of shares plus a few, far from the bound
-    that keeps their exponentials within the type."""
+def exponentials(scores: np.ndarray) -> np.ndarray:
+    """In place; returns the sum of each row. Scores are logarithms of shares plus a few, far
+    from the bound that keeps their exponentials within the type."""
     np.clip(scores, -80, 80, out=scores)
     np.exp(scores, out=scores)
-    scores /= (scores @ np.ones(scores.shape[1], dtype=scores.dtype))[:, None]
+    return scores @ np.ones(scores.shape[1], dtype=scores.dtype)
+
+
+def softmax(scores: np.ndarray) -> np.ndarray:
+    """Of each row, in place."""
+    scores /= exponentials(scores)[:, None]
     return scores
 
 
+def log_softmax(scores: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Logarithms of the softmax at one column of each row. The scores are used up."""
+    total = exponentials(scores)
+    return np.log(scores[rows, columns] / total + 1e-30)
+
+
 def _hidden(weights: Weights, near: np.ndarray) -> np.ndarray:
     total = np.broadcast_to(weights["bias"], (len(near), WIDTH)).copy()
     for side in range(near.shape[1]):
-        total += weights["inputs"][side][near[:, side]]
+        total += weights["inputs"][side].take(near[:, side], axis=0)
     return np.tanh(total)
 
 
@@ -193,13 +198,18 @@ def log_probabilities(weights: Weights, near: np.ndarray, token: np.ndarray) ->
         hidden = _hidden(weights, near[some])
         kind, place = np.divmod(token[some].astype(small(token)), small(token).type(places))
         rows = np.arange(len(kind))
-        log = np.log(softmax(hidden @ weights["classes"] + weights["class_bias"])[rows, kind] + 1e-30)
+        scores = hidden @ weights["classes"]
+        scores += weights["class_bias"]
+        log = log_softmax(scores, rows, kind)
         order = np.argsort(kind, kind="stable")
         ends = np.searchsorted(kind[order], np.arange(classes + 1))
+        hidden = hidden.take(order, axis=0)  # by class, so that the words of each are a slice
+        scores = np.empty((len(kind), places), dtype=hidden.dtype)
         for c in np.nonzero(np.diff(ends))[0]:
-            own = order[ends[c]:ends[c + 1]]
-            chance = softmax(hidden[own] @ weights["places"][c] + weights["place_bias"][c])
-            log[own] += np.log(chance[np.arange(len(own)), place[own]] + 1e-30)
+            own = scores[ends[c]:ends[c + 1]]
+            np.matmul(hidden[ends[c]:ends[c + 1]], weights["places"][c], out=own)
+            own += weights["place_bias"][c]
+        log[order] += log_softmax(scores, rows, place[order])
         out[some] = log
     return out
 
@@ -220,7 +230,7 @@ class Learner:
         # by class, so that the words of each are a slice
         kind, place = np.divmod(token.astype(small(token)), small(token).type(places))
         order = np.argsort(kind, kind="stable")
-        near, kind, place = near[order], kind[order], place[order]
+        near, kind, place = near.take(order, axis=0), kind[order], place[order]
         hidden = _hidden(w, near)
         rows = np.arange(len(token))
         slope = {name: np.zeros_like(value) for name, value in w.items() if name != "inputs"}
@@ -230,9 +240,10 @@ class Learner:
         back = wrong @ w["classes"].T
         ends = np.searchsorted(kind, np.arange(classes + 1))
         own = [(c, slice(ends[c], ends[c + 1])) for c in np.nonzero(np.diff(ends))[0]]
-        wrong = w["place_bias"][kind]
+        wrong = np.empty((len(token), places), dtype=hidden.dtype)
         for c, some in own:
-            wrong[some] += hidden[some] @ w["places"][c]
+            np.matmul(hidden[some], w["places"][c], out=wrong[some])
+            wrong[some] += w["place_bias"][c]
         wrong = softmax(wrong)
         wrong[rows, place] -= 1
         for c, some in own:
@@ -250,7 +261,7 @@ class Learner:
             order = np.argsort(beside, kind="stable")
             beside = beside[order]
             first = np.concatenate([[0], np.nonzero(beside[1:] != beside[:-1])[0] + 1])
-            value = np.add.reduceat(back[order], first, axis=0) / len(token)
+            value = np.add.reduceat(back.take(order, axis=0), first, axis=0) / len(token)
             self._move(w["inputs"][side], self.squares["inputs"][side], beside[first], value)
         self.words += len(token)
 
@@ -271,7 +282,7 @@ def learn(learner: Learner, texts: Iterable[np.ndarray], random: np.random.Gener
             some.clear()
         near, token = (np.concatenate(x) for x in zip(*held))
         mixed = random.permutation(len(token))
-        near, token = near[mixed], token[mixed]
+        near, token = near.take(mixed, axis=0), token[mixed]
         upto = len(token) if whole else len(token) // STEP * STEP
         for at in range(0, upto, STEP):
             learner.step(near[at:at + STEP], token[at:at + STEP])
@@ -289,18 +300,22 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     """``word, n``: how often every word stands in all documents."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        held: list[pa.Table] = []
+
+        def added() -> Iterator[pa.RecordBatch]:
+            if held:
+                sums = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+                held.clear()
+                yield from sums.select(["word", "n_sum"]).rename_columns(["word", "n"]).to_batches()
+
         for batch in batches:
-            for body in batch.column(0).cast(pa.binary()):
-                counts.update((body.as_py() or b"").lower().split())
-                if len(counts) > DISTINCT:
-                    yield pa.RecordBatch.from_pydict(
-                        {"word": pa.array(list(counts), pa.binary()), "n": pa.array(list(counts.values()), pa.int64())}
-                    )
-                    counts.clear()
-        yield pa.RecordBatch.from_pydict(
-            {"word": pa.array(list(counts), pa.binary()), "n": pa.array(list(counts.values()), pa.int64())}
-        )
+            for texts in runs(batch.column(0)):
+                distinct, place, _ = lower_words(texts)
+                times = np.bincount(place, minlength=len(distinct))[:len(distinct)]
+                held.append(pa.table({"word": distinct.cast(pa.binary()), "n": pa.array(times, pa.int64())}).filter(pc.field("n") > 0))
+                if sum(map(len, held)) > DISTINCT:
+                    yield from added()
+        yield from added()
 
     counted = docs.select(F.col(text).cast("string")).mapInArrow(work, "word binary, n bigint")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
@@ -325,7 +340,7 @@ class Corpus:
         def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, total = Words(frequent, shape), np.zeros(shape.tokens, np.int64)
             for batch in batches:
-                token = words.of(batch.column("word").to_pylist(), batch.num_rows)
+                token = words.token[words.codes(batch.column("word"))]
                 np.add.at(total, token, batch.column("n").to_numpy())
             seen = np.nonzero(total)[0]
             yield pa.RecordBatch.from_pydict({"token": seen, "total": total[seen]})
@@ -359,7 +374,7 @@ class Corpus:
         def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = Words(frequent, shape)
             for batch in batches:
-                token = words.of(batch.column("word").to_pylist(), batch.num_rows)
+                token = words.token[words.codes(batch.column("word"))]
                 found = np.log(batch.column("n").to_numpy() / totals[token])
                 yield pa.RecordBatch.from_pydict({"word": batch.column("word"), "share": found})
 
@@ -386,19 +401,21 @@ def shard_tokens(docs: DataFrame, corpus: Corpus, wave: range, *, id: str, text:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, copies = Words(frequent, shape), Counter()
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary())
-            for at in range(0, batch.num_rows, TEXTS):
-                found = words.tokens([t or b"" for t in texts.slice(at, TEXTS).to_pylist()])
-                key = batch.column("key").slice(at, TEXTS)
-                shard = batch.column("shard").slice(at, TEXTS).to_pylist()
+            at = 0
+            for texts in runs(batch.column("text")):
+                distinct, place, ends = lower_words(texts)
+                tokens = words.token[words.codes(distinct)][place]
+                key = batch.column("key").slice(at, len(texts))
+                shard = batch.column("shard").slice(at, len(texts)).to_pylist()
+                at += len(texts)
                 for row, each in enumerate(key.to_pylist()):
                     shard[row] = (shard[row] + copies[each] // COPIES * 16) % shards
                     copies[each] += 1
                 if len(copies) > DISTINCT:
                     copies = Counter({each: n for each, n in copies.items() if n >= COPIES})
+                found = [each.tobytes() for each in np.split(tokens, ends[1:-1])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard, pa.int64()), key, pa.array([each.tobytes() for each in found], pa.binary())],
-                    ["shard", "key", "tokens"],
+                    [pa.array(shard, pa.int64()), key, pa.array(found, pa.binary())], ["shard", "key", "tokens"]
                 )
 
     return rows.mapInArrow(work, "shard long, key long, tokens binary")
@@ -495,33 +512,29 @@ def score_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> D
         numbers, near_words, near_shares = shared.value
         words, weights = Words(near_words, shape), shape.unpacked(numbers)
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary())
-            for at in range(0, batch.num_rows, TEXTS):
-                split = [(t or b"").lower().split() for t in texts.slice(at, TEXTS).to_pylist()]
-                ends = np.cumsum([0, *map(len, split)])
-                codes = words.codes(chain.from_iterable(split), int(ends[-1]))
+            at = 0
+            for texts in runs(batch.column("text")):
+                distinct, place, ends = lower_words(texts)
+                codes = words.codes(distinct)[place]
                 near, token = windows(np.split(words.token[codes], ends[1:-1]), shape.pad)
                 shares = near_shares[codes]
                 rare = np.isnan(shares)
                 shares[rare] = 0
-                sums = np.concatenate([[0.0], np.cumsum(log_probabilities(weights, near, token))])
-                key, ids = batch.column("key").slice(at, TEXTS), batch.column("id").slice(at, TEXTS)
-                word, times, sizes, known = [b" %d" % k for k in key.to_pylist()], [], [], []
-                for own, start, end in zip(split, ends, ends[1:]):
-                    found = Counter(map(own.__getitem__, np.nonzero(rare[start:end])[0].tolist()))
-                    word += found
-                    times += found.values()
-                    sizes.append(len(found))
-                    known.append((end - start - int(rare[start:end].sum()), shares[start:end].sum()))
-                pairs = len(times)
-                rest, score = (np.array(each) for each in zip(*known))
+                sums = np.concatenate([[0.0], np.cumsum(log_probabilities(weights, near, token) + shares)])
+                text = np.repeat(np.arange(len(texts)), np.diff(ends))[rare]
+                pairs, times = np.unique(text * len(distinct) + place[rare], return_counts=True)
+                text, other = np.divmod(pairs, max(1, len(distinct)))
+                rest = np.diff(ends) - np.bincount(text, times, minlength=len(texts)).astype(np.int64)
+                key, ids = batch.column("key").slice(at, len(texts)), batch.column("id").slice(at, len(texts))
+                at += len(texts)
+                own = pa.array([b" %d" % k for k in key.to_pylist()], pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate([key.to_numpy(), np.repeat(key.to_numpy(), sizes)])),
-                        pa.concat_arrays([ids, pa.nulls(pairs, ids.type)]),
-                        pa.array(word, pa.binary()),
-                        pa.array(np.concatenate([rest, np.array(times, dtype=np.int64)])),
-                        pa.array(np.concatenate([score + sums[ends[1:]] - sums[ends[:-1]], np.zeros(pairs)])),
+                        pa.array(np.concatenate([key.to_numpy(), key.to_numpy()[text]])),
+                        pa.concat_arrays([ids, pa.nulls(len(pairs), ids.type)]),
+                        pa.concat_arrays([own, distinct.cast(pa.binary()).take(pa.array(other))]),
+                        pa.array(np.concatenate([rest, times])),
+                        pa.array(np.concatenate([sums[ends[1:]] - sums[ends[:-1]], np.zeros(len(pairs))])),
                     ],
                     ["key", "id", "word", "times", "score"],
                 )
