@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -14,22 +15,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, stored
+from .common import distinct_words, kept, runs, stored
 
 #: Pieces that are packed together, about. The last, emptier sequences of a shard are a
 #: handful among thousands.
 SHARD = 20_000
 #: Pieces shorter than this part of a sequence are placed last, in no order of length.
 SHORT = 8
-#: Words whose tokens a Python worker remembers, from one task to the next: about 300 MB.
-REMEMBERED = 1_500_000
+#: Words whose tokens a Python worker remembers, from one task to the next: those of late, in
+#: two memories of half as many, the older of which goes when the other is full.
+REMEMBERED = 800_000
 #: First bytes of the accents that follow their letter (U+0300 to U+036F) and the beginning of
 #: a special token.
 ODD = (b"\xcc", b"\xcd", b"<|")
-#: A word that ends in one of these after an ASCII letter has the ids of the two in a row.
-MARKS = b".,;:!?"
-#: Texts tokenised at once.
-TEXTS = 256
+#: Letters that the normaliser leaves as they are, and words of these, ASCII digits and marks.
+LETTERS = "a-zà-öø-ÿ"
+PLAIN = re.compile(f"[!-@[-`{{-~{LETTERS}]+").fullmatch
+#: What the vocabulary's pattern makes of such words.
+PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+").findall
 
 
 @cache
@@ -40,47 +43,74 @@ def tokenizer_at(path: str):
     return Tokenizer.from_file(path)
 
 
+@cache
+def part_tokenizer_at(path: str):
+    """The tokenizer's model and its bytes alone: for parts that are normalised and split."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    tokenizer = Tokenizer(tokenizer_at(path).model)
+    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    return tokenizer
+
+
 class WordTokens:
     """Token ids of texts, as little-endian unsigned 32-bit numbers.
 
     The vocabulary's rules never join what ASCII white space parts: the normaliser turns
     white space to spaces, the splitting pattern leaves them out, and special tokens hold
-    none. So a text's ids are those of its words in a row, and those of a word, once found,
-    are remembered. As the normaliser lowers case, A-Z are lowered first, which saves words;
-    not where that could compose a letter with an accent that follows it, or make a special
-    token.
+    none. So a text's ids are those of its words in a row. As the normaliser lowers case, A-Z
+    are lowered first, which saves words; not where that could compose a letter with an accent
+    that follows it, or make a special token.
+
+    The ids of a word, once found, are remembered. A new word of plain characters, which the
+    normaliser does not change, is cut by the splitting pattern here, so that only the parts
+    that are no known word need the tokenizer's model; other words go through all of it.
     """
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer_at(path)
-        self.known: dict[bytes, bytes] = {}
-        self.marks = dict(zip(MARKS, self._encode([bytes([mark]) for mark in MARKS])))
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        self.parts = part_tokenizer_at(path)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _remembered(self, words: list[str]) -> list[bytes | None]:
+        found = list(map(self.known.get, words))
+        for at in [at for at, ids in enumerate(found) if ids is None] if self.older else ():
+            if (ids := self.older.get(words[at])) is not None:
+                found[at] = self.known[words[at]] = ids
+        return found
+
+    @staticmethod
+    def _encode(tokenizer, words: list[str]) -> list[bytes]:
+        found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [array("I", encoding.ids).tobytes() for encoding in found]
 
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each of these different words."""
+        found = self._remembered(words)
+        fresh = [word for word, ids in zip(words, found) if ids is None]
+        cut = {word: PARTS(word) for word in fresh if PLAIN(word) and "<|" not in word}
+        whole = [word for word in fresh if word not in cut]
+        parts = list(set().union(*cut.values()))
+        here = dict(zip(parts, self._remembered(parts)))
+        plain = [part for part, ids in here.items() if ids is None]
+        here.update(zip(plain, self._encode(self.parts, plain)))
+        new = {word: b"".join(map(here.__getitem__, own)) for word, own in cut.items()}
+        new.update(zip(whole, self._encode(self.tokenizer, whole)))
+        if 2 * (len(self.known) + len(new)) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        self.known.update(new)
+        return [new[word] if ids is None else ids for word, ids in zip(words, found)]
+
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        split = [
-            (text if any(map(text.__contains__, ODD)) else text.lower()).split() for text in texts
-        ]
-        words = list(set().union(*split))
-        here = dict(zip(words, map(self.known.get, words)))  # small, so fast to look up in
-        plain, marked = [], []
-        for word, ids in here.items():
-            if ids is None:
-                (marked if word[-1] in MARKS and word[-2:-1].isalpha() else plain).append(word)
-        stems = {word[:-1] for word in marked}.difference(plain)
-        plain.extend(stem for stem in stems if stem not in self.known)
-        fresh = dict(zip(plain, self._encode(plain)))
-        for word in marked:
-            stem = word[:-1]
-            fresh[word] = (fresh.get(stem) or self.known[stem]) + self.marks[word[-1]]
-        here.update(fresh)
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-        self.known.update(fresh)
-        return [b"".join(map(here.__getitem__, words)) for words in split]
+        lower = [text if any(map(text.__contains__, ODD)) else text.lower() for text in texts]
+        words, place, ends = distinct_words(pa.array(lower, pa.binary()).cast(pa.string()))
+        found = pa.array(self.of_words(words.to_pylist()), pa.large_binary()).take(pa.array(place))
+        _, offsets, data = found.buffers()
+        if not data:
+            return [b""] * len(texts)
+        at = np.frombuffer(offsets, dtype=np.int64)[ends]
+        return [data[start:end].to_pybytes() for start, end in zip(at.tolist(), at[1:].tolist())]
 
 
 def word_tokens(path: str) -> WordTokens:
@@ -106,15 +136,13 @@ def token_pieces(docs: DataFrame, *, vocabulary: str, capacity: int, id: str, te
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = word_tokens(vocabulary)
         for batch in batches:
-            of, found = [], []
-            texts = batch.column("text").cast(pa.binary())
-            for at in range(0, batch.num_rows, TEXTS):
-                for row, ids in enumerate(
-                    tokens.ids([t or b"" for t in texts.slice(at, TEXTS).to_pylist()]), start=at
-                ):
+            of, found, row = [], [], 0
+            for texts in runs(batch.column("text").cast(pa.binary())):
+                for ids in tokens.ids([t or b"" for t in texts.to_pylist()]):
                     pieces = pieces_of(ids + end, capacity)
                     of.extend([row] * len(pieces))
                     found.extend(pieces)
+                    row += 1
             piece, start, length, crc = zip(*found) if found else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
