@@ -93,15 +93,17 @@ def kept(use, make: Callable):
 
 
 def forget() -> None:
-    """Let go of what earlier operators remembered in this Python worker."""
+    """Let go of what earlier operators remembered in this Python worker, and of the memory that
+    Arrow has kept for further use."""
     _KEPT.clear()
+    pa.default_memory_pool().release_unused()
 
 
-def runs(texts: pa.Array) -> Iterator[pa.Array]:
-    """The column in slices: those texts together that begin in the same ``BYTES``, so that a
-    slice holds these and the rest of its last text."""
+def runs(texts: pa.Array, size: int | None = None) -> Iterator[pa.Array]:
+    """The column in slices: those texts together that begin in the same ``BYTES``, or ``size``,
+    so that a slice holds these and the rest of its last text."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
-    cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // BYTES)) + 1
+    cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // (size or BYTES))) + 1
     for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
         if end > start:
             yield texts.slice(start, end - start)

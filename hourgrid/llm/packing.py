@@ -12,6 +12,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +24,14 @@ SHARD = 20_000
 #: Pieces shorter than this part of a sequence are placed last, in no order of length.
 SHORT = 8
 #: Words whose tokens a Python worker remembers, from one task to the next: those of late, in
-#: two memories of half as many, the older of which goes when the other is full.
+#: two memories of half as many, the older of which goes when the other is full. They are Arrow
+#: columns (39 bytes for a word of ten characters; 128 in dictionaries), and full at half of
+#: these bytes, too, if words are long.
 REMEMBERED = 800_000
+REMEMBERED_BYTES = 64 << 20
+#: Bytes of texts that are taken apart, and words that go to the tokenizer, at once.
+BYTES = 4 << 20
+AT_ONCE = 10_000
 #: First bytes of the accents that follow their letter (U+0300 to U+036F) and the beginning of
 #: a special token.
 ODD = (b"\xcc", b"\xcd", b"<|")
@@ -34,6 +41,8 @@ PLAIN = re.compile(f"[!-@[-`{{-~{LETTERS}]+").fullmatch
 #: What the vocabulary's pattern makes of such words.
 PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+").findall
 
+NOTHING = pa.table({"word": pa.array([], pa.string()), "ids": pa.array([], pa.large_binary())})
+
 
 @cache
 def tokenizer_at(path: str):
@@ -70,42 +79,57 @@ class WordTokens:
     def __init__(self, path: str):
         self.tokenizer = tokenizer_at(path)
         self.parts = part_tokenizer_at(path)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _remembered(self, words: list[str]) -> list[bytes | None]:
-        found = list(map(self.known.get, words))
-        for at in [at for at, ids in enumerate(found) if ids is None] if self.older else ():
-            if (ids := self.older.get(words[at])) is not None:
-                found[at] = self.known[words[at]] = ids
-        return found
+        self.known = self.older = NOTHING
+
+    def _remembered(self, words: pa.Array) -> pa.ChunkedArray:
+        """The words' ids, null for those not remembered. Words of late go to the newer memory."""
+        both = pa.concat_tables([self.known, self.older])
+        place = pc.index_in(both["word"], value_set=words).combine_chunks()  # in words, which are fewer
+        there = np.flatnonzero(place.is_valid())
+        at = np.full(len(words), -1)
+        at[place.take(there).to_numpy()] = there
+        late = at[at >= len(self.known)]
+        if len(late):
+            self.known = pa.concat_tables([self.known, both.take(late)]).combine_chunks()
+        return both["ids"].take(pa.array(at, mask=at < 0))
+
+    def _remember(self, new: pa.Table) -> None:
+        if 2 * new.nbytes > REMEMBERED_BYTES:
+            return
+        words, size = len(self.known) + len(new), self.known.nbytes + new.nbytes
+        if 2 * words > REMEMBERED or 2 * size > REMEMBERED_BYTES:
+            self.known, self.older = NOTHING, self.known
+        self.known = pa.concat_tables([self.known, new]).combine_chunks()
 
     @staticmethod
     def _encode(tokenizer, words: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [array("I", encoding.ids).tobytes() for encoding in found]
+        ids = []
+        for at in range(0, len(words), AT_ONCE):
+            found = tokenizer.encode_batch_fast(words[at:at + AT_ONCE], add_special_tokens=False)
+            ids.extend(array("I", encoding.ids).tobytes() for encoding in found)
+        return ids
 
-    def of_words(self, words: list[str]) -> list[bytes]:
+    def of_words(self, words: pa.Array) -> pa.Array:
         """Ids of each of these different words."""
         found = self._remembered(words)
-        fresh = [word for word, ids in zip(words, found) if ids is None]
-        cut = {word: PARTS(word) for word in fresh if PLAIN(word) and "<|" not in word}
-        whole = [word for word in fresh if word not in cut]
-        parts = list(set().union(*cut.values()))
-        here = dict(zip(parts, self._remembered(parts)))
+        unknown = pc.is_null(found)
+        fresh = words.filter(unknown).to_pylist()
+        cut = [PARTS(word) if PLAIN(word) and "<|" not in word else None for word in fresh]
+        whole = [word for word, own in zip(fresh, cut) if own is None]
+        parts = list(set().union(*filter(None, cut)))
+        here = dict(zip(parts, self._remembered(pa.array(parts, pa.string())).to_pylist()))
         plain = [part for part, ids in here.items() if ids is None]
         here.update(zip(plain, self._encode(self.parts, plain)))
-        new = {word: b"".join(map(here.__getitem__, own)) for word, own in cut.items()}
-        new.update(zip(whole, self._encode(self.tokenizer, whole)))
-        if 2 * (len(self.known) + len(new)) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        self.known.update(new)
-        return [new[word] if ids is None else ids for word, ids in zip(words, found)]
+        others = iter(self._encode(self.tokenizer, whole))
+        ids = [next(others) if own is None else b"".join(map(here.__getitem__, own)) for own in cut]
+        new = pa.table({"word": pa.array(fresh, pa.string()), "ids": pa.array(ids, pa.large_binary())})
+        self._remember(new)
+        return pc.replace_with_mask(found.combine_chunks(), unknown.combine_chunks(), new["ids"].combine_chunks())
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         lower = [text if any(map(text.__contains__, ODD)) else text.lower() for text in texts]
         words, place, ends = distinct_words(pa.array(lower, pa.binary()).cast(pa.string()))
-        found = pa.array(self.of_words(words.to_pylist()), pa.large_binary()).take(pa.array(place))
+        found = self.of_words(words).take(pa.array(place))
         _, offsets, data = found.buffers()
         if not data:
             return [b""] * len(texts)
@@ -137,7 +161,7 @@ def token_pieces(docs: DataFrame, *, vocabulary: str, capacity: int, id: str, te
         tokens = word_tokens(vocabulary)
         for batch in batches:
             of, found, row = [], [], 0
-            for texts in runs(batch.column("text").cast(pa.binary())):
+            for texts in runs(batch.column("text").cast(pa.binary()), BYTES):
                 for ids in tokens.ids([t or b"" for t in texts.to_pylist()]):
                     pieces = pieces_of(ids + end, capacity)
                     of.extend([row] * len(pieces))
